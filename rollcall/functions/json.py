@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StructType
 
 # Accepted besides strict JSON: single quotes (a reader default) and bare names.
 READ_OPTIONS = {"allowUnquotedFieldNames": "true"}
@@ -12,26 +13,34 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
-def is_json_object(value) -> Column:
-    """True only when the whole text is one JSON object.
+def _whole(value: Column, kind: str) -> tuple[Column, Column]:
+    """The text as one value of the object type ``kind``, and whether it is one.
 
     ``from_json`` stops after the first value, so the text is parsed inside an
     array: anything left over then breaks the array or adds an element. Text
     that could close that array early is parsed inside an object as well.
     """
-    value = _col(value)
     in_array = F.from_json(
-        F.concat(F.lit("["), value, F.lit("]")), "array<map<string,string>>", READ_OPTIONS
+        F.concat(F.lit("["), value, F.lit("]")), f"array<{kind}>", READ_OPTIONS
     )
     in_object = F.from_json(
-        F.concat(F.lit('{"v":'), value, F.lit("}")), "struct<v:map<string,string>>", READ_OPTIONS
+        F.concat(F.lit('{"v":'), value, F.lit("}")), f"struct<v:{kind}>", READ_OPTIONS
     )
     one_object = (F.size(in_array) == 1) & F.get(in_array, F.lit(0)).isNotNull()
     closes_early = value.rlike(r"\}\s*\]")
-    return F.coalesce(
-        one_object & F.when(closes_early, in_object["v"].isNotNull()).otherwise(F.lit(True)),
-        F.lit(False),
-    )
+    whole = one_object & F.when(closes_early, in_object["v"].isNotNull()).otherwise(F.lit(True))
+    return F.get(in_array, F.lit(0)), F.coalesce(whole, F.lit(False))
+
+
+def is_json_object(value) -> Column:
+    """True only when the whole text is one JSON object."""
+    return _whole(_col(value), "map<string,string>")[1]
+
+
+def json_record(value, schema: StructType) -> Column:
+    """Fields of a JSON object as a struct; null unless the text is one object."""
+    record, whole = _whole(_col(value), schema.simpleString())
+    return F.when(whole, record)
 
 
 def blank_to_null(c) -> Column:

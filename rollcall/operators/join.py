@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollcall.operators.skew import ROWS_PER_TASK, any_null, each_part, part_of
+from rollcall.session import keep
 
 KEYS = ("uid", "dn")
 NULL_TEXT = "null"
@@ -55,87 +56,100 @@ def _group_summary(sides: Sequence[Side], on: Sequence[str]) -> DataFrame:
     return _tagged(sides, on).groupBy(*on).agg(*columns)
 
 
-def _hot_summary(summary: DataFrame, on: Sequence[str], count: int, rows_per_task: int) -> DataFrame:
-    """Summaries of the groups too large for a task: at most rows / rows_per_task."""
-    too_large = reduce(lambda a, b: a | b, [F.col(f"_n{i}") > rows_per_task for i in range(count)])
-    return summary.where(too_large & ~any_null(on))
-
-
 def _parts_of_side(i: int, rows_per_task: int) -> Column:
     return F.greatest(F.ceil(F.col(f"_n{i}") / rows_per_task), F.lit(1)).cast("int")
 
 
-def _first_left_sides(sides, summary, on, rows_per_task):
-    """Sides cut down to the rows that pair, with one part number ``_c0``.
+def _driving_size(count: int) -> Column:
+    size = F.col("_n0")
+    for i in range(1, count):
+        size = F.when(F.col(f"_n{i}") > 0, F.col(f"_n{i}")).otherwise(size)
+    return size
+
+
+def _driving_side(count: int) -> Column:
+    side = F.lit(0)
+    for i in range(1, count):
+        side = F.when(F.col(f"_n{i}") > 0, F.lit(i)).otherwise(side)
+    return side
+
+
+def _hot_groups(
+    summary: DataFrame, on: Sequence[str], count: int, rows_per_task: int
+) -> DataFrame | None:
+    """Summaries of the groups too large for a task, or None if there are none.
+
+    One pass over the key columns. The list has at most rows / rows_per_task
+    entries; it is kept in the checkpoint folder, so that its users do not count
+    again.
+    """
+    too_large = reduce(lambda a, b: a | b, [F.col(f"_n{i}") > rows_per_task for i in range(count)])
+    hot = keep(summary.where(too_large & ~any_null(on)))
+    return None if hot.isEmpty() else hot
+
+
+def _cut_and_split(sides, summary, hot, on, rows_per_task):
+    """Sides of a first-left join with one part number ``_part``.
 
     The last side that has rows in a group drives it: its rows all show, the
     sides before it give their first row only. Hot groups are cut down before
     the shuffle and split along the driving side.
     """
     count = len(sides)
-    drive = F.lit(0)
-    size = F.col("_n0")
-    for i in range(1, count):
-        drive = F.when(F.col(f"_n{i}") > 0, F.lit(i)).otherwise(drive)
-        size = F.when(F.col(f"_n{i}") > 0, F.col(f"_n{i}")).otherwise(size)
-    hot = F.broadcast(
-        _hot_summary(summary, on, count, rows_per_task).select(
+    plan = F.broadcast(
+        hot.select(
             *on,
-            drive.alias("_d"),
-            F.ceil(size / rows_per_task).cast("int").alias("_s"),
+            _driving_side(count).alias("_d"),
+            F.ceil(_driving_size(count) / rows_per_task).cast("int").alias("_s"),
             *[F.col(f"_first{i}").alias(f"_h{i}") for i in range(count)],
         )
     )
     extra = ["_d", "_s", *[f"_h{i}" for i in range(count)]]
-
-    def cut(i: int, side: Side) -> DataFrame:
-        df = side.df.join(hot, on, "left")
-        df = df.where(
-            F.col("_d").isNull() | (F.col("_d") == i) | (F.col(side.order) == F.col(f"_h{i}"))
-        )
-        own = part_of(side.order, F.col("_s"), on)
-        all_parts = F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)
-        cells = F.when(F.col("_d").isNull() | (F.col("_d") == i), F.array(own)).otherwise(all_parts)
-        df = df.withColumn("_c0", F.explode(cells))
-        if i == 0:
-            for j in range(1, count):
-                df = df.withColumn(
-                    f"_split{j}", F.coalesce((F.col("_d") == j) & (F.col("_s") > 1), F.lit(False))
-                )
-        return df.drop(*extra)
-
-    frames = [cut(i, side) for i, side in enumerate(sides)]
-    flags = (
-        summary.join(hot.select(*on, "_s"), on, "left")
-        .withColumn("_c0", each_part(F.col("_s")))
+    frames = []
+    for i, side in enumerate(sides):
+        df = side.df.join(plan, on, "left")
+        whole = F.col("_d").isNull() | (F.col("_d") == i)
+        df = df.where(whole | (F.col(side.order) == F.col(f"_h{i}")))
+        own = F.array(part_of(side.order, F.col("_s"), on))
+        repeated = F.sequence(F.lit(0), F.coalesce(F.col("_s"), F.lit(1)) - 1)
+        marks = {
+            f"_split{j}": F.coalesce((F.col("_d") == j) & (F.col("_s") > 1), F.lit(False))
+            for j in range(1, count)
+        }
+        df = df.withColumn("_part", F.explode(F.when(whole, own).otherwise(repeated)))
+        frames.append((df.withColumns(marks) if i == 0 else df).drop(*extra))
+    summary = (
+        summary.join(plan.select(*on, "_s"), on, "left")
+        .withColumn("_part", each_part(F.col("_s")))
         .drop("_s")
     )
-    left = frames[0].join(flags, [*on, "_c0"], "left")
-    has_right = F.greatest(*[F.col(f"_n{i}") for i in range(1, count)], F.lit(0)) > 0
-    frames[0] = left.where(~has_right | (F.col(sides[0].order) == F.col("_first0")))
-    return frames, ["_c0"]
+    return frames, summary, ["_part"]
 
 
-def _left_outer_sides(sides, summary, on, rows_per_task):
-    """Sides with one part number per side: a grid of parts in hot groups."""
+def _grid_split(sides, hot, on, rows_per_task):
+    """Sides of a chain of left joins with a part number per side: hot groups
+    become a grid of parts, each row meeting every row of the other sides once."""
     count = len(sides)
-    hot = F.broadcast(
-        _hot_summary(summary, on, count, rows_per_task).select(
-            *on, *[_parts_of_side(i, rows_per_task).alias(f"_s{i}") for i in range(count)]
-        )
+    plan = F.broadcast(
+        hot.select(*on, *[_parts_of_side(i, rows_per_task).alias(f"_s{i}") for i in range(count)])
     )
     frames = []
     for i, side in enumerate(sides):
-        df = side.df.join(hot, on, "left")
+        df = side.df.join(plan, on, "left")
         for j in range(count):
             parts = F.col(f"_s{j}")
             df = df.withColumn(
-                f"_c{j}", part_of(side.order, parts, on) if i == j else each_part(parts)
+                f"_part{j}", part_of(side.order, parts, on) if i == j else each_part(parts)
+            )
+        if i == 0:
+            df = df.withColumns(
+                {
+                    f"_split{j}": F.coalesce(F.col(f"_s{j}") > 1, F.lit(False))
+                    for j in range(1, count)
+                }
             )
-            if i == 0 and j > 0:
-                df = df.withColumn(f"_split{j}", F.coalesce(parts > 1, F.lit(False)))
         frames.append(df.drop(*[f"_s{j}" for j in range(count)]))
-    return frames, [f"_c{j}" for j in range(count)]
+    return frames, [f"_part{j}" for j in range(count)]
 
 
 def windowed_left_join(
@@ -156,8 +170,12 @@ def windowed_left_join(
     never larger than its inputs, however hot a key is.
 
     All sides are shuffled once, on the same keys. Groups larger than
-    ``rows_per_task`` are cut into parts.
+    ``rows_per_task`` are cut into parts; finding them takes a pass over the
+    keys when the join is built.
     """
+    if multiplicity not in ("first_left", "left_outer"):
+        raise ValueError(f"unknown multiplicity {multiplicity!r}")
+    first_left = multiplicity == "first_left"
     sides = [left, *rights]
     names = list(keys)
     if null_safe_keys:
@@ -169,26 +187,31 @@ def windowed_left_join(
         sides = [Side(s.df.withColumns(spelled), s.order) for s in sides]
     on = [*names, window]
     count = len(sides)
+
     summary = _group_summary(sides, on)
-    if multiplicity == "first_left":
-        frames, cells = _first_left_sides(sides, summary, on, rows_per_task)
-    elif multiplicity == "left_outer":
-        frames, cells = _left_outer_sides(sides, summary, on, rows_per_task)
-    else:
-        raise ValueError(f"unknown multiplicity {multiplicity!r}")
+    hot = _hot_groups(summary, on, count, rows_per_task)
+    frames, parts = [s.df for s in sides], []
+    if hot is not None and first_left:
+        frames, summary, parts = _cut_and_split(sides, summary, hot, on, rows_per_task)
+    elif hot is not None:
+        frames, parts = _grid_split(sides, hot, on, rows_per_task)
+    shared = [*on, *parts]
 
     joined = frames[0]
-    shared = [*on, *cells]
+    if first_left:
+        joined = joined.join(summary, shared, "left")
+        has_right = F.greatest(*[F.col(f"_n{i}") for i in range(1, count)], F.lit(0)) > 0
+        joined = joined.where(~has_right | (F.col(left.order) == F.col("_first0")))
     for i in range(1, count):
         right = frames[i].drop(*keys) if null_safe_keys else frames[i]
-        right = right.withColumnsRenamed({c: f"_r_{c}" for c in shared}).withColumn(
-            "_hit", F.lit(True)
-        )
+        right = right.withColumnsRenamed({c: f"_r_{c}" for c in shared})
         match = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_r_{c}") for c in shared])
-        if multiplicity == "first_left" and i + 1 < count:
+        if first_left and i + 1 < count:
             later = F.greatest(*[F.col(f"_n{j}") for j in range(i + 1, count)], F.lit(0)) > 0
             match = match & (~later | (F.col(sides[i].order) == F.col(f"_first{i}")))
-        joined = joined.join(right, match, "left").drop(*[f"_r_{c}" for c in shared])
-        # A part without rows of a split side is no miss: another part has them.
-        joined = joined.where(F.col("_hit").isNotNull() | ~F.col(f"_split{i}")).drop("_hit")
+        joined = joined.join(right, match, "left")
+        if parts:
+            # A part without rows of a split side is no miss: another part has them.
+            joined = joined.where(F.col(f"_r_{window}").isNotNull() | ~F.col(f"_split{i}"))
+        joined = joined.drop(*[f"_r_{c}" for c in shared])
     return joined.select(*[c for c in joined.columns if not c.startswith("_")])

@@ -12,17 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rollcall.session import keep
+
 ROWS_PER_TASK = 2_000_000
 NULL_PARTS = 4096
 
 
 def hot_groups(rows: DataFrame, on: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys of the hot groups and the number of parts each is split into."""
-    known = rows
-    for key in on:
-        known = known.where(F.col(key).isNotNull())
     return (
-        known.groupBy(*on)
+        rows.where(~any_null(on))
+        .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows_per_task)
         .select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_parts"))
@@ -57,7 +57,10 @@ def split_left_join(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join of skewed rows with a lookup that has one row per key."""
-    hot = F.broadcast(hot_groups(rows, on, rows_per_task))
+    hot = keep(hot_groups(rows, on, rows_per_task))
+    if hot.isEmpty():
+        return rows.join(lookup, list(on), "left")
+    hot = F.broadcast(hot)
     left = rows.join(hot, list(on), "left").withColumn(
         "_part", part_of(order, F.col("_parts"), on)
     )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.operators.lookup import AD_LOOKUP, SITE_LOOKUP, VIP_LOOKUP, enrich, fill_blank, lookup
-from rollcall.operators.route import dimension_side, fact_side, usable
+from rollcall.operators.route import dimension_side, fact_side
 from rollcall.operators.wide import full_row, join_facts, wide_row
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, FIRST_LEFT, WIDE_SELECT, looked_up, with_
 from rollcall.plans.joins import facts
 from rollcall.plans.registry import query
 from rollcall.schemas import FULL_COLUMNS, MEMBER, PAYMONEY, REGTYPE
+from rollcall.session import staged
 from rollcall.sources.typed import parse_record
 
 _SEQS = ("member_seq", "regtype_seq", "paymoney_seq")
@@ -136,22 +137,19 @@ def fill_blank_defaults(spark, sf_dir):
     return fill_blank(found.select("uid", "dn", "member_seq", *_BLANKS), _BLANKS)
 
 
-def typed_from_envelope(envelope: DataFrame):
-    """Facts with windows and dimension tables out of one envelope."""
-    good = usable(envelope)
-    fact_rows, dim_rows = fact_side(good), dimension_side(good)
+@query("dws_member_wide", ENRICHED + f"SELECT {WIDE_SELECT}, {', '.join(_SEQS)} FROM e")
+def dws_member_wide(spark, sf_dir):
+    """Log envelopes to wide rows: filter, route, parse, join, look up, project.
+
+    The parsed facts are stored: the join reads their keys more than once.
+    """
+    fact_rows = fact_side(roles.fact_envelope(spark, sf_dir))
+    dim_rows = dimension_side(roles.dim_envelope(spark, sf_dir))
     typed = [
-        roles.windowed(parse_record(fact_rows, s), s) for s in (MEMBER, REGTYPE, PAYMONEY)
+        roles.windowed(staged(parse_record(fact_rows, s), s.topic), s)
+        for s in (MEMBER, REGTYPE, PAYMONEY)
     ]
     dims = {t: parse_record(dim_rows, s) for t, s in roles.DIM_SPECS.items()}
-    return typed, dims
-
-
-@query("dws_member_wide", ENRICHED + f"SELECT {WIDE_SELECT}, {', '.join(_SEQS)} FROM e")
-def dws_member_wide(spark, sf_dir):
-    """Log envelopes to wide rows: filter, route, parse, join, look up, project."""
-    typed, _ = typed_from_envelope(roles.fact_envelope(spark, sf_dir))
-    _, dims = typed_from_envelope(roles.dim_envelope(spark, sf_dir))
     return plain_times(wide_row(enrich(join_facts(*typed), dims), carry=_SEQS))
 
 

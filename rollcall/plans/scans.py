@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import composite_key
 from rollcall.operators.route import (
-    dimension_side, fact_side, is_dimension, keep_json_objects, quarantine, to_second_layer, usable,
+    dimension_side, fact_side, is_dimension, keep_json_objects, quarantine, to_second_layer,
 )
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, with_
@@ -69,8 +69,7 @@ def src_envelope_counts(spark, sf_dir):
     + f"SELECT uid, {', '.join(MEMBER_COLUMNS)}, dn, member_seq AS seq FROM member",
 )
 def src_member_typed(spark, sf_dir):
-    envelope = usable(roles.fact_envelope(spark, sf_dir))
-    return parse_record(envelope, MEMBER).select("uid", *MEMBER_COLUMNS, "dn", "seq")
+    return parse_record(roles.fact_envelope(spark, sf_dir), MEMBER).select("uid", *MEMBER_COLUMNS, "dn", "seq")
 
 
 @query(
@@ -80,7 +79,7 @@ def src_member_typed(spark, sf_dir):
     " regtype_seq AS seq FROM regtype",
 )
 def src_regtype_typed(spark, sf_dir):
-    return parse_record(usable(roles.fact_envelope(spark, sf_dir)), REGTYPE)
+    return parse_record(roles.fact_envelope(spark, sf_dir), REGTYPE)
 
 
 @query(
@@ -89,7 +88,7 @@ def src_regtype_typed(spark, sf_dir):
     + "SELECT uid, paymoney, siteid, vip_id, createtime, dt, dn, paymoney_seq AS seq FROM pay",
 )
 def src_paymoney_typed(spark, sf_dir):
-    return parse_record(usable(roles.fact_envelope(spark, sf_dir)), PAYMONEY)
+    return parse_record(roles.fact_envelope(spark, sf_dir), PAYMONEY)
 
 
 @query(
@@ -101,7 +100,7 @@ UNION ALL SELECT 'basewebsite', siteid, sitename, dn, siteurl, NULL FROM site
 UNION ALL SELECT 'membervip', vip_id, vip_level, dn, NULL, start_time FROM vip""",
 )
 def src_dims_typed(spark, sf_dir):
-    envelope = keep_json_objects(roles.dim_envelope(spark, sf_dir))
+    envelope = roles.dim_envelope(spark, sf_dir)
     shapes = {
         "basead": ("adid", "adname", None, None),
         "basewebsite": ("siteid", "sitename", "siteurl", None),

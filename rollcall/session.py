@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on.
 RUNTIME_CONF = {
@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Settings that only a new session can take. Call sites are not recorded for
+# every column, so that long plans build faster.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 # State of the stateful queries lives in RocksDB with incremental changelogs.
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -30,7 +34,7 @@ def build_session(app: str = "rollcall", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
@@ -64,3 +68,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/rollcall/{label}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the shared checkpoint folder."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(spark, "checkpoints"))
+    return df.checkpoint()
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a table in the shared folder and read back.
+
+    For frames that are costly to make and read several times, by few columns.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.functions.json import READ_OPTIONS
+from rollcall.functions.json import json_record
+from rollcall.functions.times import event_time
 from rollcall.schemas import RecordSpec
 
 
@@ -20,9 +21,17 @@ def typed_columns(spec: RecordSpec, record: str | None = None) -> list:
 
 
 def parse_record(envelope: DataFrame, spec: RecordSpec, topic: str | None = None) -> DataFrame:
-    """Rows of one topic as typed columns plus ``seq``; unknown fields drop out."""
-    return (
+    """Rows of one topic as typed columns plus ``seq``.
+
+    Unknown fields drop out, and so do texts that are no JSON object and records
+    without a usable id or event time: see ``quarantine`` for those.
+    """
+    typed = (
         envelope.where(F.col("topic") == (topic or spec.topic))
-        .select(F.from_json("value", spec.wire_schema, READ_OPTIONS).alias("_r"), "seq")
+        .select(json_record("value", spec.wire_schema).alias("_r"), "seq")
         .select(*typed_columns(spec, "_r"), "seq")
+        .where(F.col(spec.key[0]).isNotNull())
     )
+    if spec.event_time:
+        typed = typed.where(event_time(spec.event_time).isNotNull())
+    return typed
