@@ -1,7 +1,7 @@
 """Keyed merging of rows under per-column rules.
 
-All rules combine partial results, so a hot key shrinks to one row per task
-before the shuffle, and merging can be done in any grouping of ordered batches.
+All rules combine partial results: a hot key shrinks to one row per task before
+the shuffle, and stored states can be merged with later ones in any order.
 """
 
 from __future__ import annotations
@@ -44,35 +44,60 @@ class MergeRules:
         return replace(self, **{f: rest[f] + tuple(rules.get(f, ())) for f in rest})
 
 
-def merge_rows(
-    rows: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    rules: MergeRules,
+def lift(
+    rows: DataFrame, key: Sequence[str], order: Sequence[str], rules: MergeRules
 ) -> DataFrame:
-    """One row per key from rows ordered by the ``order`` columns, unique per key."""
-    order = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    aggregates = []
+    """Rows as mergeable states: each value next to the arrival it came with."""
+    at = F.struct(*order).alias("at")
+    columns = [*key]
     if rules.last:
-        aggregates.append(F.max_by(F.struct(*rules.last), order).alias("_last"))
+        columns.append(F.struct(at, F.struct(*rules.last).alias("v")).alias("_last"))
     if rules.first:
-        aggregates.append(F.min_by(F.struct(*rules.first), order).alias("_first"))
+        columns.append(F.struct(at, F.struct(*rules.first).alias("v")).alias("_first"))
     for c in rules.last_set:
-        aggregates.append(F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c))
+        columns.append(F.when(F.col(c).isNotNull(), F.struct(at, F.col(c).alias("v"))).alias(f"_set_{c}"))
     types = {f.name: f.dataType for f in rows.schema}
     for c in rules.total:
-        zero = F.lit(0).cast(types[c])
-        aggregates.append(F.sum(F.coalesce(F.col(c), zero)).cast(types[c]).alias(c))
-    merged = rows.groupBy(*key).agg(*aggregates)
+        columns.append(F.coalesce(F.col(c), F.lit(0).cast(types[c])).alias(f"_total_{c}"))
+    return rows.select(*columns)
+
+
+def combine(states: DataFrame, key: Sequence[str], rules: MergeRules) -> DataFrame:
+    """One state per key; states of one key may come in any order."""
+    aggregates = []
+    if rules.last:
+        aggregates.append(F.max_by("_last", "_last.at").alias("_last"))
+    if rules.first:
+        aggregates.append(F.min_by("_first", "_first.at").alias("_first"))
+    for c in rules.last_set:
+        aggregates.append(F.max_by(f"_set_{c}", f"_set_{c}.at").alias(f"_set_{c}"))
+    types = {f.name: f.dataType for f in states.schema}
+    for c in rules.total:
+        name = f"_total_{c}"
+        aggregates.append(F.sum(name).cast(types[name]).alias(name))
+    return states.groupBy(*key).agg(*aggregates)
+
+
+def lower(states: DataFrame, key: Sequence[str], rules: MergeRules) -> DataFrame:
+    """States as plain rows: key columns, then the columns of the rules."""
     shown = [F.col(k) for k in key]
     for c in rules.columns:
         if c in rules.last:
-            shown.append(F.col(f"_last.{c}").alias(c))
+            shown.append(F.col(f"_last.v.{c}").alias(c))
         elif c in rules.first:
-            shown.append(F.col(f"_first.{c}").alias(c))
+            shown.append(F.col(f"_first.v.{c}").alias(c))
+        elif c in rules.last_set:
+            shown.append(F.col(f"_set_{c}.v").alias(c))
         else:
-            shown.append(F.col(c))
-    return merged.select(*shown)
+            shown.append(F.col(f"_total_{c}").alias(c))
+    return states.select(*shown)
+
+
+def merge_rows(
+    rows: DataFrame, key: Sequence[str], order: Sequence[str], rules: MergeRules
+) -> DataFrame:
+    """One row per key from rows ordered by the ``order`` columns, unique per key."""
+    return lower(combine(lift(rows, key, order, rules), key, rules), key, rules)
 
 
 def upsert(

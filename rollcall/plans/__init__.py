@@ -1,4 +1,4 @@
 from rollcall.plans.registry import ORACLES, QUERIES
-from rollcall.plans import joins, lookups, scalars, scans, upserts  # noqa: F401
+from rollcall.plans import joins, lookups, scalars, scans, streams, upserts  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -27,6 +27,8 @@ STREAM_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One store instead of four per join and partition.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
