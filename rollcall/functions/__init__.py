@@ -1,4 +1,6 @@
-from rollcall.functions.json import blank_to_null, is_json_object, json_int, json_record, json_text, record_json
+from rollcall.functions.json import (
+    blank_to_null, is_json_object, json_int, json_record, json_text, record_json,
+)
 from rollcall.functions.keys import composite_key, salted_row_key
 from rollcall.functions.text import (
     date_text, int_to_ipv4, money, money_text, partition_date, timestamp_text, to_time,

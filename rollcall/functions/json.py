@@ -13,34 +13,49 @@ def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
-def _whole(value: Column, kind: str) -> tuple[Column, Column]:
-    """The text as one value of the object type ``kind``, and whether it is one.
+def _in_array(value: Column, kind: str) -> Column:
+    """The text parsed as the content of an array of ``kind``.
 
-    ``from_json`` stops after the first value, so the text is parsed inside an
-    array: anything left over then breaks the array or adds an element. Text
-    that could close that array early is parsed inside an object as well.
+    ``from_json`` stops after the first value; inside an array, text left over
+    behind it breaks the array, adds elements or closes it early.
     """
-    in_array = F.from_json(
+    return F.from_json(
         F.concat(F.lit("["), value, F.lit("]")), f"array<{kind}>", READ_OPTIONS
     )
+
+
+def ends_with_first_object(value) -> Column:
+    """For text that starts with an object: nothing follows that object.
+
+    Only text that might add elements to the array or close it is parsed again,
+    inside an object, where neither is possible.
+    """
+    value = _col(value)
     in_object = F.from_json(
-        F.concat(F.lit('{"v":'), value, F.lit("}")), f"struct<v:{kind}>", READ_OPTIONS
+        F.concat(F.lit('{"v":'), value, F.lit("}")), "struct<v:map<string,string>>", READ_OPTIONS
     )
-    one_object = (F.size(in_array) == 1) & F.get(in_array, F.lit(0)).isNotNull()
-    closes_early = value.rlike(r"\}\s*\]")
-    whole = one_object & F.when(closes_early, in_object["v"].isNotNull()).otherwise(F.lit(True))
-    return F.get(in_array, F.lit(0)), F.coalesce(whole, F.lit(False))
+    suspect = value.rlike(r"\}\s*[\],]")
+    return F.when(suspect, in_object["v"].isNotNull()).otherwise(F.lit(True))
 
 
 def is_json_object(value) -> Column:
     """True only when the whole text is one JSON object."""
-    return _whole(_col(value), "map<string,string>")[1]
+    value = _col(value)
+    first = F.get(_in_array(value, "map<string,string>"), F.lit(0))
+    return F.coalesce(first.isNotNull() & ends_with_first_object(value), F.lit(False))
 
 
 def json_record(value, schema: StructType) -> Column:
-    """Fields of a JSON object as a struct; null unless the text is one object."""
-    record, whole = _whole(_col(value), schema.simpleString())
-    return F.when(whole, record)
+    """Fields of the JSON object at the start of the text, or null."""
+    return F.get(_in_array(_col(value), schema.simpleString()), F.lit(0))
+
+
+def json_rows(value, schema: StructType) -> Column:
+    """The same as a generator: a row of fields, parsed once however often used.
+
+    Keep to rows that pass ``ends_with_first_object``.
+    """
+    return F.inline(_in_array(_col(value), schema.simpleString()))
 
 
 def blank_to_null(c) -> Column:

@@ -4,19 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.functions.json import json_record
+from rollcall.functions.json import ends_with_first_object, json_rows
 from rollcall.functions.times import event_time
 from rollcall.schemas import RecordSpec
 
 
-def typed_columns(spec: RecordSpec, record: str | None = None) -> list:
+def typed_columns(spec: RecordSpec) -> list:
     """Columns of a record whose fields are still text; ids become int or null."""
-    prefix = f"{record}." if record else ""
     return [
-        F.trim(F.col(prefix + f)).try_cast("int").alias(f)
-        if f in spec.ints
-        else F.col(prefix + f).alias(f)
-        for f in spec.fields
+        F.trim(f).try_cast("int").alias(f) if f in spec.ints else F.col(f) for f in spec.fields
     ]
 
 
@@ -26,10 +22,11 @@ def parse_record(envelope: DataFrame, spec: RecordSpec, topic: str | None = None
     Unknown fields drop out, and so do texts that are no JSON object and records
     without a usable id or event time: see ``quarantine`` for those.
     """
+    named = envelope.where(F.col("topic") == (topic or spec.topic))
     typed = (
-        envelope.where(F.col("topic") == (topic or spec.topic))
-        .select(json_record("value", spec.wire_schema).alias("_r"), "seq")
-        .select(*typed_columns(spec, "_r"), "seq")
+        named.where(ends_with_first_object("value"))
+        .select(json_rows("value", spec.wire_schema), "seq")
+        .select(*typed_columns(spec), "seq")
         .where(F.col(spec.key[0]).isNotNull())
     )
     if spec.event_time:

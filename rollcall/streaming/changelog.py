@@ -35,8 +35,8 @@ def _advance(key, frames: Iterable[pd.DataFrame], state: GroupState):
         right_rows.append(right)
         numbers.append(count)
 
-    batch = pd.concat(list(frames), ignore_index=True).sort_values("_o", kind="stable")
-    for is_left, row in zip(batch["_is_left"], batch["_row"]):
+    arrivals = [a for f in frames for a in zip(f["_o"], f["_is_left"], f["_row"])]
+    for _, is_left, row in sorted(arrivals):
         count += 1
         if not is_left:
             has_right = True
@@ -55,16 +55,18 @@ def _advance(key, frames: Iterable[pd.DataFrame], state: GroupState):
             waiting = []
     state.update((int(count), head, bool(has_right), waiting))
     state.setTimeoutTimestamp(max(int(key[2]), int(state.getCurrentWatermarkMs()) + 1))
-    yield pd.DataFrame(
-        {
-            "uid": key[0],
-            "dn": key[1],
-            "window_end_ms": key[2],
-            "left_row": left_rows,
-            "right_row": right_rows,
-            "first_arrival": pd.Series(numbers, dtype="int64"),
-        }
-    )
+    if numbers:
+        size = len(numbers)
+        yield pd.DataFrame(
+            {
+                "uid": [key[0]] * size,
+                "dn": [key[1]] * size,
+                "window_end_ms": [key[2]] * size,
+                "left_row": left_rows,
+                "right_row": right_rows,
+                "first_arrival": numbers,
+            }
+        )
 
 
 def stream_changelog(left: DataFrame, right: DataFrame, order: str = "seq") -> DataFrame:
