@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 import pandas as pd
@@ -10,63 +11,54 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rollcall.operators.join import KEYS
 
-_STATE = "arrivals bigint, head string, has_right boolean, waiting array<string>"
+# Open windows of a member as JSON: end -> [arrivals, first left row, has right, waiting].
+_STATE = "panes string"
 _OUTPUT = (
     "uid int, dn string, window_end_ms bigint, left_row string, right_row string, "
     "first_arrival bigint"
 )
 
 
+def _arrive(pane: list, is_left: bool, row: str) -> list[tuple[str, str | None]]:
+    """Counts one arrival of a window and returns the rows it newly emits."""
+    count, head, has_right, waiting = pane
+    pane[0] = count + 1
+    if not is_left:
+        pane[2] = True
+        if head is None:
+            waiting.append(row)
+            return []
+        return [(head, row)]
+    if head is None:
+        pane[1] = row
+        pane[3] = []
+        return [(row, right) for right in waiting] if has_right else [(row, None)]
+    return [] if has_right else [(row, None)]
+
+
 def _advance(key, frames: Iterable[pd.DataFrame], state: GroupState):
-    """One group, one micro-batch: number the arrivals and emit what is new.
+    """All open windows of one member, one micro-batch.
 
-    Kept between micro-batches: the arrival count, the first left row, and right
-    rows that came before any left row.
+    Windows share a call because a call costs more than many rows do.
     """
-    if state.hasTimedOut:
+    watermark = int(state.getCurrentWatermarkMs())
+    panes = json.loads(state.get[0]) if state.exists else {}
+    out = []
+    if not state.hasTimedOut:
+        arrivals = [a for f in frames for a in zip(f["_o"], f["_end"], f["_is_left"], f["_row"])]
+        for _, end, is_left, row in sorted(arrivals):
+            pane = panes.setdefault(str(end), [0, None, False, []])
+            for left, right in _arrive(pane, bool(is_left), row):
+                out.append((key[0], key[1], int(end), left, right, pane[0]))
+    panes = {end: pane for end, pane in panes.items() if int(end) > watermark}
+    if panes:
+        state.update((json.dumps(panes),))
+        state.setTimeoutTimestamp(min(int(end) for end in panes))
+    elif state.exists:
         state.remove()
-        return
-    count, head, has_right, waiting = state.get if state.exists else (0, None, False, [])
-    waiting = list(waiting)
-    left_rows, right_rows, numbers = [], [], []
-
-    def emit(left, right):
-        left_rows.append(left)
-        right_rows.append(right)
-        numbers.append(count)
-
-    arrivals = [a for f in frames for a in zip(f["_o"], f["_is_left"], f["_row"])]
-    for _, is_left, row in sorted(arrivals):
-        count += 1
-        if not is_left:
-            has_right = True
-            if head is None:
-                waiting.append(row)
-            else:
-                emit(head, row)
-            continue
-        first = head is None
-        head = row if first else head
-        if not has_right:
-            emit(row, None)
-        elif first:
-            for right in waiting:
-                emit(row, right)
-            waiting = []
-    state.update((int(count), head, bool(has_right), waiting))
-    state.setTimeoutTimestamp(max(int(key[2]), int(state.getCurrentWatermarkMs()) + 1))
-    if numbers:
-        size = len(numbers)
-        yield pd.DataFrame(
-            {
-                "uid": [key[0]] * size,
-                "dn": [key[1]] * size,
-                "window_end_ms": [key[2]] * size,
-                "left_row": left_rows,
-                "right_row": right_rows,
-                "first_arrival": numbers,
-            }
-        )
+    if out:
+        columns = ["uid", "dn", "window_end_ms", "left_row", "right_row", "first_arrival"]
+        yield pd.DataFrame(out, columns=columns)
 
 
 def stream_changelog(left: DataFrame, right: DataFrame, order: str = "seq") -> DataFrame:
@@ -91,7 +83,7 @@ def stream_changelog(left: DataFrame, right: DataFrame, order: str = "seq") -> D
     rows = tagged(left, True).unionByName(tagged(right, False))
     return (
         rows.withColumn("_end", F.unix_millis("window.end"))
-        .groupBy(*KEYS, "_end")
+        .groupBy(*KEYS)
         .applyInPandasWithState(
             _advance, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
