@@ -11,6 +11,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
+from rollcall.operators.skew import ROWS_PER_TASK, split_left_join
+
 
 @dataclass(frozen=True)
 class MergeRules:
@@ -115,12 +117,26 @@ def upsert(
     return merge_rows(both, key, ["_batch", *order], rules)
 
 
+def mark_existing(
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: str = "seq",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Incoming rows with ``stored``: whether their key is in the table."""
+    keys = existing.select(*key).distinct().withColumn("_found", F.lit(True))
+    marked = split_left_join(incoming, keys, key, order, rows_per_task)
+    return marked.withColumn("stored", F.col("_found").isNotNull()).drop("_found")
+
+
 def split_by_existence(
-    existing: DataFrame, incoming: DataFrame, key: Sequence[str]
+    existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: str = "seq", **options
 ) -> tuple[DataFrame, DataFrame]:
     """Incoming rows as (updates, inserts), by whether their key is stored."""
-    keys = existing.select(*key)
+    marked = mark_existing(existing, incoming, key, order, **options)
+    columns = incoming.columns
     return (
-        incoming.join(keys, list(key), "left_semi"),
-        incoming.join(keys, list(key), "left_anti"),
+        marked.where(F.col("stored")).select(*columns),
+        marked.where(~F.col("stored")).select(*columns),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rollcall.operators.changelog import arrival_changelog
 from rollcall.operators.join import windowed_left_join
+from rollcall.operators.sessions import session_counts, sliding_counts
 from rollcall.operators.wide import join_facts, member_side, regtype_side
 from rollcall.plans import roles
 from rollcall.plans.base_sql import FACTS, FIRST_LEFT, LEFT_OUTER, with_
@@ -135,11 +136,8 @@ def _text(moment):
 SELECT dn, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, count(*) AS n FROM w GROUP BY dn, s""",
 )
 def window_sliding_counts(spark, sf_dir):
-    return (
-        _site_events(spark, sf_dir)
-        .groupBy("dn", F.window("ts", "10 seconds", "5 seconds"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("dn", _text("window.start").alias("window_start"), "n")
+    return sliding_counts(_site_events(spark, sf_dir), ["dn"]).select(
+        "dn", _text("window.start").alias("window_start"), "n"
     )
 
 
@@ -147,7 +145,7 @@ def window_sliding_counts(spark, sf_dir):
     "window_session_counts",
     f"""WITH e AS (SELECT {_SITE} AS dn, ts FROM events),
 g AS (
-  SELECT dn, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY dn ORDER BY ts) + INTERVAL 5 SECOND
+  SELECT dn, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY dn ORDER BY ts) + INTERVAL 5 SECOND
                       THEN 0 ELSE 1 END AS fresh FROM e),
 s AS (SELECT dn, ts, sum(fresh) OVER (PARTITION BY dn ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT dn, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
@@ -155,14 +153,31 @@ SELECT dn, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
 FROM s GROUP BY dn, k""",
 )
 def window_session_counts(spark, sf_dir):
-    return (
-        _site_events(spark, sf_dir)
-        .groupBy("dn", F.session_window("ts", "5 seconds").alias("session"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "dn",
-            _text("session.start").alias("session_start"),
-            _text("session.end").alias("session_end"),
-            "n",
-        )
+    return session_counts(_site_events(spark, sf_dir), ["dn"]).select(
+        "dn",
+        _text("session.start").alias("session_start"),
+        _text("session.end").alias("session_end"),
+        "n",
+    )
+
+
+@query(
+    "window_session_hours",
+    f"""WITH e AS (SELECT {_SITE} AS dn, ts FROM events),
+g AS (
+  SELECT dn, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY dn ORDER BY ts) + INTERVAL 20 MINUTE
+                      THEN 0 ELSE 1 END AS fresh FROM e),
+s AS (SELECT dn, ts, sum(fresh) OVER (PARTITION BY dn ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT dn, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+  strftime(max(ts) + INTERVAL 20 MINUTE, '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS n
+FROM s GROUP BY dn, k""",
+)
+def window_session_hours(spark, sf_dir):
+    """Sessions with a gap of twenty minutes, most of which span several events."""
+    found = session_counts(_site_events(spark, sf_dir), ["dn"], gap="20 minutes")
+    return found.select(
+        "dn",
+        _text("session.start").alias("session_start"),
+        _text("session.end").alias("session_end"),
+        "n",
     )
