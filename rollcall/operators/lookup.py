@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -66,61 +67,69 @@ def latest_per_key(dim: DataFrame, keys: Sequence[str], order: str = "seq") -> D
     )
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Counts rows and text bytes of a dimension; 16 bytes per value on top."""
-    width = F.lit(16 * len(dim.columns))
-    for name, kind in dim.dtypes:
-        if kind == "string":
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
-
-def lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    spec: DimSpec,
-    order: str = "seq",
-    unique: bool = False,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Left join on ``(fact_key, dn)``; one row out per row in, misses are null.
-
-    A dimension within the bounds is broadcast. A larger one is shuffled by key
-    together with the facts, whose hot ids and missing ids are spread out by
-    the arrival order ``order``; for that the facts are read twice, so hand in
-    stored facts. Streaming facts use Spark's plain join instead, their
-    micro-batches being bounded by the source.
-    """
-    on = [spec.fact_key, "dn"]
+def measure(frames: Sequence[DataFrame]) -> list[tuple[int, int]]:
+    """Rows and bytes of each frame, in one job; 16 bytes per value besides text."""
+    counts = []
+    for i, df in enumerate(frames):
+        width = f"{16 * len(df.columns)}L"
+        for name, kind in df.dtypes:
+            if kind == "string":
+                width += f" + coalesce(octet_length(`{name}`), 0)"
+        counts.append(
+            df.selectExpr(f"{i} AS i", f"{width} AS width")
+            .groupBy("i")
+            .agg(F.count("width").alias("n"), F.sum("width").alias("size"))
+        )
+    found = {r["i"]: (r["n"], r["size"]) for r in reduce(DataFrame.unionByName, counts).collect()}
+    return [found.get(i, (0, 0)) for i in range(len(frames))]
+
+
+def narrow(dim: DataFrame, spec: DimSpec, unique: bool) -> DataFrame:
+    """The looked-up columns of a dimension under the fact's key name, one row per key."""
     if not unique:
         dim = latest_per_key(dim, [spec.dim_key, "dn"])
-    narrow = dim.select(
+    return dim.select(
         F.col(spec.dim_key).alias(spec.fact_key),
         "dn",
         *[F.col(c).alias(name) for c, name in spec.columns.items()],
     )
-    if fits_broadcast(narrow, max_rows, max_bytes):
-        return facts.join(F.broadcast(narrow), on, "left")
-    if facts.isStreaming:
-        return facts.join(narrow, on, "left")
-    return split_left_join(facts, narrow, on, order, rows_per_task)
 
 
 def enrich(
     facts: DataFrame,
     dims: dict[str, DataFrame],
     specs: Sequence[DimSpec] = LOOKUPS,
-    **options,
+    order: str = "seq",
+    unique: bool = False,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """All lookups in a row: ad, site, vip."""
-    for spec in specs:
-        facts = lookup(facts, dims[spec.name], spec, **options)
+    """Left joins on ``(fact_key, dn)``: by default ad, site, vip, one after the other.
+
+    One row out per row in, misses are null. A dimension within the bounds is
+    broadcast. A larger one is shuffled by key together with the facts, whose
+    hot ids and missing ids are spread out by the arrival order ``order``; for
+    that the facts are read twice, so hand in stored facts. Streaming facts use
+    Spark's plain join instead, their micro-batches being bounded by the source.
+    """
+    tables = [narrow(dims[s.name], s, unique) for s in specs]
+    for spec, table, (rows, size) in zip(specs, tables, measure(tables)):
+        on = [spec.fact_key, "dn"]
+        if rows <= max_rows and size <= max_bytes:
+            facts = facts.join(F.broadcast(table), on, "left")
+        elif facts.isStreaming:
+            facts = facts.join(table, on, "left")
+        else:
+            facts = split_left_join(facts, table, on, order, rows_per_task)
     return facts
 
 
+def lookup(facts: DataFrame, dim: DataFrame, spec: DimSpec, **options) -> DataFrame:
+    """One lookup; options as for :func:`enrich`."""
+    return enrich(facts, {spec.name: dim}, (spec,), **options)
+
+
 def fill_blank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values as empty text, for consumers that expect it."""
     return df.withColumns(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rollcall.functions import int_to_ipv4, money_text, record_json, to_millis
+from rollcall.functions import int_to_ipv4, money_text, record_json
 from rollcall.operators.join import tumbling
 from rollcall.functions.times import event_time
 from rollcall.schemas import BASE_AD, BASE_SITE, BASE_VIP, MEMBER, PAYMONEY, REGTYPE, RecordSpec
@@ -20,6 +20,7 @@ from rollcall.sources.typed import typed_columns
 WINDOW = "1 day"
 DIM_SITES = ("webA", "webB")
 FIRST_ADDRESS = 607649792
+DASH = "'-'"
 
 ROLE_OF_EVENT = {"signup": MEMBER, "view": REGTYPE, "purchase": PAYMONEY}
 
@@ -28,74 +29,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(c) -> Column:
-    return c.cast("string")
-
-
-def _day_text(start: str, days: Column, time: str = "") -> Column:
-    return F.concat(F.date_format(F.date_add(F.lit(start).cast("date"), days), "yyyy-MM-dd"), F.lit(time))
+# Wire fields as SQL over an event; fields not named are a dash.
+_COMMON = {
+    "uid": "string(user_id)",
+    "dt": "date_format(ts, 'yyyyMMdd')",
+    "dn": "concat('web', substring('ABC', int(user_id % 3) + 1, 1))",
+}
+_MILLIS = "string(unix_millis(timestamp(ts)))"
+_FACT_SQL = {
+    "member": {
+        "ad_id": "string(user_id % 30)",
+        "birthday": "date_format(date_add(date'1960-01-01', int(user_id * 37 % 14610)), 'yyyy-MM-dd')",
+        "email": "concat('u', user_id, '@example.org')",
+        "fullname": "concat('成员', user_id)",
+        "memberlevel": "string(user_id % 8 + 1)",
+        "register": _MILLIS,
+    },
+    "memberregtype": {
+        "appregurl": "concat('u', event_id)",
+        "createtime": _MILLIS,
+        "regsource": "string(event_id % 5)",
+        "websiteid": "string(user_id % 5)",
+    },
+    "memberpaymoney": {
+        "siteid": "string(user_id % 110)",
+        "vip_id": "string(event_id % 6)",
+        "createtime": _MILLIS,
+    },
+}
+# Wire fields as SQL over a dimension's id, name and dn.
+_DIM_SQL = {
+    "adid": "string(id)",
+    "adname": "name",
+    "siteid": "string(id)",
+    "sitename": "name",
+    "siteurl": "concat(name, '/', dn)",
+    "delete": "'0'",
+    "createtime": "'2000-01-01'",
+    "creator": "'admin'",
+    "vip_id": "string(id)",
+    "vip_level": "name",
+    "start_time": "concat(date_format(date_add(date'2015-01-01', int(id)), 'yyyy-MM-dd'), ' 00:00:00')",
+    "end_time": "concat(date_format(date_add(date'2016-01-01', int(id)), 'yyyy-MM-dd'), ' 12:30:00')",
+    "last_modify_time": "concat(date_format(date_add(date'2019-06-01', int(id)), 'yyyy-MM-dd'), ' 08:15:30')",
+    "operator": "'update'",
+    "dn": "dn",
+}
 
 
 def fact_fields(spec: RecordSpec) -> list[Column]:
     """Wire fields, all text, of a fact made from an event."""
-    uid, event = F.col("user_id"), F.col("event_id")
-    dash = F.lit("-")
-    site = F.concat(F.lit("web"), F.substring(F.lit("ABC"), (uid % 3 + 1).cast("int"), 1))
-    common = {
-        "uid": _text(uid),
-        "dt": F.date_format("ts", "yyyyMMdd"),
-        "dn": site,
+    made = {
+        "userip": int_to_ipv4(F.col("user_id") + FIRST_ADDRESS) if spec is MEMBER else None,
+        "paymoney": money_text("value") if spec is PAYMONEY else None,
     }
-    moment = _text(to_millis("ts"))
-    if spec is MEMBER:
-        fields = {
-            "ad_id": _text(uid % 30),
-            "birthday": _day_text("1960-01-01", (uid * 37 % 14610).cast("int")),
-            "email": F.concat(F.lit("u"), _text(uid), F.lit("@example.org")),
-            "fullname": F.concat(F.lit("成员"), _text(uid)),
-            "memberlevel": _text(uid % 8 + 1),
-            "register": moment,
-            "userip": int_to_ipv4(uid + FIRST_ADDRESS),
-        }
-    elif spec is REGTYPE:
-        fields = {
-            "appregurl": F.concat(F.lit("u"), _text(event)),
-            "createtime": moment,
-            "regsource": _text(event % 5),
-            "websiteid": _text(uid % 5),
-        }
-    else:
-        fields = {
-            "paymoney": money_text("value"),
-            "siteid": _text(uid % 110),
-            "vip_id": _text(event % 6),
-            "createtime": moment,
-        }
-    fields.update(common)
-    return [fields.get(f, dash).alias(f) for f in spec.fields]
+    sql = {**_FACT_SQL[spec.topic], **_COMMON}
+    return [
+        made[f].alias(f) if made.get(f) is not None else F.expr(f"{sql.get(f, DASH)} AS {f}")
+        for f in spec.fields
+    ]
 
 
 def dim_fields(spec: RecordSpec) -> list[Column]:
     """Wire fields of a dimension row made from ``id``, ``name`` and ``dn``."""
-    key = F.col("id").cast("int")
-    fields = {
-        "adid": _text(F.col("id")),
-        "adname": F.col("name"),
-        "siteid": _text(F.col("id")),
-        "sitename": F.col("name"),
-        "siteurl": F.concat("name", F.lit("/"), F.col("dn")),
-        "delete": F.lit("0"),
-        "createtime": F.lit("2000-01-01"),
-        "creator": F.lit("admin"),
-        "vip_id": _text(F.col("id")),
-        "vip_level": F.col("name"),
-        "start_time": _day_text("2015-01-01", key, " 00:00:00"),
-        "end_time": _day_text("2016-01-01", key, " 12:30:00"),
-        "last_modify_time": _day_text("2019-06-01", key, " 08:15:30"),
-        "operator": F.lit("update"),
-        "dn": F.col("dn"),
-    }
-    return [fields.get(f, F.lit("-")).alias(f) for f in spec.fields]
+    return [F.expr(f"{_DIM_SQL.get(f, DASH)} AS `{f}`") for f in spec.fields]
 
 
 def events_of(spark, sf_dir: str, spec: RecordSpec) -> DataFrame:

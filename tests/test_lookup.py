@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.lookup import AD_LOOKUP, DimSpec, enrich, fill_blank, fits_broadcast, latest_per_key, lookup
+from rollcall.operators.lookup import AD_LOOKUP, DimSpec, enrich, fill_blank, latest_per_key, lookup, measure
 from rollcall.streaming.refresh import DimSnapshots
 
 
@@ -38,9 +38,8 @@ def test_each_strategy_gives_every_fact_once(spark, ads, bounds):
 
 
 def test_size_check(spark, ads):
-    assert fits_broadcast(ads, 20, 10_000)
-    assert not fits_broadcast(ads, 19, 10_000)
-    assert not fits_broadcast(ads, 20, 100)
+    width = 20 * 4 * 16 + 20 * (len("ad1") + len("webA"))
+    assert measure([ads, ads.limit(0)]) == [(20, width), (0, 0)]
 
 
 def test_large_dimension_is_not_broadcast(spark, ads):
