@@ -129,13 +129,30 @@ def stream_join_first_left(spark, sf_dir):
     stage = Stage(spark, sf_dir, "join-first-left")
     for spec in (MEMBER, REGTYPE):
         stage.put(spec)
-    rows = _plain_window(stream_first_left_join(*_pair(stage), left_order="member_seq"))
+    rows = _plain_window(stream_first_left_join(member_side(stage.facts(MEMBER)), regtype_side(stage.facts(REGTYPE))))
     stage.run(rows)
     stage.close_windows(MEMBER, REGTYPE)
     stage.run(rows)
     return _shown(stage.result(rows.schema), _PAIR)
 
 
+@query(
+    "stream_first_left_paymoney",
+    with_(FACTS, FIRST_LEFT) + f"SELECT {_TRIPLE}, {_START} FROM f2",
+)
+def stream_first_left_paymoney(spark, sf_dir):
+    stage = Stage(spark, sf_dir, "first-left-paymoney")
+    for spec in FACT_SPECS:
+        stage.put(spec)
+    rows = _plain_window(
+        joined_stream(*[stage.facts(s) for s in FACT_SPECS], multiplicity="first_left")
+    )
+    stage.run(rows)
+    stage.close_windows(*FACT_SPECS)
+    stage.run(rows)
+    return _shown(stage.result(rows.schema), _TRIPLE)
+
+
 def _between(low: str | None, high: str | None):
     test = F.lit(True)
     if low:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from rollcall.functions import event_time
-from rollcall.operators.join import KEYS
+from rollcall.operators.join import KEYS, Side
 from rollcall.schemas import RecordSpec
 
 # Windows, watermark delays and lateness of the fact joins.
@@ -56,40 +59,55 @@ def stream_left_join(
     return joined.drop("_part")
 
 
-def stream_first_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_order: str,
-    keys: Sequence[str] = KEYS,
-) -> DataFrame:
-    """Only the first left row of a group pairs with its right rows.
+def stream_first_left_join(*sides: Side, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Of each group only the first left row pairs with the rows of the right sides.
 
-    Everything comes out when the watermark passes the window. State per group:
-    the first left row, a right-row count, and the buffered rows themselves.
+    The last side that has rows in a group shows all of them, the sides before it
+    their first row by arrival; ``sides[0]`` is the left one. Everything comes
+    out when the watermark passes the window. A summary per group is joined with
+    each side by inner joins only, since every row has its group's summary.
     """
     on = [*keys, "window"]
-    columns = [c for c in left.columns if c not in on]
-    heads = (
-        left.groupBy(*on)
-        .agg(F.min_by(F.struct(*columns), left_order).alias("_head"))
-        .select(*[F.col(c).alias(f"_h_{c}") for c in on], "_head")
-    )
-    counts = (
-        right.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(c).alias(f"_h_{c}") for c in on], "_n")
-    )
-    match = F.lit(True)
-    for c in on:
-        match = match & (F.col(c) == F.col(f"_h_{c}"))
-    rights = [c for c in right.columns if c not in on]
-    paired = right.join(heads, match).select(
-        *on, *[F.col(f"_head.{c}").alias(c) for c in columns], *rights
-    )
-    types = dict(right.dtypes)
-    alone = (
-        left.join(counts, match, "left")
-        .where(F.col("_n").isNull())
-        .select(*on, *columns, *[F.lit(None).cast(types[c]).alias(c) for c in rights])
-    )
-    return paired.unionByName(alone)
+    count = len(sides)
+    payload = [[c for c in s.df.columns if c not in on] for s in sides]
+    types = [s.df.schema for s in sides]
+
+    def tagged() -> DataFrame:
+        frames = []
+        for i, side in enumerate(sides):
+            rows = [
+                F.struct(*payload[j]).alias(f"_row{j}")
+                if i == j
+                else F.lit(None).cast(StructType([types[j][c] for c in payload[j]])).alias(f"_row{j}")
+                for j in range(count)
+            ]
+            frames.append(
+                side.df.select(*on, F.lit(i).alias("_side"), F.col(side.order).alias("_o"), *rows)
+            )
+        return reduce(DataFrame.unionByName, frames)
+
+    def summary() -> DataFrame:
+        columns = [F.max("_side").alias("_drive"), F.count_if(F.col("_side") == 0).alias("_lefts")]
+        for i in range(count - 1):
+            here = F.when(F.col("_side") == i, F.col("_o"))
+            columns.append(F.min_by(f"_row{i}", here).alias(f"_first{i}"))
+        groups = tagged().groupBy(*on).agg(*columns)
+        return groups.withColumnsRenamed({c: f"_g_{c}" for c in on})
+
+    shown = []
+    for i, side in enumerate(sides):
+        match = F.col("_drive") == i
+        for c in on:
+            match = match & (F.col(c) == F.col(f"_g_{c}"))
+        driven = side.df.join(summary(), match).where(F.col("_lefts") > 0)
+        columns = []
+        for j in range(count):
+            for c in payload[j]:
+                if j == i:
+                    columns.append(F.col(c))
+                elif j < i:
+                    columns.append(F.col(f"_first{j}.{c}").alias(c))
+                else:
+                    columns.append(F.lit(None).cast(types[j][c].dataType).alias(c))
+        shown.append(driven.select(*on, *columns))
+    return reduce(DataFrame.unionByName, shown)

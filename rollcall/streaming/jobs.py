@@ -15,7 +15,7 @@ from rollcall.schemas import WIDE_COLUMNS
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
 from rollcall.sinks.topics import TRIGGER_SECONDS, file_writer
-from rollcall.streaming.facts import stream_left_join
+from rollcall.streaming.facts import stream_first_left_join, stream_left_join
 from rollcall.streaming.refresh import DimSnapshots
 
 EVERY_MINUTE = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
@@ -65,11 +65,23 @@ def wide_table(path: str, dynamic: bool = False, **options) -> KeyedTable:
     )
 
 
-def joined_stream(members: DataFrame, regtypes: DataFrame, payments: DataFrame) -> DataFrame:
-    """Left joins of the three watermarked facts, with the arrival columns."""
-    joined = stream_left_join(
-        member_side(members).df, regtype_side(regtypes).df, paymoney_side(payments).df
-    )
+def joined_stream(
+    members: DataFrame,
+    regtypes: DataFrame,
+    payments: DataFrame,
+    multiplicity: str = "left_outer",
+    parts: int = 1,
+) -> DataFrame:
+    """Left joins of the three watermarked facts, with the arrival columns.
+
+    ``left_outer`` gives matches as they arrive; ``first_left`` gives everything
+    when a window closes, and never more rows than came in.
+    """
+    sides = (member_side(members), regtype_side(regtypes), paymoney_side(payments))
+    if multiplicity == "first_left":
+        joined = stream_first_left_join(*sides)
+    else:
+        joined = stream_left_join(*[s.df for s in sides], parts=parts, order="member_seq")
     return joined.withColumn("seq", F.greatest("member_seq", "regtype_seq", "paymoney_seq"))
 
 
