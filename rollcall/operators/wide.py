@@ -76,6 +76,12 @@ def full_row(looked_up: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return named.select(*FULL_COLUMNS, *carry)
 
 
+def total_row(looked_up: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The full record with the payment as an amount that can be added up."""
+    amount = money("paymoney").cast("decimal(38,2)")
+    return full_row(looked_up.withColumn("paymoney", amount), carry)
+
+
 def wide_rules(dynamic: bool = False) -> MergeRules:
     """Latest row wins; blanks keep the four typed columns, or all of them."""
     names = [name for name, _, _ in WIDE_COLUMNS if name != "id"]

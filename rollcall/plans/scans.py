@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.functions import composite_key
 from rollcall.operators.route import (
     dimension_side, fact_side, is_dimension, keep_json_objects, quarantine, to_second_layer,
 )
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, with_
 from rollcall.plans.registry import query
-from rollcall.schemas import MEMBER, MEMBER_COLUMNS, PAYMONEY, REGTYPE
+from rollcall.schemas import BASE_SITE, MEMBER, MEMBER_COLUMNS, PAYMONEY, REGTYPE
+from rollcall.session import scratch_dir
+from rollcall.sinks.dims import put_by_rowkey
 from rollcall.sources.tables import scan_rowkeys, scan_where
 from rollcall.sources.typed import parse_record
 
@@ -183,11 +184,17 @@ def quarantine_rows(spark, sf_dir):
        WHERE siteid = 7 AND dn = 'webA'""",
 )
 def scan_dim_point(spark, sf_dir):
-    table = roles.dim(spark, sf_dir, "basewebsite")
+    """One site out of the stored site table; the test reaches the Parquet scan."""
+    table = _stored_sites(spark, sf_dir)
     columns = ["sitename", "siteurl", "delete", "createtime", "creator"]
     return scan_where(table, columns, siteid=7, dn="webA")
 
 
+def _stored_sites(spark, sf_dir):
+    path = scratch_dir(spark, "sites")
+    return put_by_rowkey(roles.dim(spark, sf_dir, "basewebsite"), BASE_SITE, path)
+
+
 @query(
     "scan_dim_by_rowkey",
     with_(DIMS)
@@ -195,6 +202,5 @@ def scan_dim_point(spark, sf_dir):
        WHERE siteid || '_' || dn IN ('3_webA', '8_webB')""",
 )
 def scan_dim_by_rowkey(spark, sf_dir):
-    table = roles.dim(spark, sf_dir, "basewebsite")
-    table = table.withColumn("rowkey", composite_key("siteid", "dn"))
+    table = _stored_sites(spark, sf_dir)
     return scan_rowkeys(table, ["3_webA", "8_webB"], ["sitename", "siteurl", "creator"])

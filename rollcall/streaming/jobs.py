@@ -10,8 +10,11 @@ from pyspark.sql.types import StructType
 
 from rollcall.operators.lookup import enrich
 from rollcall.operators.route import dimension_side, fact_side, keep_json_objects, to_second_layer
-from rollcall.operators.wide import JOINED_ORDER, member_side, paymoney_side, regtype_side, wide_row, wide_rules
-from rollcall.schemas import WIDE_COLUMNS
+from rollcall.operators.join import KEYS
+from rollcall.operators.wide import (
+    JOINED_ORDER, member_side, paymoney_side, regtype_side, total_rules, wide_row, wide_rules,
+)
+from rollcall.schemas import FULL_COLUMNS, WIDE_COLUMNS
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
 from rollcall.sinks.topics import TRIGGER_SECONDS, file_writer
@@ -65,6 +68,20 @@ def wide_table(path: str, dynamic: bool = False, **options) -> KeyedTable:
     )
 
 
+def total_table(path: str, **options) -> KeyedTable:
+    """The table of full member records whose payments add up, one per member."""
+    kinds = {"uid": "int", "ad_id": "int", "siteid": "int", "vip_id": "int", "paymoney": "decimal(38,2)"}
+    schema = ", ".join(f"`{name}` {kinds.get(name, 'string')}" for name in FULL_COLUMNS)
+    return KeyedTable(
+        path,
+        StructType.fromDDL(schema),
+        KEYS,
+        total_rules(),
+        arrival_schema(*JOINED_ORDER),
+        **options,
+    )
+
+
 def joined_stream(
     members: DataFrame,
     regtypes: DataFrame,
@@ -91,11 +108,16 @@ def start_wide(
     table: KeyedTable,
     checkpoint: str,
     trigger: dict = EVERY_MINUTE,
+    row: Callable = wide_row,
 ) -> StreamingQuery:
-    """Looks up each micro-batch of joined rows and merges it into the wide table."""
+    """Looks up each micro-batch of joined rows and merges it into the table.
+
+    ``row`` shapes the rows: ``wide_row`` for a ``wide_table``, ``total_row`` for
+    a ``total_table``.
+    """
 
     def handle(frame: DataFrame, batch_id: int) -> None:
         found = enrich(frame, snapshots.get(), unique=True)
-        table.apply(wide_row(found, carry=JOINED_ORDER), batch_id)
+        table.apply(row(found, carry=JOINED_ORDER), batch_id)
 
     return once_per_batch(joined, checkpoint, handle, trigger)
