@@ -72,6 +72,9 @@ def test_batches_in_any_order_of_arrival(spark, compact_every):
     assert as_dict(table.point(spark, k=1)) == {1: expected(rows)[1]}
     table.compact(spark)
     assert as_dict(table.current(spark)) == expected(rows)
+    assert table.vacuum(spark) > 0 and not table.superseded(spark)
+    assert as_dict(table.current(spark)) == expected(rows)
+    assert not table.apply(batch, 3)
 
 
 def test_empty_batch_counts(spark):
