@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from rollcall.operators.skew import ROWS_PER_TASK, split_left_join
+from rollcall.session import staged
 
 # Largest dimension that is sent whole to every executor.
 BROADCAST_ROWS = 1_000_000
@@ -109,20 +110,24 @@ def enrich(
 
     One row out per row in, misses are null. A dimension within the bounds is
     broadcast. A larger one is shuffled by key together with the facts, whose
-    hot ids and missing ids are spread out by the arrival order ``order``; for
-    that the facts are read twice, so hand in stored facts. Streaming facts use
+    hot ids and missing ids are spread out by the arrival order ``order``; the
+    facts are then stored first, to be counted by id. Streaming facts use
     Spark's plain join instead, their micro-batches being bounded by the source.
     """
     tables = [narrow(dims[s.name], s, unique) for s in specs]
-    for spec, table, (rows, size) in zip(specs, tables, measure(tables)):
+    small = [rows <= max_rows and size <= max_bytes for rows, size in measure(tables)]
+    if not all(small) and not facts.isStreaming:
+        facts = staged(facts, "facts")
+    found = facts
+    for spec, table, fits in zip(specs, tables, small):
         on = [spec.fact_key, "dn"]
-        if rows <= max_rows and size <= max_bytes:
-            facts = facts.join(F.broadcast(table), on, "left")
+        if fits:
+            found = found.join(F.broadcast(table), on, "left")
         elif facts.isStreaming:
-            facts = facts.join(table, on, "left")
+            found = found.join(table, on, "left")
         else:
-            facts = split_left_join(facts, table, on, order, rows_per_task)
-    return facts
+            found = split_left_join(found, table, on, order, rows_per_task, counted=facts)
+    return found
 
 
 def lookup(facts: DataFrame, dim: DataFrame, spec: DimSpec, **options) -> DataFrame:

@@ -55,14 +55,22 @@ def split_left_join(
     on: Sequence[str],
     order: str,
     rows_per_task: int = ROWS_PER_TASK,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of skewed rows with a lookup that has one row per key."""
-    hot = keep(hot_groups(rows, on, rows_per_task))
+    """Left join of skewed rows with a lookup that has one row per key.
+
+    Hot keys are counted on ``counted``, or on the rows themselves: pass the
+    stored frame the rows were made from to save making them twice.
+    """
+    hot = keep(hot_groups(rows if counted is None else counted, on, rows_per_task))
+    parts = F.col("_parts")
     if hot.isEmpty():
-        return rows.join(lookup, list(on), "left")
-    hot = F.broadcast(hot)
-    left = rows.join(hot, list(on), "left").withColumn(
-        "_part", part_of(order, F.col("_parts"), on)
-    )
-    right = lookup.join(hot, list(on), "left").withColumn("_part", each_part(F.col("_parts")))
-    return left.drop("_parts").join(right.drop("_parts"), [*on, "_part"], "left").drop("_part")
+        # Rows without a key still have to be spread out.
+        left = rows.withColumn("_part", part_of(order, F.lit(1), on))
+        right = lookup.withColumn("_part", F.lit(0))
+    else:
+        hot = F.broadcast(hot)
+        left = rows.join(hot, list(on), "left").withColumn("_part", part_of(order, parts, on))
+        right = lookup.join(hot, list(on), "left").withColumn("_part", each_part(parts))
+        left, right = left.drop("_parts"), right.drop("_parts")
+    return left.join(right, [*on, "_part"], "left").drop("_part")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rollcall import functions as R
 from rollcall.operators.route import (
-    dimension_side, fact_side, keep_json_objects, quarantine, to_second_layer,
+    dimension_side, fact_side, keep_json_objects, quarantine, to_second_layer, unknown_dimensions,
 )
 from rollcall.schemas import FULL_COLUMNS, MEMBER, PAYMONEY, RECORDS, WIDE_COLUMNS
 from rollcall.sources.tables import scan_rowkeys, scan_where
@@ -60,6 +60,9 @@ def test_routing(spark):
     df = spark.createDataFrame(rows, "topic string, value string, seq bigint")
     assert [r.seq for r in dimension_side(df).collect()] == [1]
     assert sorted(r.seq for r in fact_side(df).collect()) == [2, 3, 4]
+    assert {r.seq: r.reason for r in unknown_dimensions(df).collect()} == dict.fromkeys(
+        (2, 3, 4), "no dimension topic"
+    )
     second = to_second_layer(fact_side(df)).orderBy("seq").collect()
     assert [(r.topic, r.key) for r in second] == [("dwdmember", None), ("dwdnew", None), (None, None)]
 

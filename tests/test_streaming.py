@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.lookup import LOOKUPS
 from rollcall.operators.wide import JOINED_ORDER, total_row
 from rollcall.session import scratch_dir, stream_session
-from rollcall.streaming.facts import stream_left_join
+from rollcall.streaming.facts import DELAY, LATE_DELAY, SHORT_WINDOW, stream_left_join
 from rollcall.streaming.jobs import total_table
 
 SCHEMA = "uid int, dn string, ts timestamp, seq bigint"
@@ -19,9 +19,9 @@ def put(spark, path, rows):
     df.select("uid", "dn", F.timestamp_seconds("sec").alias("ts"), "seq").write.mode("append").parquet(path)
 
 
-def stream(sibling, path, name):
-    df = sibling.readStream.schema(SCHEMA).parquet(path).withWatermark("ts", "10 seconds")
-    return df.select("uid", "dn", F.window("ts", "10 minutes").alias("window"), F.col("seq").alias(name))
+def stream(sibling, path, name, size="10 minutes", delay="10 seconds"):
+    df = sibling.readStream.schema(SCHEMA).parquet(path).withWatermark("ts", delay)
+    return df.select("uid", "dn", F.window("ts", size).alias("window"), F.col("seq").alias(name))
 
 
 @pytest.mark.parametrize("parts", [1, 3])
@@ -51,6 +51,36 @@ def test_left_join_in_parts(spark, parts):
     assert Counter(tuple(r) for r in rows) == want
 
 
+@pytest.mark.parametrize("delay, kept", [(LATE_DELAY, range(5)), (DELAY, [])])
+def test_two_minutes_of_lateness(spark, delay, kept):
+    """Ten members; half the registrations come 90 seconds late, half much later."""
+    root, sibling = scratch_dir(spark, "late-test"), stream_session(spark, 2)
+    put(spark, f"{root}/l", [(u, "webA", 1000 + u, u) for u in range(10)])
+    joined = None
+
+    def run(lefts, rights):
+        nonlocal joined
+        put(spark, f"{root}/l", lefts)
+        put(spark, f"{root}/r", rights)
+        if joined is None:
+            joined = stream_left_join(
+                stream(sibling, f"{root}/l", "l_seq", SHORT_WINDOW, delay),
+                stream(sibling, f"{root}/r", "r_seq", SHORT_WINDOW, delay),
+            ).select("uid", "r_seq")
+        writer = joined.writeStream.format("parquet").option("path", f"{root}/out")
+        writer = writer.option("checkpointLocation", f"{root}/cp").trigger(availableNow=True)
+        writer.start().awaitTermination()
+
+    run([(-1, "webA", 1100, 90)], [(-2, "webA", 1100, 91)])
+    run([], [(u, "webA", 1001, 20 + u) for u in range(5)])
+    run([(-3, "webA", 2000, 92)], [(-4, "webA", 2000, 93)])
+    run([], [(u, "webA", 1001, 20 + u) for u in range(5, 10)])
+    run([(-5, "webA", 9000, 94)], [(-6, "webA", 9000, 95)])
+    rows = spark.read.parquet(f"{root}/out").where("uid >= 0").collect()
+    assert {r.uid: r.r_seq for r in rows} == {u: 20 + u if u in kept else None for u in range(10)}
+    assert len(rows) == 10
+
+
 def looked_up(spark, rows):
     names = [
         "uid", "dn", "paymoney", "fullname", "ad_id", "siteid", "vip_id", "createtime", *JOINED_ORDER,
