@@ -26,12 +26,6 @@ class Side:
     order: str
 
 
-def tumbling(df: DataFrame, moment, size: str, slide: str | None = None) -> DataFrame:
-    """Adds the ``window`` an event falls into, aligned to the epoch."""
-    args = (size, slide) if slide else (size,)
-    return df.withColumn("window", F.window(moment, *args))
-
-
 def _tagged(sides: Sequence[Side], on: Sequence[str]) -> DataFrame:
     parts = [
         s.df.select(*on, F.lit(i).alias("_side"), F.col(s.order).alias("_o"))

@@ -13,7 +13,7 @@ from rollcall.plans.joins import facts
 from rollcall.plans.registry import query
 from rollcall.schemas import FULL_COLUMNS, MEMBER, PAYMONEY, REGTYPE
 from rollcall.session import staged
-from rollcall.sources.typed import parse_record
+from rollcall.sources.typed import parse_record, with_window
 
 _SEQS = ("member_seq", "regtype_seq", "paymoney_seq")
 _SITE_COLUMNS = "sitename, siteurl, \"delete\", site_createtime, site_creator"
@@ -146,7 +146,7 @@ def dws_member_wide(spark, sf_dir):
     fact_rows = fact_side(roles.fact_envelope(spark, sf_dir))
     dim_rows = dimension_side(roles.dim_envelope(spark, sf_dir))
     typed = [
-        roles.windowed(staged(parse_record(fact_rows, s), s.topic), s)
+        with_window(staged(parse_record(fact_rows, s), s.topic), s, roles.WINDOW)
         for s in (MEMBER, REGTYPE, PAYMONEY)
     ]
     dims = {t: parse_record(dim_rows, s) for t, s in roles.DIM_SPECS.items()}

@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollcall.functions import int_to_ipv4, money_text, record_json
-from rollcall.operators.join import tumbling
-from rollcall.functions.times import event_time
 from rollcall.schemas import BASE_AD, BASE_SITE, BASE_VIP, MEMBER, PAYMONEY, REGTYPE, RecordSpec
-from rollcall.sources.typed import typed_columns
+from rollcall.sources.typed import typed_columns, with_window
 
 # Windows of the join queries; sign-ups, views and purchases of one member
 # rarely fall into the same ten minutes in these tables.
@@ -104,11 +102,7 @@ def facts(spark, sf_dir: str, spec: RecordSpec, window: str | None = WINDOW) ->
     """Typed facts with ``seq``, ``ts`` and their window."""
     wire = events_of(spark, sf_dir, spec).select(*fact_fields(spec), F.col("event_id").alias("seq"))
     typed = wire.select(*typed_columns(spec), "seq")
-    return windowed(typed, spec, window) if window else typed
-
-
-def windowed(typed: DataFrame, spec: RecordSpec, window: str = WINDOW) -> DataFrame:
-    return tumbling(typed.withColumn("ts", event_time(spec.event_time)), "ts", window)
+    return with_window(typed, spec, window) if window else typed
 
 
 _DIM_SOURCE = {

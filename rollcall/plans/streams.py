@@ -8,6 +8,8 @@ the last window.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +27,7 @@ from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable
+from rollcall.sinks.topics import file_writer
 from rollcall.sources.envelope import file_envelope
 from rollcall.sources.typed import parse_record
 from rollcall.streaming.changelog import stream_changelog
@@ -331,7 +334,11 @@ def stream_wide_member(spark, sf_dir):
 
     def split() -> None:
         queries = start_split(
-            file_envelope(stage.stream, log), tables, second, f"{stage.root}/split", ALL_AVAILABLE
+            file_envelope(stage.stream, log),
+            tables,
+            partial(file_writer, path=second),
+            f"{stage.root}/split",
+            ALL_AVAILABLE,
         )
         for q in queries:
             q.awaitTermination()

@@ -8,6 +8,9 @@ from rollcall.functions.json import ends_with_first_object, json_rows
 from rollcall.functions.times import event_time
 from rollcall.schemas import RecordSpec
 
+# Fixed value: the window of the fact joins.
+JOIN_WINDOW = "10 minutes"
+
 
 def typed_columns(spec: RecordSpec) -> list:
     """Columns of a record whose fields are still text; ids become int or null."""
@@ -32,3 +35,10 @@ def parse_record(envelope: DataFrame, spec: RecordSpec, topic: str | None = None
     if spec.event_time:
         typed = typed.where(event_time(spec.event_time).isNotNull())
     return typed
+
+
+def with_window(typed: DataFrame, spec: RecordSpec, size: str = JOIN_WINDOW) -> DataFrame:
+    """Adds the event time ``ts`` and the ``window`` it falls into, aligned to the epoch."""
+    return typed.withColumn("ts", event_time(spec.event_time)).withColumn(
+        "window", F.window("ts", size)
+    )

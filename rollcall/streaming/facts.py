@@ -12,9 +12,9 @@ from pyspark.sql.types import StructType
 from rollcall.functions import event_time
 from rollcall.operators.join import KEYS, Side
 from rollcall.schemas import RecordSpec
+from rollcall.sources.typed import JOIN_WINDOW
 
-# Windows, watermark delays and lateness of the fact joins.
-JOIN_WINDOW = "10 minutes"
+# Watermark delay and lateness of the fact joins, the short window.
 DELAY = "10 seconds"
 SHORT_WINDOW = "10 seconds"
 LATE_DELAY = "130 seconds"  # the delay and two minutes of allowed lateness

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from rollcall.operators.lookup import enrich
@@ -17,7 +17,7 @@ from rollcall.operators.wide import (
 from rollcall.schemas import FULL_COLUMNS, WIDE_COLUMNS
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
-from rollcall.sinks.topics import TRIGGER_SECONDS, file_writer
+from rollcall.sinks.topics import TRIGGER_SECONDS
 from rollcall.streaming.facts import stream_first_left_join, stream_left_join
 from rollcall.streaming.refresh import DimSnapshots
 
@@ -44,11 +44,19 @@ def once_per_batch(rows: DataFrame, checkpoint: str, handle: Callable, trigger:
 
 
 def start_split(
-    envelope: DataFrame, dims: DimTables, facts_path: str, checkpoint: str, trigger: dict = EVERY_MINUTE
+    envelope: DataFrame,
+    dims: DimTables,
+    write_facts: Callable[[DataFrame, str], DataStreamWriter],
+    checkpoint: str,
+    trigger: dict = EVERY_MINUTE,
 ) -> list[StreamingQuery]:
-    """Keeps JSON objects; dimension topics go into tables, all others to the second layer."""
+    """Keeps JSON objects; dimension topics go into tables, all others to the second layer.
+
+    ``write_facts(rows, checkpoint)`` makes the second layer's writer, such as
+    ``kafka_writer`` or ``file_writer`` with their target filled in.
+    """
     good = keep_json_objects(envelope)
-    facts = file_writer(to_second_layer(fact_side(good)), facts_path, f"{checkpoint}/facts")
+    facts = write_facts(to_second_layer(fact_side(good)), f"{checkpoint}/facts")
     return [
         facts.trigger(**trigger).start(),
         once_per_batch(dimension_side(good), f"{checkpoint}/dims", dims.apply, trigger),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators.changelog import arrival_changelog, expand
-from rollcall.operators.join import Side, tumbling
+from rollcall.operators.join import Side
 from rollcall.streaming.changelog import stream_changelog
 from rollcall.session import scratch_dir, stream_session
 
@@ -35,7 +35,7 @@ def side(spark, arrivals, which):
     name = f"{which}_seq"
     rows = [(a[2], a[3], a[4], a[0]) for a in arrivals if a[1] == which]
     df = spark.createDataFrame(rows, f"uid int, dn string, sec bigint, {name} bigint")
-    df = tumbling(df.withColumn("ts", F.timestamp_seconds("sec")), "ts", "1 hour")
+    df = df.withColumn("window", F.window(F.timestamp_seconds("sec"), "1 hour"))
     return Side(df.select("uid", "dn", "window", name), name)
 
 

@@ -50,7 +50,7 @@ def test_console_and_files(spark):
     assert file_envelope(spark, f"{root}/in", stream=False).count() == 10
     stream = file_envelope(stream_session(spark, 2), f"{root}/in", max_files=2)
     console_writer(stream, lines=1).trigger(availableNow=True).start().awaitTermination()
-    query = file_writer(stream, f"{root}/out", f"{root}/cp").trigger(availableNow=True).start()
+    query = file_writer(stream, f"{root}/cp", f"{root}/out").trigger(availableNow=True).start()
     query.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     assert {r.topic: r.n for r in out.groupBy("topic").agg(F.count("*").alias("n")).collect()} == {"t0": 5, "t1": 5}

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.join import Side, tumbling, windowed_left_join
+from rollcall.operators.join import Side, windowed_left_join
 
 HOUR = 3600
 
@@ -16,7 +16,7 @@ def sides(spark, lefts, *rights):
     made = []
     for i, rows in enumerate([lefts, *rights]):
         df = spark.createDataFrame(rows, f"uid int, dn string, sec bigint, s{i} bigint")
-        df = tumbling(df.withColumn("ts", F.timestamp_seconds("sec")), "ts", "1 hour")
+        df = df.withColumn("window", F.window(F.timestamp_seconds("sec"), "1 hour"))
         made.append(Side(df.select("uid", "dn", "window", f"s{i}"), f"s{i}"))
     return made
 
