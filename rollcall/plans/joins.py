@@ -61,6 +61,26 @@ def join_first_left_paymoney(spark, sf_dir):
     return _shown(join_facts(*facts(spark, sf_dir)), _TRIPLE)
 
 
+# With these bounds most groups count as hot.
+TINY_TASKS = 2
+TINY_STRETCH = 100
+
+
+@query("join_first_left_split", with_(FACTS, FIRST_LEFT) + f"SELECT {_TRIPLE}, {_START} FROM f2")
+def join_first_left_split(spark, sf_dir):
+    """The first-left join with groups cut into parts."""
+    return _shown(join_facts(*facts(spark, sf_dir), rows_per_task=TINY_TASKS), _TRIPLE)
+
+
+@query("join_left_outer_split", with_(FACTS, LEFT_OUTER) + f"SELECT {_TRIPLE}, {_START} FROM j2")
+def join_left_outer_split(spark, sf_dir):
+    """The chain of left joins with groups cut into a grid of parts."""
+    joined = join_facts(
+        *facts(spark, sf_dir), multiplicity="left_outer", rows_per_task=TINY_TASKS
+    )
+    return _shown(joined, _TRIPLE)
+
+
 # The ten-minute windows of the fact join, on which few rows meet in these tables.
 _TEN = (
     FACTS.replace("date_trunc('day', ts)", "time_bucket(INTERVAL 10 MINUTE, ts)")
@@ -114,6 +134,23 @@ def join_arrival_changelog(spark, sf_dir):
     return _shown(log, columns)
 
 
+@query(
+    "join_arrival_changelog_stretches",
+    with_(FACTS, CHANGELOG)
+    + f"""SELECT uid, dn, {_START}, member_seq, regtype_seq, min(a) AS first_arrival,
+  max(a) AS last_arrival, count(*) AS emissions
+FROM emitted GROUP BY uid, dn, win, member_seq, regtype_seq""",
+)
+def join_arrival_changelog_stretches(spark, sf_dir):
+    """The changelog with arrivals numbered in short stretches."""
+    members, regtypes, _ = facts(spark, sf_dir)
+    log = arrival_changelog(
+        member_side(members), regtype_side(regtypes), arrivals_per_chunk=TINY_STRETCH
+    )
+    columns = "uid, dn, member_seq, regtype_seq, first_arrival, last_arrival, emissions"
+    return _shown(log, columns)
+
+
 _SITE = "'web' || substr('ABC', CAST(user_id % 3 AS INTEGER) + 1, 1)"
 
 

@@ -69,6 +69,25 @@ def dim_lookup_site(spark, sf_dir):
     )
 
 
+@query(
+    "dim_lookup_site_shuffled",
+    with_(FACTS, DIMS)
+    + """SELECT p.uid, p.dn, p.siteid, p.paymoney_seq AS seq, s.sitename FROM pay p
+LEFT JOIN site s ON p.siteid = s.siteid AND p.dn = s.dn""",
+)
+def dim_lookup_site_shuffled(spark, sf_dir):
+    """The way of a dimension too large to broadcast, hot ids cut into parts."""
+    payments = roles.facts(spark, sf_dir, PAYMONEY, window=None)
+    found = lookup(
+        payments.select("uid", "dn", "siteid", "seq"),
+        roles.dim(spark, sf_dir, "basewebsite"),
+        SITE_LOOKUP,
+        max_rows=0,
+        rows_per_task=10,
+    )
+    return found.select("uid", "dn", "siteid", "seq", "sitename")
+
+
 @query(
     "dim_lookup_vip",
     with_(FACTS, DIMS)
