@@ -145,9 +145,11 @@ def fact_envelope(spark, sf_dir: str) -> DataFrame:
         F.array(*[F.lit(v) for v in ("[1]", "null", "{bad", "5", "{}")]),
         (F.col("event_id") % 5 + 1).cast("int"),
     )
+    # A generator makes each text once, as if it were a column of a stored log;
+    # otherwise filters on it would make it again.
     return table(spark, sf_dir, "events").select(
         topic.otherwise(F.lit("member")).alias("topic"),
-        value.otherwise(bad).alias("value"),
+        F.explode(F.array(value.otherwise(bad))).alias("value"),
         F.col("event_id").alias("seq"),
     )
 

@@ -120,7 +120,9 @@ def stream_join_final(spark, sf_dir):
     stage = Stage(spark, sf_dir, "join-final")
     for spec in FACT_SPECS:
         stage.put(spec)
-    rows = _plain_window(joined_stream(*[stage.facts(s) for s in FACT_SPECS]))
+    rows = _plain_window(
+        joined_stream(*[stage.facts(s) for s in FACT_SPECS], multiplicity="left_outer")
+    )
     stage.run(rows)
     stage.close_windows(*FACT_SPECS)
     stage.run(rows)
@@ -147,9 +149,7 @@ def stream_first_left_paymoney(spark, sf_dir):
     stage = Stage(spark, sf_dir, "first-left-paymoney")
     for spec in FACT_SPECS:
         stage.put(spec)
-    rows = _plain_window(
-        joined_stream(*[stage.facts(s) for s in FACT_SPECS], multiplicity="first_left")
-    )
+    rows = _plain_window(joined_stream(*[stage.facts(s) for s in FACT_SPECS]))
     stage.run(rows)
     stage.close_windows(*FACT_SPECS)
     stage.run(rows)
@@ -350,8 +350,9 @@ def stream_wide_member(spark, sf_dir):
             for s in FACT_SPECS
         ]
         snapshots = DimSnapshots(lambda: tables.lookups(stage.stream))
+        joined = joined_stream(*facts, multiplicity="left_outer")
         start_wide(
-            joined_stream(*facts), snapshots, table, f"{stage.root}/widen", ALL_AVAILABLE
+            joined, snapshots, table, f"{stage.root}/widen", ALL_AVAILABLE
         ).awaitTermination()
 
     split()

@@ -94,14 +94,16 @@ def joined_stream(
     members: DataFrame,
     regtypes: DataFrame,
     payments: DataFrame,
-    multiplicity: str = "left_outer",
+    multiplicity: str = "first_left",
     parts: int = 1,
 ) -> DataFrame:
     """Left joins of the three watermarked facts, with the arrival columns.
 
-    ``left_outer`` gives matches as they arrive; ``first_left`` gives everything
-    when a window closes, and never more rows than came in.
+    ``first_left`` gives everything when a window closes, and never more rows
+    than came in; ``left_outer`` gives matches as they arrive, cut into ``parts``.
     """
+    if multiplicity not in ("first_left", "left_outer"):
+        raise ValueError(f"unknown multiplicity {multiplicity!r}")
     sides = (member_side(members), regtype_side(regtypes), paymoney_side(payments))
     if multiplicity == "first_left":
         joined = stream_first_left_join(*sides)
