@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import table
+from rollcall.llm import langid, toxicity
+from rollcall.llm.common import is_held_out, table
+from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.packing import pack_documents
 from rollcall.llm.registry import ORACLES, QUERIES, query
 from rollcall.llm.token_files import read_blocks, scan_blocks, write_token_files
@@ -16,6 +18,28 @@ __all__ = ["ORACLES", "QUERIES"]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@query("op4_toxic_segments")
+def op4(spark, sf_dir):
+    """Every document's toxicity."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    """Every document's language."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs.select("doc_id", "text"), langid.fit(docs)).select(
+        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op7_license_scan")
+def op7(spark, sf_dir):
+    """Licence findings in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op9_best_fit_packing")
 def op9(spark, sf_dir):
     """Every document's pieces with their sequence and place."""
