@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from rollcall.llm import langid, toxicity
+from rollcall.llm.chosen_path import similarity_classes
 from rollcall.llm.common import is_held_out, table
 from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.packing import pack_documents
@@ -34,6 +35,12 @@ def op5(spark, sf_dir):
     )
 
 
+@query("op6_ngram_jaccard_join")
+def op6(spark, sf_dir):
+    """Every document's class of similar documents and its number of links."""
+    return similarity_classes(table(spark, sf_dir, "documents"))
+
+
 @query("op7_license_scan")
 def op7(spark, sf_dir):
     """Licence findings in every document."""
