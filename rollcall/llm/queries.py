@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollcall.llm import langid, toxicity
 from rollcall.llm.chosen_path import similarity_classes
 from rollcall.llm.common import is_held_out, table
+from rollcall.llm.decontaminate import mark_leaks
 from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.packing import pack_documents
 from rollcall.llm.registry import ORACLES, QUERIES, query
@@ -47,6 +48,14 @@ def op7(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query("op8_benchmark_leaks")
+def op8(spark, sf_dir):
+    """The benchmark items that stand in documents, one row for each pair."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = mark_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 @query("op9_best_fit_packing")
 def op9(spark, sf_dir):
     """Every document's pieces with their sequence and place."""
