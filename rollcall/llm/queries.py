@@ -10,9 +10,11 @@ from rollcall.llm.chosen_path import similarity_classes
 from rollcall.llm.common import is_held_out, table
 from rollcall.llm.decontaminate import mark_leaks
 from rollcall.llm.licenses import scan_licenses
+from rollcall.llm.maxscore import dense_terms, top_k
 from rollcall.llm.packing import pack_documents
 from rollcall.llm.registry import ORACLES, QUERIES, query
 from rollcall.llm.token_files import read_blocks, scan_blocks, write_token_files
+from rollcall.llm.warc import derive, responses
 from rollcall.session import scratch_dir
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,6 +22,37 @@ __all__ = ["ORACLES", "QUERIES"]
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+TOP_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           coalesce(list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])), 0)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS "rank" FROM s
+)
+SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5
+"""
+
+
+@query("op1_maxscore_top_k", TOP_SQL)
+def op1(spark, sf_dir):
+    """The five best vectors for every fiftieth one."""
+    vectors = dense_terms(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@query("op3_warc_derivatives")
+def op3(spark, sf_dir):
+    """Metadata and conversion records of a response for every page, without their bytes."""
+    return derive(responses(table(spark, sf_dir, "pages"))).withColumn("record_crc32", F.crc32("record")).drop("record")
+
+
 @query("op4_toxic_segments")
 def op4(spark, sf_dir):
     """Every document's toxicity."""
