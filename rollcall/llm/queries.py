@@ -24,13 +24,13 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 TOP_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS e
+    SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-           coalesce(list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])), 0)::BIGINT AS score
+           coalesce(list_sum([z[1] * z[2] FOR z IN list_zip(q.e, c.e)]), 0)::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 50 = 0
 ), r AS (
