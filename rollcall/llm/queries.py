@@ -10,6 +10,7 @@ from rollcall.llm.chosen_path import similarity_classes
 from rollcall.llm.common import is_held_out, table
 from rollcall.llm.decontaminate import mark_leaks
 from rollcall.llm.licenses import scan_licenses
+from rollcall.llm.line_dedup import dedup_lines
 from rollcall.llm.maxscore import dense_terms, top_k
 from rollcall.llm.packing import pack_documents
 from rollcall.llm.registry import ORACLES, QUERIES, query
@@ -47,6 +48,15 @@ def op1(spark, sf_dir):
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+@query("op2_line_dedup")
+def op2(spark, sf_dir):
+    """Every document's lines, and which of them stand elsewhere in near the same words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed", F.length("text").alias("n_chars_left")
+    )
+
+
 @query("op3_warc_derivatives")
 def op3(spark, sf_dir):
     """Metadata and conversion records of a response for every page, without their bytes."""
