@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "edges"
     )
-    print_now = _print(now)
+    seen = _fingerprint(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -50,11 +50,12 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         now = staged(small, "edges")
-        before, print_now = print_now, _print(now)
-        if before == print_now:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before, seen = seen, _fingerprint(now)
+        if before == seen:
+            tops = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(tops)
 
 
-def _print(edges: DataFrame) -> tuple:
+def _fingerprint(edges: DataFrame) -> tuple:
     hashed = F.xxhash64("u", "v")
     return tuple(edges.agg(F.count("*"), F.bit_xor(hashed), F.sum(F.shiftrightunsigned(hashed, 24))).first())
