@@ -1,8 +1,71 @@
-"""A corpus from raw documents to packed sequences."""
+"""A corpus from raw documents to packed sequences, stage by stage."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rollcall.llm import langid
+from rollcall.llm.chosen_path import keep_one
+from rollcall.llm.common import DOCUMENT_COLUMNS, table
+from rollcall.llm.decontaminate import mark_leaks
+from rollcall.llm.line_dedup import dedup_lines
+from rollcall.llm.packing import pack_documents
+from rollcall.session import prepare, staged
+
+# A document whose best language is less likely than this is rejected.
+LEAST_SCORE = 0.3
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages; those without a letter or of no clear language go."""
+    named = langid.predict(docs.select(*DOCUMENT_COLUMNS), langid.fit(docs))
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return named.where(known).select(*DOCUMENT_COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated lines; a document that loses all its lines goes."""
+    own = dedup_lines(docs.select(*DOCUMENT_COLUMNS))
+    left = (F.size("removed") == 0) | F.col("text").rlike(r"\S")
+    return own.where(left).withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
+
+
+def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones."""
+    return keep_one(docs.select(*DOCUMENT_COLUMNS))
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    marked = mark_leaks(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "benchmark"))
+    return marked.where(F.size("leaks") == 0).select(*DOCUMENT_COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language identification", languages),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", similar),
+    ("benchmark decontamination", leaks),
+    ("best-fit packing", packed),
+]
+
+# Models, MinHash and tokenisation are beyond SQL; tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES):
+            docs = staged(docs, "stage")
+    return docs

@@ -273,17 +273,8 @@ def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]):
         yield current, rows
 
 
-def similarity_classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(doc_id, class_id, n_links), one row for each row of ``docs``.
-
-    Two rows are linked if the Jaccard similarity of their n-gram sets is at
-    least the threshold; equal sets always are, found by a 64-bit key.
-    ``class_id`` is the smallest doc_id that links lead to, ``n_links`` the
-    number of rows linked directly. Texts of fewer words than an n-gram link
-    with equal ones only; null texts and texts without words with none: they
-    are classes of their own. Repeated rows count each. A null doc_id is kept;
-    a class of such rows only has none. Other columns are left out.
-    """
+def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """The rows with the keys of their sets, and (key, root, weight, least, links) of every set."""
     rows = staged(set_rows(docs, s), "sets")
     classes = staged(
         rows.where("key is not null")
@@ -333,10 +324,43 @@ def similarity_classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         classes.select("key", "weight", "least").join(per_class, "key", "left").join(roots, F.col("key") == F.col("node"), "left")
         .select("key", "weight", "least", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "key").alias("root"))
     )
-    info = staged(info, "info")
+    return rows, staged(info, "info")
+
+
+def similarity_classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """(doc_id, class_id, n_links), one row for each row of ``docs``.
+
+    Two rows are linked if the Jaccard similarity of their n-gram sets is at
+    least the threshold; equal sets always are, found by a 64-bit key.
+    ``class_id`` is the smallest doc_id that links lead to, ``n_links`` the
+    number of rows linked directly. Texts of fewer words than an n-gram link
+    with equal ones only; null texts and texts without words with none: they
+    are classes of their own. Repeated rows count each. A null doc_id is kept;
+    a class of such rows only has none. Other columns are left out.
+    """
+    rows, info = _classes(docs, s)
     least = info.groupBy("root").agg(F.min("least").alias("class_id"))
     info = info.join(least, "root").select("key", "class_id", (F.col("links") + F.col("weight") - 1).alias("n_links"))
     return rows.select("doc_id", "key").join(info, "key", "left").select(
         "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` without those that are similar to one that stays.
+
+    Of each class the row of the smallest doc_id stays (null first, then by a
+    hash of the text), once if it is repeated. Texts without words all stay.
+    """
+    rows, info = _classes(docs, s)
+    name = F.struct("doc_id", "text_hash")
+    one = rows.join(info.select("key", "root"), "key").groupBy("root").agg(F.min(name).alias("one")).select("one.*")
+    alone = rows.where("key is null").select("doc_id", "text_hash").distinct()
+    wanted = one.withColumn("_many", F.lit(False)).unionByName(alone.withColumn("_many", F.lit(True)))
+    wanted = wanted.select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_wanted_hash"), "_many")
+    named = docs.withColumn("_text_hash", F.xxhash64("text"))
+    same = (F.col("_text_hash") == F.col("_wanted_hash")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id"))
+    kept = staged(named.join(wanted, same).drop("_wanted_hash", "_doc_id"), "kept")
+    once = kept.where(~F.col("_many")).dropDuplicates(["doc_id", "_text_hash"])
+    return once.unionByName(kept.where("_many")).select(*docs.columns)
