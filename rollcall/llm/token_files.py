@@ -105,7 +105,7 @@ def scan_blocks(blocks: DataFrame, end_id: int = END_ID, width: int = 2, span: i
             "_n": F.coalesce(F.sum("n").over(inside), F.lit(0)),
             "_ends": F.coalesce(F.sum("n_ends").over(inside), F.lit(0)),
         }
-    ).withColumn("_last", F.col("_n") + F.element_at("ends", -1) + 1)
+    ).withColumn("_last", F.col("_n") + F.try_element_at("ends", F.lit(-1)) + 1)
     local = local.withColumn("_open", F.max("_last").over(inside))
     totals = local.groupBy("file", "span").agg(
         F.sum("n").alias("t_n"), F.sum("n_ends").alias("t_ends"), F.max("_last").alias("t_last")
