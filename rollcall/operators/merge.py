@@ -64,8 +64,11 @@ def lift(
     return rows.select(*columns)
 
 
-def combine(states: DataFrame, key: Sequence[str], rules: MergeRules) -> DataFrame:
-    """One state per key; states of one key may come in any order."""
+def combine(states: DataFrame, key: Sequence[str], rules: MergeRules, repeats: bool = False) -> DataFrame:
+    """One state per key; states of one key may come in any order.
+
+    With ``repeats`` the states of a key are of one and the same counted row.
+    """
     aggregates = []
     if rules.last:
         aggregates.append(F.max_by("_last", "_last.at").alias("_last"))
@@ -76,7 +79,8 @@ def combine(states: DataFrame, key: Sequence[str], rules: MergeRules) -> DataFra
     types = {f.name: f.dataType for f in states.schema}
     for c in rules.total:
         name = f"_total_{c}"
-        aggregates.append(F.sum(name).cast(types[name]).alias(name))
+        total = F.max(name) if repeats else F.sum(name)
+        aggregates.append(total.cast(types[name]).alias(name))
     return states.groupBy(*key).agg(*aggregates)
 
 

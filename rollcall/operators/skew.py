@@ -2,7 +2,7 @@
 
 A group is hot when it has more rows than one task should take. There are at
 most ``rows / rows_per_task`` such groups, so their list may be broadcast.
-Every row of a hot group gets a part number from its arrival order and the
+Every row of a hot group gets a part number from a hash of its arrival and the
 other side of a join is repeated once per part; cold groups are left alone.
 """
 
@@ -40,7 +40,7 @@ def part_of(order: str, parts: Column, on: Sequence[str]) -> Column:
     """Part number of a row; rows without a key never match and are spread out."""
     return (
         F.when(any_null(on), F.pmod(F.xxhash64(order), F.lit(NULL_PARTS)))
-        .otherwise(F.pmod(F.col(order).cast("bigint"), F.coalesce(parts, F.lit(1))))
+        .otherwise(F.pmod(F.xxhash64(order), F.coalesce(parts, F.lit(1))))
         .cast("int")
     )
 

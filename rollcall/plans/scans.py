@@ -167,12 +167,11 @@ def sink_dwd_topic(spark, sf_dir):
     return to_second_layer(fact_side(keep_json_objects(roles.envelope(spark, sf_dir))))
 
 
-@query(
-    "quarantine_rows",
-    with_(FACTS, DIMS, ENVELOPE)
-    + """SELECT topic, seq, CASE WHEN value = '{}' THEN 'no uid' ELSE 'not a json object' END AS reason
-FROM env WHERE topic = 'member' AND (NOT json_valid(value) OR json_type(value) <> 'OBJECT' OR value = '{}')""",
-)
+BAD_ROWS = """SELECT topic, seq, CASE WHEN value = '{}' THEN 'no uid' ELSE 'not a json object' END AS reason
+FROM env WHERE topic = 'member' AND (NOT json_valid(value) OR json_type(value) <> 'OBJECT' OR value = '{}')"""
+
+
+@query("quarantine_rows", with_(FACTS, DIMS, ENVELOPE) + BAD_ROWS)
 def quarantine_rows(spark, sf_dir):
     return quarantine(roles.envelope(spark, sf_dir)).select("topic", "seq", "reason")
 

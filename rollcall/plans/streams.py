@@ -13,6 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from rollcall.operators.join import Side
 from rollcall.operators.lookup import VIP_LOOKUP, lookup
 from rollcall.operators.merge import MergeRules
 from rollcall.operators.wide import member_side, regtype_side
@@ -22,6 +23,7 @@ from rollcall.plans.base_sql import DIMS, FACTS, FIRST_LEFT, LEFT_OUTER, WIDE_SE
 from rollcall.plans.joins import _PAIR, _START, _TRIPLE, CHANGELOG, _shown
 from rollcall.plans.lookups import plain_times
 from rollcall.plans.registry import query
+from rollcall.plans.scans import BAD_ROWS, ENVELOPE
 from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _last, _last_set, _names
 from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
@@ -259,7 +261,7 @@ def stream_dim_refresh(spark, sf_dir):
     changed = dim_rows.withColumn("value", renamed).withColumn("seq", F.col("seq") + 1_000_000_000_000)
     snapshots = DimSnapshots(lambda: tables.lookups(stage.stream), seconds=0)
 
-    def handle(frame: DataFrame, batch_id: int) -> None:
+    def handle(frame: DataFrame, batch_id: int, query_id: str) -> None:
         found = lookup(frame, snapshots.get()["membervip"], VIP_LOOKUP, unique=True)
         found.write.mode("overwrite").parquet(f"{stage.root}/out/batch={batch_id}")
 
@@ -309,6 +311,98 @@ def stream_restart_idempotent(spark, sf_dir):
     return table.current(spark)
 
 
+@query(
+    "stream_new_checkpoint",
+    with_(FACTS)
+    + """SELECT uid, dn, CAST(sum(CAST(paymoney AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS paymoney,
+  max_by(vip_id, paymoney_seq) AS vip_id
+FROM pay GROUP BY uid, dn""",
+)
+def stream_new_checkpoint(spark, sf_dir):
+    """A job loses its checkpoint: what comes afterwards counts, what it reads again does not."""
+    stage = Stage(spark, sf_dir, "new-checkpoint")
+    table = KeyedTable(
+        f"{stage.root}/totals",
+        StructType.fromDDL("uid int, dn string, vip_id int, paymoney decimal(38,2)"),
+        ("uid", "dn"),
+        MergeRules(last=("vip_id",), total=("paymoney",)),
+        compact_every=2,
+    )
+    for number, (low, high) in enumerate(STAGES):
+        stage.put(PAYMONEY, _between(low, high))
+        amounts = stage.typed(PAYMONEY).select(
+            "uid", "dn", "vip_id", money("paymoney").cast("decimal(38,2)").alias("paymoney"), "seq"
+        )
+        checkpoint = f"{stage.root}/checkpoint-{max(0, number - 1)}"
+        once_per_batch(amounts, checkpoint, table.apply, ALL_AVAILABLE).awaitTermination()
+    return table.current(spark)
+
+
+_NULL_DN = """
+n AS (SELECT uid, CASE WHEN member_seq % 7 = 0 THEN NULL ELSE dn END AS dn, register, iconurl, win, member_seq
+      FROM member),
+nf AS (SELECT *, row_number() OVER (PARTITION BY uid, dn, win ORDER BY member_seq) AS ord FROM n),
+nj AS (
+  SELECT nf.uid, nf.dn, nf.win, nf.member_seq, r.regtype_seq FROM nf
+  LEFT JOIN regtype r ON nf.uid = r.uid AND nf.dn = r.dn AND nf.win = r.win
+  WHERE r.uid IS NULL OR nf.ord = 1)
+"""
+
+
+@query(
+    "stream_first_left_null_dn",
+    with_(FACTS, _NULL_DN) + f"SELECT uid, dn, member_seq, regtype_seq, {_START} FROM nj",
+)
+def stream_first_left_null_dn(spark, sf_dir):
+    """Members without a dn join nothing, and none of them is lost."""
+    stage = Stage(spark, sf_dir, "first-left-null-dn")
+    for spec in (MEMBER, REGTYPE):
+        stage.put(spec)
+    left, right = _pair(stage)
+    left = left.withColumn("dn", F.when(F.col("member_seq") % 7 != 0, F.col("dn")))
+    rows = _plain_window(stream_first_left_join(Side(left, "member_seq"), Side(right, "regtype_seq")))
+    stage.run(rows)
+    stage.close_windows(MEMBER, REGTYPE)
+    stage.run(rows)
+    out = _shown(stage.result(rows.schema), _PAIR)
+    return out.select("uid", "dn", "member_seq", "regtype_seq", "window_start")
+
+
+@query(
+    "stream_first_left_narrow",
+    with_(FACTS, FIRST_LEFT) + "SELECT uid, dn, member_seq FROM f2",
+)
+def stream_first_left_narrow(spark, sf_dir):
+    """The rows do not depend on the columns that are asked for."""
+    stage = Stage(spark, sf_dir, "first-left-narrow")
+    for spec in FACT_SPECS:
+        stage.put(spec)
+    rows = joined_stream(*[stage.facts(s) for s in FACT_SPECS]).select("uid", "dn", "member_seq")
+    stage.run(rows)
+    stage.close_windows(*FACT_SPECS)
+    stage.run(rows)
+    return stage.result(rows.schema).where("uid >= 0")
+
+
+@query("stream_quarantine", with_(FACTS, DIMS, ENVELOPE) + BAD_ROWS)
+def stream_quarantine(spark, sf_dir):
+    """What the splitting job puts aside."""
+    stage = Stage(spark, sf_dir, "quarantine")
+    roles.envelope(spark, sf_dir).write.parquet(f"{stage.root}/log")
+    queries = start_split(
+        file_envelope(stage.stream, f"{stage.root}/log"),
+        DimTables(f"{stage.root}/dims"),
+        partial(file_writer, path=f"{stage.root}/second"),
+        f"{stage.root}/split",
+        ALL_AVAILABLE,
+        write_bad=partial(file_writer, path=f"{stage.root}/bad"),
+    )
+    for q in queries:
+        q.awaitTermination()
+    bad = spark.read.schema("value string, seq bigint, reason string, topic string").parquet(f"{stage.root}/bad")
+    return bad.select("topic", "seq", "reason")
+
+
 _WIDE_OUTER = with_(FACTS, LEFT_OUTER, DIMS, looked_up("j2")) + f""",
 w AS (SELECT {WIDE_SELECT}, row_number() OVER (PARTITION BY uid, dn ORDER BY {_ORDER_SQL}) AS ord
       FROM e),
@@ -339,6 +433,7 @@ def stream_wide_member(spark, sf_dir):
             partial(file_writer, path=second),
             f"{stage.root}/split",
             ALL_AVAILABLE,
+            write_bad=partial(file_writer, path=f"{stage.root}/bad"),
         )
         for q in queries:
             q.awaitTermination()

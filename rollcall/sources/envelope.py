@@ -30,13 +30,13 @@ def kafka_read_options(
 
 
 def decode(log: DataFrame) -> DataFrame:
-    """Kafka rows to envelopes; the record key is ignored.
+    """Kafka rows to envelopes; the record key is ignored, bad bytes become the replacement sign.
 
     ``seq`` is unique within a topic: the offset, then the partition number.
     """
     return log.select(
         "topic",
-        F.decode("value", "UTF-8").alias("value"),
+        F.make_valid_utf8(F.col("value").cast("string")).alias("value"),
         (F.shiftleft(F.col("offset"), 16) + F.col("partition")).alias("seq"),
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from rollcall.functions import event_time
 from rollcall.operators.join import KEYS, Side
+from rollcall.operators.skew import any_null
 from rollcall.schemas import RecordSpec
 from rollcall.sources.typed import JOIN_WINDOW
 
@@ -63,51 +63,40 @@ def stream_first_left_join(*sides: Side, keys: Sequence[str] = KEYS) -> DataFram
     """Of each group only the first left row pairs with the rows of the right sides.
 
     The last side that has rows in a group shows all of them, the sides before it
-    their first row by arrival; ``sides[0]`` is the left one. Everything comes
-    out when the watermark passes the window. A summary per group is joined with
-    each side by inner joins only, since every row has its group's summary.
+    their first row by arrival; ``sides[0]`` is the left one. Groups come out
+    when the watermark passes the window: one summary of them is joined with the
+    rows of all sides. A left row without a key joins nothing and comes out at
+    once; rows of the other sides without a key never show.
     """
     on = [*keys, "window"]
     count = len(sides)
     payload = [[c for c in s.df.columns if c not in on] for s in sides]
-    types = [s.df.schema for s in sides]
-
-    def tagged() -> DataFrame:
-        frames = []
-        for i, side in enumerate(sides):
-            rows = [
-                F.struct(*payload[j]).alias(f"_row{j}")
-                if i == j
-                else F.lit(None).cast(StructType([types[j][c] for c in payload[j]])).alias(f"_row{j}")
-                for j in range(count)
-            ]
-            frames.append(
-                side.df.select(*on, F.lit(i).alias("_side"), F.col(side.order).alias("_o"), *rows)
-            )
-        return reduce(DataFrame.unionByName, frames)
-
-    def summary() -> DataFrame:
-        columns = [F.max("_side").alias("_drive"), F.count_if(F.col("_side") == 0).alias("_lefts")]
-        for i in range(count - 1):
-            here = F.when(F.col("_side") == i, F.col("_o"))
-            columns.append(F.min_by(f"_row{i}", here).alias(f"_first{i}"))
-        groups = tagged().groupBy(*on).agg(*columns)
-        return groups.withColumnsRenamed({c: f"_g_{c}" for c in on})
-
-    shown = []
-    for i, side in enumerate(sides):
-        match = F.col("_drive") == i
-        for c in on:
-            match = match & (F.col(c) == F.col(f"_g_{c}"))
-        driven = side.df.join(summary(), match).where(F.col("_lefts") > 0)
-        columns = []
-        for j in range(count):
-            for c in payload[j]:
-                if j == i:
-                    columns.append(F.col(c))
-                elif j < i:
-                    columns.append(F.col(f"_first{j}.{c}").alias(c))
-                else:
-                    columns.append(F.lit(None).cast(types[j][c].dataType).alias(c))
-        shown.append(driven.select(*on, *columns))
-    return reduce(DataFrame.unionByName, shown)
+    empty = [F.lit(None).cast(StructType([s.df.schema[c] for c in p])) for s, p in zip(sides, payload)]
+
+    def tagged(i: int) -> DataFrame:
+        rows = [(F.struct(*payload[j]) if i == j else empty[j]).alias(f"_row{j}") for j in range(count)]
+        return sides[i].df.select(*on, F.lit(i).alias("_side"), F.col(sides[i].order).alias("_o"), *rows)
+
+    keyless = any_null(keys)
+    rows = reduce(DataFrame.unionByName, [tagged(i) for i in range(count)]).where(~keyless)
+    firsts = [
+        F.min_by(f"_row{i}", F.when(F.col("_side") == i, F.col("_o"))).alias(f"_first{i}")
+        for i in range(count - 1)
+    ]
+    lefts = F.count_if(F.col("_side") == 0).alias("_lefts")
+    groups = rows.groupBy(*on).agg(F.max("_side").alias("_drive"), lefts, *firsts)
+    groups = groups.withColumnsRenamed({c: f"_g_{c}" for c in on})
+    match = F.col("_side") == F.col("_drive")
+    for c in on:
+        match = match & (F.col(c) == F.col(f"_g_{c}"))
+    shown = rows.join(groups, match).where(F.col("_lefts") > 0)
+    columns = []
+    for j, names in enumerate(payload):
+        for c in names:
+            own = F.when(F.col("_side") == j, F.col(f"_row{j}.{c}"))
+            if j < count - 1:
+                own = own.when(F.col("_side") > j, F.col(f"_first{j}.{c}"))
+            columns.append(own.alias(c))
+    alone = tagged(0).where(keyless)
+    lone = [F.col(f"_row{j}.{c}").alias(c) for j, names in enumerate(payload) for c in names]
+    return shown.select(*on, *columns).unionByName(alone.select(*on, *lone))

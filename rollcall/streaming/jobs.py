@@ -9,7 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from rollcall.operators.lookup import enrich
-from rollcall.operators.route import dimension_side, fact_side, keep_json_objects, to_second_layer
+from rollcall.operators.route import (
+    dimension_side, fact_side, keep_json_objects, quarantine, to_second_layer,
+)
 from rollcall.operators.join import KEYS
 from rollcall.operators.wide import (
     JOINED_ORDER, member_side, paymoney_side, regtype_side, total_rules, wide_row, wide_rules,
@@ -26,12 +28,16 @@ ALL_AVAILABLE = {"availableNow": True}
 
 
 def once_per_batch(rows: DataFrame, checkpoint: str, handle: Callable, trigger: dict) -> StreamingQuery:
-    """Runs ``handle(frame, batch id)`` per micro-batch; the frame is computed once."""
+    """Runs ``handle(frame, batch id, query id)`` per micro-batch; the frame is computed once.
+
+    Batch ids start again with a new checkpoint, and so does the query's id.
+    """
 
     def run(frame: DataFrame, batch_id: int) -> None:
         frame.persist()
         try:
-            handle(frame, batch_id)
+            query_id = frame.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            handle(frame, batch_id, query_id)
         finally:
             frame.unpersist()
 
@@ -49,16 +55,22 @@ def start_split(
     write_facts: Callable[[DataFrame, str], DataStreamWriter],
     checkpoint: str,
     trigger: dict = EVERY_MINUTE,
+    *,
+    write_bad: Callable[[DataFrame, str], DataStreamWriter],
 ) -> list[StreamingQuery]:
     """Keeps JSON objects; dimension topics go into tables, all others to the second layer.
 
     ``write_facts(rows, checkpoint)`` makes the second layer's writer, such as
     ``kafka_writer`` or ``file_writer`` with their target filled in.
+    ``write_bad`` makes the writer of the rows that this job or the next one
+    cannot use, with the reason.
     """
     good = keep_json_objects(envelope)
     facts = write_facts(to_second_layer(fact_side(good)), f"{checkpoint}/facts")
+    bad = write_bad(quarantine(envelope), f"{checkpoint}/bad")
     return [
         facts.trigger(**trigger).start(),
+        bad.trigger(**trigger).start(),
         once_per_batch(dimension_side(good), f"{checkpoint}/dims", dims.apply, trigger),
     ]
 
@@ -77,7 +89,10 @@ def wide_table(path: str, dynamic: bool = False, **options) -> KeyedTable:
 
 
 def total_table(path: str, **options) -> KeyedTable:
-    """The table of full member records whose payments add up, one per member."""
+    """The table of full member records whose payments add up, one per member.
+
+    A payment counts once, however many joined rows it is in.
+    """
     kinds = {"uid": "int", "ad_id": "int", "siteid": "int", "vip_id": "int", "paymoney": "decimal(38,2)"}
     schema = ", ".join(f"`{name}` {kinds.get(name, 'string')}" for name in FULL_COLUMNS)
     return KeyedTable(
@@ -86,6 +101,7 @@ def total_table(path: str, **options) -> KeyedTable:
         KEYS,
         total_rules(),
         arrival_schema(*JOINED_ORDER),
+        unit=("paymoney_seq",),
         **options,
     )
 
@@ -126,8 +142,8 @@ def start_wide(
     a ``total_table``.
     """
 
-    def handle(frame: DataFrame, batch_id: int) -> None:
+    def handle(frame: DataFrame, batch_id: int, query_id: str) -> None:
         found = enrich(frame, snapshots.get(), unique=True)
-        table.apply(row(found, carry=JOINED_ORDER), batch_id)
+        table.apply(row(found, carry=JOINED_ORDER), batch_id, query_id)
 
     return once_per_batch(joined, checkpoint, handle, trigger)
