@@ -31,6 +31,9 @@ class Settings:
     recall: float = 0.995
     small: int = 64  # a node of more members is split further
     depth: int = 4  # after so many splits a node is compared whatever its size, in blocks
+    # Members of a node stay if a share of coordinates agrees with some other member's; a pair at the
+    # threshold falls below it with a chance of 0.00003.
+    sketch: float = 0.6
     block_tokens: int = 1 << 20  # n-grams of one side of a block comparison
 
     def second(self) -> float:
@@ -107,6 +110,49 @@ def leaves(classes: DataFrame, s: Settings) -> DataFrame:
     return found
 
 
+def promising(found: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
+    """The members (node, key) whose signature is near that of another member of their node.
+
+    Nodes of more than ``_SKETCHED`` members are left as they are.
+    """
+
+    def near(keys: list[int], flat: list[np.ndarray]) -> list[int]:
+        signed = np.stack(flat)
+        agree = (signed[:, None, :] == signed[None, :, :]).mean(axis=2)
+        np.fill_diagonal(agree, 0)
+        return [k for k, kept in zip(keys, (agree >= s.sketch).any(axis=1).tolist(), strict=True) if kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, keys, flat, large = None, [], [], False
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            signed = np.asarray(batch.column("signature").flatten()).reshape(-1, s.coordinates)
+            for i, (own, key) in enumerate(zip(batch.column("node").to_pylist(), batch.column("key").to_pylist(), strict=True)):
+                if own != node:
+                    out += [(node, k) for k in (keys if large else near(keys, flat) if len(keys) > 1 else ())]
+                    node, keys, flat, large = own, [], [], False
+                keys.append(key)
+                if not large:
+                    flat.append(signed[i])
+                if len(keys) > _SKETCHED:
+                    out += [(node, k) for k in keys]
+                    keys, flat, large = [], [], True
+            yield _rows(out)
+        yield _rows([(node, k) for k in (keys if large else near(keys, flat) if len(keys) > 1 else ())])
+
+    def _rows(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "key"])
+
+    return (
+        found.join(classes.select("key", "signature"), "key").select("node", "key", "signature")
+        .repartition("node").sortWithinPartitions("node", "key").mapInArrow(run, "node long, key long")
+    )
+
+
+_SKETCHED = 256
+
+
 class Comparer:
     """Compares the members of one node, or of two of its blocks."""
 
@@ -285,7 +331,7 @@ def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
         ),
         "classes",
     )
-    found = staged(leaves(classes, s), "leaves")
+    found = staged(promising(leaves(classes, s), classes, s), "leaves")
     compared = found.groupBy("key").agg(F.sort_array(F.collect_set("node")).alias("nodes"))
     wanted = staged(
         compared.join(classes.select("key", "weight", "n", "one"), "key")
