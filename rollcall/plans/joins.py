@@ -165,30 +165,30 @@ def _text(moment):
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-@query(
-    "window_sliding_counts",
-    f"""WITH w AS (
+SLIDING_SQL = f"""WITH w AS (
   SELECT {_SITE} AS dn, time_bucket(INTERVAL 5 SECOND, ts) - INTERVAL 5 SECOND * k AS s
   FROM events, (SELECT unnest([0, 1]) AS k))
-SELECT dn, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, count(*) AS n FROM w GROUP BY dn, s""",
-)
+SELECT dn, strftime(s, '%Y-%m-%d %H:%M:%S.%f') AS window_start, count(*) AS n FROM w GROUP BY dn, s"""
+
+
+@query("window_sliding_counts", SLIDING_SQL)
 def window_sliding_counts(spark, sf_dir):
     return sliding_counts(_site_events(spark, sf_dir), ["dn"]).select(
         "dn", _text("window.start").alias("window_start"), "n"
     )
 
 
-@query(
-    "window_session_counts",
-    f"""WITH e AS (SELECT {_SITE} AS dn, ts FROM events),
+SESSION_SQL = f"""WITH e AS (SELECT {_SITE} AS dn, ts FROM events),
 g AS (
   SELECT dn, ts, CASE WHEN ts <= lag(ts) OVER (PARTITION BY dn ORDER BY ts) + INTERVAL 5 SECOND
                       THEN 0 ELSE 1 END AS fresh FROM e),
 s AS (SELECT dn, ts, sum(fresh) OVER (PARTITION BY dn ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
 SELECT dn, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
   strftime(max(ts) + INTERVAL 5 SECOND, '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS n
-FROM s GROUP BY dn, k""",
-)
+FROM s GROUP BY dn, k"""
+
+
+@query("window_session_counts", SESSION_SQL)
 def window_session_counts(spark, sf_dir):
     return session_counts(_site_events(spark, sf_dir), ["dn"]).select(
         "dn",

@@ -13,6 +13,7 @@ from rollcall.plans.registry import query
 from rollcall.schemas import BASE_SITE, MEMBER, MEMBER_COLUMNS, PAYMONEY, REGTYPE
 from rollcall.session import scratch_dir
 from rollcall.sinks.dims import put_by_rowkey
+from rollcall.sources.envelope import decode
 from rollcall.sources.tables import scan_rowkeys, scan_where
 from rollcall.sources.typed import parse_record
 
@@ -171,6 +172,24 @@ BAD_ROWS = """SELECT topic, seq, CASE WHEN value = '{}' THEN 'no uid' ELSE 'not
 FROM env WHERE topic = 'member' AND (NOT json_valid(value) OR json_type(value) <> 'OBJECT' OR value = '{}')"""
 
 
+@query(
+    "src_envelope_decoded",
+    """SELECT event_type AS topic, event_id * 65536 + event_id % 8 AS seq,
+  CASE WHEN event_id % 10 = 0 THEN props || chr(65533) ELSE props END AS value FROM events""",
+)
+def src_envelope_decoded(spark, sf_dir):
+    """Rows as a log reader gives them, every tenth with a byte that is no text."""
+    text = F.col("props").cast("binary")
+    broken = F.concat(text, F.unhex(F.lit("FF")))
+    log = roles.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"),
+        F.when(F.col("event_id") % 10 == 0, broken).otherwise(text).alias("value"),
+        (F.col("event_id") % 8).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    return decode(log)
+
+
 @query("quarantine_rows", with_(FACTS, DIMS, ENVELOPE) + BAD_ROWS)
 def quarantine_rows(spark, sf_dir):
     return quarantine(roles.envelope(spark, sf_dir)).select("topic", "seq", "reason")

@@ -16,15 +16,18 @@ from pyspark.sql.types import StructType
 from rollcall.operators.join import Side
 from rollcall.operators.lookup import VIP_LOOKUP, lookup
 from rollcall.operators.merge import MergeRules
+from rollcall.operators.sessions import session_counts, sliding_counts
 from rollcall.operators.wide import member_side, regtype_side
 from rollcall.functions import money, record_json, to_millis
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, FIRST_LEFT, LEFT_OUTER, WIDE_SELECT, looked_up, with_
-from rollcall.plans.joins import _PAIR, _START, _TRIPLE, CHANGELOG, _shown
+from rollcall.plans.joins import (
+    _PAIR, _START, _TRIPLE, CHANGELOG, SESSION_SQL, SLIDING_SQL, _shown, _site_events, _text,
+)
 from rollcall.plans.lookups import plain_times
 from rollcall.plans.registry import query
 from rollcall.plans.scans import BAD_ROWS, ENVELOPE
-from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _last, _last_set, _names
+from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _TABLE_SQL, _last, _last_set, _names
 from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
 from rollcall.sinks.dims import DimTables
@@ -259,7 +262,8 @@ def stream_dim_refresh(spark, sf_dir):
     dim_rows = roles.dim_envelope(spark, sf_dir)
     renamed = F.regexp_replace("value", r'("vip_level":"[^"]*)"', r'$1/new"')
     changed = dim_rows.withColumn("value", renamed).withColumn("seq", F.col("seq") + 1_000_000_000_000)
-    snapshots = DimSnapshots(lambda: tables.lookups(stage.stream), seconds=0)
+    now = [0.0]
+    snapshots = DimSnapshots(lambda: tables.lookups(stage.stream), seconds=60, clock=lambda: now[0])
 
     def handle(frame: DataFrame, batch_id: int, query_id: str) -> None:
         found = lookup(frame, snapshots.get()["membervip"], VIP_LOOKUP, unique=True)
@@ -269,6 +273,14 @@ def stream_dim_refresh(spark, sf_dir):
         [(dim_rows, (None, FIRST_BORDER)), (changed, (FIRST_BORDER, None))]
     ):
         tables.apply(dims, version)
+        if version == 1:
+            # Within the interval the old rows are still seen; they come again below.
+            snapshots.get()
+            now[0] += 59
+            stale = snapshots.get()["membervip"].where(F.col("vip_level").endswith("/new"))
+            if not stale.isEmpty():
+                raise AssertionError("a snapshot changed before its time")
+            now[0] += 1
         stage.put(PAYMONEY, _between(*bounds))
         payments = stage.typed(PAYMONEY).select("uid", "dn", "vip_id", "seq")
         once_per_batch(
@@ -384,6 +396,36 @@ def stream_first_left_narrow(spark, sf_dir):
     return stage.result(rows.schema).where("uid >= 0")
 
 
+def _counted(spark, sf_dir, label, counts, column):
+    """Window counts of the events' sites as a stream, closed by a last event."""
+    stage = Stage(spark, sf_dir, label)
+    events = _site_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    last = events.agg(F.max("ts").alias("ts")).select(F.lit("end").alias("dn"), F.col("ts") + F.expr("INTERVAL 2 DAYS"))
+    path = f"{stage.root}/events"
+    events.select("dn", "ts").write.parquet(path)
+    stream = stage.stream.readStream.schema("dn string, ts timestamp").parquet(path).withWatermark("ts", DELAY)
+    found = counts(stream, ["dn"])
+    rows = found.select(
+        "dn", F.col(f"{column}.start").alias("start"), F.col(f"{column}.end").alias("end"), "n"
+    )
+    stage.run(rows)
+    last.toDF("dn", "ts").write.mode("append").parquet(path)
+    stage.run(rows)
+    return stage.result(rows.schema).where("dn <> 'end'")
+
+
+@query("stream_sliding_counts", SLIDING_SQL)
+def stream_sliding_counts(spark, sf_dir):
+    found = _counted(spark, sf_dir, "sliding", sliding_counts, "window")
+    return found.select("dn", _text("start").alias("window_start"), "n")
+
+
+@query("stream_session_counts", SESSION_SQL)
+def stream_session_counts(spark, sf_dir):
+    found = _counted(spark, sf_dir, "session", session_counts, "session")
+    return found.select("dn", _text("start").alias("session_start"), _text("end").alias("session_end"), "n")
+
+
 @query("stream_quarantine", with_(FACTS, DIMS, ENVELOPE) + BAD_ROWS)
 def stream_quarantine(spark, sf_dir):
     """What the splitting job puts aside."""
@@ -419,6 +461,22 @@ wn AS (SELECT *, max(ord) OVER (PARTITION BY id) AS n FROM w)
 )
 def stream_wide_member(spark, sf_dir):
     """Both standing jobs end to end: log, dimension tables, joins, wide table."""
+    return _wide_member(spark, sf_dir, "left_outer")
+
+
+@query(
+    "stream_wide_member_first_left",
+    _TABLE_SQL
+    + "SELECT id, "
+    + ", ".join(_last_set(c) if c in _KEPT else _last(c) for c in _names())
+    + " FROM wn GROUP BY id",
+)
+def stream_wide_member_first_left(spark, sf_dir):
+    """The same with the default join; gives the rows of the batch table."""
+    return _wide_member(spark, sf_dir, "first_left")
+
+
+def _wide_member(spark, sf_dir, multiplicity):
     stage = Stage(spark, sf_dir, "wide-member")
     log = f"{stage.root}/log"
     tables = DimTables(f"{stage.root}/dims")
@@ -445,7 +503,7 @@ def stream_wide_member(spark, sf_dir):
             for s in FACT_SPECS
         ]
         snapshots = DimSnapshots(lambda: tables.lookups(stage.stream))
-        joined = joined_stream(*facts, multiplicity="left_outer")
+        joined = joined_stream(*facts, multiplicity=multiplicity)
         start_wide(
             joined, snapshots, table, f"{stage.root}/widen", ALL_AVAILABLE
         ).awaitTermination()

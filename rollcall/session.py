@@ -88,4 +88,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.staged_path = path
+    return stored
+
+
+def remove(stored: DataFrame) -> None:
+    """Removes the files of a staged frame that nobody reads any more."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.staged_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,6 +16,9 @@ def kafka_read_options(
     max_offsets: int | None = None,
     group_id: str | None = None,
 ) -> dict[str, str]:
+    """Options of the log's reader; from the earliest offset on, a batch needs a limit."""
+    if starting == "earliest" and not max_offsets:
+        raise ValueError("max_offsets is needed when a stream starts at the earliest offset")
     names = topics.split(",") if isinstance(topics, str) else list(topics)
     options = {
         "kafka.bootstrap.servers": servers,

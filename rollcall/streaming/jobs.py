@@ -17,6 +17,7 @@ from rollcall.operators.wide import (
     JOINED_ORDER, member_side, paymoney_side, regtype_side, total_rules, wide_row, wide_rules,
 )
 from rollcall.schemas import FULL_COLUMNS, WIDE_COLUMNS
+from rollcall.session import STREAM_CONF
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
 from rollcall.sinks.topics import TRIGGER_SECONDS
@@ -30,7 +31,8 @@ ALL_AVAILABLE = {"availableNow": True}
 def once_per_batch(rows: DataFrame, checkpoint: str, handle: Callable, trigger: dict) -> StreamingQuery:
     """Runs ``handle(frame, batch id, query id)`` per micro-batch; the frame is computed once.
 
-    Batch ids start again with a new checkpoint, and so does the query's id.
+    Batch ids start again with a new checkpoint, and so does the query's id. State
+    lives in RocksDB, whatever the session says.
     """
 
     def run(frame: DataFrame, batch_id: int) -> None:
@@ -41,6 +43,8 @@ def once_per_batch(rows: DataFrame, checkpoint: str, handle: Callable, trigger:
         finally:
             frame.unpersist()
 
+    for key, value in STREAM_CONF.items():
+        rows.sparkSession.conf.set(key, value)
     return (
         rows.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)

@@ -1,7 +1,10 @@
 """Options of outside systems, console, log decoding."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from rollcall.functions.times import event_time
+from rollcall.operators.skew import part_of
 from rollcall.session import scratch_dir, stream_session
 from rollcall.sinks.topics import console_writer, file_writer, kafka_write_options
 from rollcall.sources.envelope import decode, file_envelope, kafka_read_options
@@ -17,7 +20,9 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "500",
         "kafka.group.id": "g",
     }
-    assert kafka_read_options("h", ["a", "b"])["subscribe"] == "a,b"
+    assert kafka_read_options("h", ["a", "b"], starting="latest")["subscribe"] == "a,b"
+    with pytest.raises(ValueError):
+        kafka_read_options("h", "a")
     assert kafka_write_options("h", "/c")["checkpointLocation"] == "/c"
 
 
@@ -54,3 +59,21 @@ def test_console_and_files(spark):
     query.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     assert {r.topic: r.n for r in out.groupBy("topic").agg(F.count("*").alias("n")).collect()} == {"t0": 5, "t1": 5}
+
+
+def test_times_out_of_range_are_null(spark):
+    df = spark.createDataFrame([("9223372036854775807",), ("-9223372036854775808",), ("1000",), ("x",)], "t string")
+    got = [r[0] for r in df.select(event_time("t").cast("bigint")).collect()]
+    assert got == [None, None, 1, None]
+
+
+def test_bad_bytes_are_replaced(spark):
+    df = spark.createDataFrame([("t", b"a\xffb", 1, 2)], "topic string, value binary, partition int, offset bigint")
+    assert decode(df).first().value == "a\ufffdb"
+
+
+def test_parts_of_one_partition_are_even(spark):
+    keys = F.lit(1).alias("k")
+    rows = spark.range(1000).select(keys, (F.col("id") * 65536 + 3).alias("seq"))
+    counts = rows.groupBy(part_of("seq", F.lit(8), ["k"])).count().collect()
+    assert len(counts) == 8 and max(r["count"] for r in counts) < 200

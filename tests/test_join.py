@@ -128,4 +128,4 @@ def test_hot_group_is_split(spark):
         .withColumn("p", part_of("seq", F.col("_parts"), ["k"]))
         .groupBy("p").count().collect()
     )
-    assert len(sizes) == 10 and max(r["count"] for r in sizes) == 100
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 150

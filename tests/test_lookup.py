@@ -1,5 +1,6 @@
 """Lookups: both join strategies, guards, refresh."""
 
+import os
 import random
 from collections import Counter
 
@@ -64,20 +65,23 @@ def test_fill_blank(spark):
     assert {tuple(r) for r in fill_blank(df, ["a", "b"]).collect()} == {("", "1"), ("x", "")}
 
 
-def test_snapshots_are_read_again_after_the_interval():
+def test_snapshots_are_read_again_after_the_interval(spark):
     now, loads = [0.0], []
-    snapshots = DimSnapshots(lambda: loads.append(1) or {"n": len(loads)}, 10, clock=lambda: now[0])
-    assert snapshots.get() == {"n": 1}
+    load = lambda: loads.append(1) or {"n": spark.range(len(loads))}
+    snapshots = DimSnapshots(load, 10, clock=lambda: now[0])
+    first = snapshots.get()["n"]
+    assert first.count() == 1
     now[0] = 9.9
-    assert snapshots.get() == {"n": 1}
+    assert snapshots.get()["n"] is first
     now[0] = 10.0
-    assert snapshots.get() == {"n": 2}
+    assert snapshots.get()["n"].count() == 2
+    assert not os.path.exists(first.staged_path)
 
 
-def test_zero_interval_reads_every_time():
+def test_zero_interval_reads_every_time(spark):
     loads = []
-    snapshots = DimSnapshots(lambda: loads.append(1) or {"n": len(loads)}, 0)
-    assert [snapshots.get()["n"] for _ in range(3)] == [1, 2, 3]
+    snapshots = DimSnapshots(lambda: loads.append(1) or {"n": spark.range(len(loads))}, 0)
+    assert [snapshots.get()["n"].count() for _ in range(3)] == [1, 2, 3]
 
 
 def test_chain_keeps_facts(spark, ads):

@@ -101,9 +101,10 @@ def looked_up(spark, rows):
 def test_totals_add_up_and_first_row_stays(spark):
     table = total_table(scratch_dir(spark, "totals-test"), buckets=2)
     batches = [
-        [{"uid": 1, "dn": "webA", "paymoney": "10.50", "fullname": "a", "seq": 1, "member_seq": 1}],
+        [{"uid": 1, "dn": "webA", "paymoney": "10.50", "fullname": "a", "seq": 1, "member_seq": 1, "paymoney_seq": 1}],
         [
-            {"uid": 1, "dn": "webA", "paymoney": "10.50", "fullname": "b", "seq": 2, "member_seq": 1},
+            {"uid": 1, "dn": "webA", "paymoney": "10.50", "fullname": "b", "seq": 2, "member_seq": 1, "paymoney_seq": 2},
+            {"uid": 1, "dn": "webA", "paymoney": "10.50", "fullname": "b", "seq": 2, "member_seq": 2, "paymoney_seq": 2},
             {"uid": 1, "dn": "webA", "paymoney": "", "fullname": "c", "seq": 3, "member_seq": 1},
             {"uid": 2, "dn": "webA", "paymoney": None, "fullname": "d", "seq": 4, "member_seq": 4},
         ],

@@ -1,6 +1,7 @@
 """Merging rules and keyed tables."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql.types import StructType
@@ -91,7 +92,7 @@ def test_unfinished_batch_is_ignored(spark):
     broken = spark.createDataFrame([(1, "lost", "b", "c", 9, 2)], ROW)
     spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
-        table._write(broken.limit(0), "batch", 1)
+        table._write(broken.limit(0), f"batch-{1:012d}--1")
     finally:
         spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert table.version(spark) == 0
@@ -194,3 +195,24 @@ def test_dimension_tables(spark):
 
 def test_arrival_schema_names():
     assert arrival_schema("a", "b").fieldNames() == ["a", "b"]
+
+
+def test_a_new_writer_goes_on(spark):
+    """Another query's batches count from their first; repeated rows change nothing."""
+    schema = StructType.fromDDL("k int, v string, amount decimal(38,2)")
+    rules = MergeRules(last=("v",), total=("amount",))
+    table = KeyedTable(scratch_dir(spark, "writers-test"), schema, ("k",), rules, buckets=2, compact_every=2)
+    make = lambda *rows: spark.createDataFrame(
+        [(k, v, Decimal(a), seq) for k, v, a, seq in rows], "k int, v string, amount decimal(38,2), seq bigint"
+    )
+    assert table.apply(make((1, "a", 1, 1), (2, "b", 2, 2)), 0, "one")
+    assert table.apply(make((1, "c", 4, 3), (1, "c", 4, 3)), 1, "one")
+    assert not table.apply(make((1, "z", 9, 9)), 1, "one")
+    assert table.apply(make((1, "a", 1, 1), (1, "c", 4, 3), (3, "d", 8, 4)), 0, "two")
+    assert table.apply(make((3, "e", 16, 5)), 1, "two")
+    assert (table.version(spark, "one"), table.version(spark, "two"), table.version(spark)) == (1, 1, -1)
+    want = [(1, "c", 5), (2, "b", 2), (3, "e", 24)]
+    assert sorted((r.k, r.v, int(r.amount)) for r in table.current(spark).collect()) == want
+    assert table.vacuum(spark) > 0
+    assert not table.apply(make((1, "z", 9, 9)), 1, "one")
+    assert sorted((r.k, r.v, int(r.amount)) for r in table.current(spark).collect()) == want
