@@ -204,6 +204,6 @@ def test_leaks(spark):
                 x = got[item]
                 assert least <= x.edits <= s.edits(len(own))
                 assert distance(own, text[x.first_word : x.first_word + x.n_words]) <= x.edits
-    assert wanted > 50 and found >= 0.97 * wanted
+    assert wanted > 50 and found >= 0.95 * wanted
     assert 34 in {x.item_id for r in rows if r.doc_id == 202 for x in r.leaks}
     assert decontaminate.mark_leaks(frame, spark.createDataFrame([], "item_id long, text string")).where("size(leaks) > 0").count() == 0
