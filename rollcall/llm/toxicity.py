@@ -32,6 +32,8 @@ class Settings:
     stem: int = 4  # characters of a word's beginning
     prior: float = 20.0  # weight of the pooled frequencies, in documents
     least_z: float = 3.5
+    least_z_stem: float = 4.5
+    least_kinds: int = 4
     drift: float = 0.15  # what a word without evidence takes off a segment
     most_odds: float = 8.0
     significant: float = 0.01
@@ -161,14 +163,25 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     alpha = F.lit(s.prior) * (F.col("y") + F.col("x")) / F.lit(float(a + b))
     top, low = F.col("y") + alpha, F.col("x") + alpha
     odds = F.log(top / (a + s.prior - top + 1)) - F.log(low / (b + s.prior - low + 1))
-    rows = (
+    counted = (
         learn.select("text", "toxic")
         .mapInArrow(split, "token string, toxic int")
         .groupBy("token")
         .agg(F.sum("toxic").cast("double").alias("y"), F.sum(1 - F.col("toxic")).cast("double").alias("x"))
+    )
+    # A beginning says more than its words only if several of them are in toxic documents.
+    begun = (
+        counted.where((F.col("y") > 0) & (F.length("token") > s.stem) & ~F.col("token").endswith("*"))
+        .groupBy(F.concat(F.substring("token", 1, s.stem), F.lit("*")).alias("token"))
+        .agg(F.count("*").alias("kinds"))
+    )
+    needed = F.when(F.col("token").endswith("*"), s.least_z_stem).otherwise(s.least_z)
+    rows = (
+        counted.join(begun, "token", "left")
+        .where(~F.col("token").endswith("*") | (F.col("kinds") >= s.least_kinds))
         .withColumn("odds", odds)
         .withColumn("z", F.col("odds") / F.sqrt(1 / top + 1 / low))
-        .where(F.abs("z") >= s.least_z)
+        .where(F.abs("z") >= needed)
         .orderBy(F.abs("z").desc(), "token")
         .limit(s.most_tokens)
         .select("token", "odds")
