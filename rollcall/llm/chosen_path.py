@@ -351,7 +351,8 @@ def _classes(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     same = (F.col("d.text_hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
     sets = (
-        text.alias("d").join(wanted.alias("w"), same).select("key", "text").dropDuplicates(["key"])
+        # Merged at every size, so that small inputs move what large ones do.
+        text.alias("d").join(wanted.alias("w").hint("merge"), same).select("key", "text").dropDuplicates(["key"])
         .mapInArrow(tokens, "key long, tokens binary")
     )
     sizes = found.join(classes.select("key", "n"), "key").groupBy("node").agg(
