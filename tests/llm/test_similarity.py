@@ -156,6 +156,20 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(frame.where("false")).count() == 0
 
 
+def joined(spark, pairs):
+    """Whether the lines of each pair are in one component."""
+    lines = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
+    classes = line_dedup.line_classes(spark.createDataFrame(lines, "id long, line string"))
+    root = {r.node: r.root for r in classes.collect()}
+    return [root.get(2 * i, 2 * i) == root.get(2 * i + 1, 2 * i + 1) for i in range(len(pairs))]
+
+
+def test_long_lines_of_few_ngrams(spark):
+    pairs = [(c * 250, c * 399) for c in "=-#~"] + [(c * 100, c * 300) for c in "*+_."]
+    pairs += [(f"{w} " * 30, f"{w} " * 90) for w in ("ab", "word", "longer")]
+    assert all(joined(spark, pairs))
+
+
 def distance(item, text):
     """The least word edits between the item and any passage of the text."""
     row = [0] * (len(text) + 1)
