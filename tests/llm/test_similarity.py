@@ -170,6 +170,28 @@ def test_long_lines_of_few_ngrams(spark):
     assert all(joined(spark, pairs))
 
 
+def planted_lines(rnd, size):
+    """Two lines of about ``size`` n-grams whose similarity is 0.80 to 0.85."""
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)).replace(" ", "_")
+    while True:
+        both = rnd.randrange(size // 2, size + 1)
+        if 0.80 <= both / (2 * size - both) <= 0.85:
+            own = text(both + 7)
+            return own + "0" + text(size - both - 1), own + "1" + text(size - both - 1)
+
+
+def test_pairs_at_the_threshold_are_found(spark):
+    rnd = random.Random(12)
+    kinds = [20, 40, 150, 400]
+    pairs = [planted_lines(rnd, size) for size in kinds for _ in range(1000)]
+    sets = [[{x[i : i + 8] for i in range(len(x) - 7)} for x in pair] for pair in pairs]
+    assert all(near(a, b) and not near(a, b, 0.86) for a, b in sets)
+    found = joined(spark, pairs)
+    lost = [1000 - sum(found[i * 1000 : (i + 1) * 1000]) for i in range(len(kinds))]
+    # 0.003 of those at the threshold itself may be.
+    assert max(lost) <= 8, lost
+
+
 def distance(item, text):
     """The least word edits between the item and any passage of the text."""
     row = [0] * (len(text) + 1)
