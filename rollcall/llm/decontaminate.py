@@ -1,10 +1,9 @@
 """Benchmark passages in documents, found through the edit distance of word sequences.
 
-The CGK random walk copies a sequence of words symbol by symbol, standing
-still or going on by the toss of a hash of step and symbol; near sequences
-give walks that agree in most steps. Some steps of the walk are sampled as an
-LSH key for windows of item size, repeatedly; hits are checked by the exact
-edit distance.
+An item that may differ in k words is cut into k + 1 runs of words: k edits
+leave one of them whole, wherever and of whatever kind they are. The runs are
+looked for at every word of the texts; from each hit on, the rest of the item
+is compared to both sides by the exact edit distance. No leak is lost.
 """
 
 from __future__ import annotations
@@ -27,12 +26,8 @@ class Settings:
     """An item of n words leaks if a passage is within ``floor(share * n)`` word edits of it."""
 
     share: float = 0.15
-    samples: int = 4  # steps of the walk in a key
-    walks: int = 6
-    keys_per_walk: int = 4
     longest: int = 256  # words; longer items are looked for by pieces, any of which is a leak
     item_bytes: int = 16 << 20  # text of items that one scan holds; more items take more scans
-    seed: int = 7
 
     def edits(self, n: int) -> int:
         return math.floor(self.share * n + 1e-9)
@@ -60,10 +55,28 @@ class Index:
         # Symbol 0: no item has the word. The last symbol closes a text.
         self.close = len(vocabulary) + 1
         self.items = [np.searchsorted(vocabulary, x) + 1 for x in words]
-        by_class: dict[int, list[int]] = {}
-        for i, x in enumerate(self.items):
-            by_class.setdefault(round(math.log(len(x)) / math.log(1.2)), []).append(i)
-        self.classes = [self._class(sorted(own), k) for k, own in sorted(by_class.items())]
+        self.flat = np.concatenate([*self.items, np.zeros(0, np.int64)])
+        self.sizes = np.array([len(x) for x in self.items], np.int64)
+        self.offsets = np.cumsum(self.sizes) - self.sizes
+        self.most = np.array([s.edits(len(x)) for x in self.items], np.int64)
+        self.runs = self._runs()
+
+    def _runs(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(words of a run, sorted keys, their items, where the runs begin in them, which first bits occur at all)."""
+        by_size: dict[int, list[tuple[int, int]]] = {}
+        for i, (n, most) in enumerate(zip(self.sizes.tolist(), self.most.tolist(), strict=True)):
+            edges = [n * j // (most + 1) for j in range(most + 2)]
+            for x, y in zip(edges, edges[1:], strict=False):
+                by_size.setdefault(y - x, []).append((i, x))
+        out = []
+        for size, own in sorted(by_size.items()):
+            keys = _fold(np.array([self.items[i][x : x + size] for i, x in own]))
+            order = np.argsort(keys, kind="stable")
+            item, begin = np.array(own, np.int64)[order].T
+            seen = np.zeros(1 << 18, bool)
+            seen[keys >> np.uint64(46)] = True
+            out.append((size, keys[order], item, begin, seen))
+        return out
 
     @staticmethod
     def _layers(vocabulary: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -85,126 +98,109 @@ class Index:
             out = np.where(held[slot] == hashed, symbol[slot], out)
         return out
 
-    def _class(self, own: list[int], number: int) -> dict:
-        s = self.s
-        sizes = [len(self.items[i]) for i in own]
-        shortest, longest = min(sizes), max(sizes)
-        most = s.edits(longest)
-        # A passage can be taken to begin with a word that the item has among its first ones.
-        entries = [(i, skip) for i in own for skip in range(s.edits(len(self.items[i])) + 1)]
-        starts = np.zeros(self.close + 1, bool)
-        starts[[self.items[i][skip] for i, skip in entries]] = True
-        steps = max(2, int(1.5 * (shortest - most)))
-        rng = np.random.default_rng([s.seed, number])
-        width = longest + steps + 2
-        flat = np.full((len(entries), width), self.close, np.int32)
-        for row, (i, skip) in enumerate(entries):
-            rest = self.items[i][skip:]
-            flat[row, : len(rest)] = rest
-        keys = []
-        for _ in range(s.walks):
-            coins = (mix(rng.integers(1 << 63, size=(steps, self.close + 1), dtype=np.int64).view(np.uint64)) >> np.uint64(63)).astype(np.int8)
-            coins[:, self.close] = 0  # the walk stays at the end
-            walked = self._walk(flat.ravel(), np.arange(len(entries)) * width, coins)
-            for _ in range(s.keys_per_walk):
-                picked = np.sort(rng.choice(steps, size=min(s.samples, steps), replace=False))
-                keys.append((coins, picked, self._table(walked[:, picked])))
-        return {
-            "shortest": shortest, "longest": longest, "least": shortest - s.edits(shortest), "reach": longest + most,
-            "starts": starts, "entries": entries, "keys": keys, "steps": steps,
-        }
-
-    @staticmethod
-    def _walk(flat: np.ndarray, at: np.ndarray, coins: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(at), len(coins)), np.int32)
-        at = at.astype(np.int32)
-        for j, coin in enumerate(coins):
-            out[:, j] = flat[at]
-            at += coin[out[:, j]]
-        return out
-
-    @staticmethod
-    def _table(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys, their rows, and which first bits occur at all."""
-        keys = _fold(samples)
-        order = np.argsort(keys, kind="stable")
-        seen = np.zeros(1 << 18, bool)
-        seen[keys >> np.uint64(46)] = True
-        return keys[order], order, seen
-
     def search(self, symbols: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(piece, first word, number of words, edits) of every leak in texts closed by ``close``."""
-        known = np.concatenate([[0], np.cumsum(symbols > 0, dtype=np.int32)])
-        known -= np.concatenate([[0], np.cumsum(symbols == self.close, dtype=np.int32)])
+        # Words of items before each place; the places of a text end with its closing symbol.
+        inside = (symbols > 0) & (symbols != self.close)
+        known = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])
+        close = np.flatnonzero(symbols == self.close)
         out: list[tuple[int, int, int, int]] = []
-        for c in self.classes:
-            start = np.flatnonzero(c["starts"][symbols])
-            until = np.minimum(start + c["reach"], len(symbols))
-            start = start[known[until] - known[start] >= c["least"]]
-            if len(start):
-                out += self._verify(symbols, c, self._candidates(symbols, c, start))
+        key, done = np.zeros(len(symbols), np.uint64), 0
+        for size, keys, item, begin, seen in self.runs:
+            for j in range(done, size):
+                key = mix(key[: len(symbols) - j] + symbols[j:].astype(np.uint64) + np.uint64(1))
+            done = size
+            near = np.flatnonzero(seen[key >> np.uint64(46)])
+            low, high = np.searchsorted(keys, key[near]), np.searchsorted(keys, key[near], side="right")
+            near, low, n = near[high > low], low[high > low], (high - low)[high > low]
+            # Hits are gone through in blocks; a hit may be of many items.
+            for rows in _blocks(n):
+                times = n[rows]
+                hit = np.repeat(low[rows] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                place, own, at = np.repeat(near[rows], times), item[hit], begin[hit]
+                text = np.searchsorted(close, place)
+                first = np.where(text > 0, close[text - 1] + 1, 0)
+                # A passage lies between these, and has all words of the item but the edited ones.
+                first = np.maximum(first, place - at - self.most[own])
+                until = np.minimum(close[text], place - at + self.sizes[own] + self.most[own])
+                keep = known[until] - known[first] >= self.sizes[own] - self.most[own]
+                if keep.any():
+                    out += self._verify(symbols, place[keep], own[keep], at[keep], size)
         return out
 
-    def _candidates(self, symbols: np.ndarray, c: dict, start: np.ndarray) -> np.ndarray:
-        """(place, entry) of equal keys, as place times the number of entries plus entry."""
-        found = []
-        padded = np.concatenate([symbols, np.full(2, self.close, symbols.dtype)])
-        for step in range(0, len(start), 1 << 15):
-            part, coins = start[step : step + (1 << 15)], None
-            for own, picked, (keys, order, seen) in c["keys"]:
-                if own is not coins:
-                    coins, walked = own, self._walk(padded, part, own)
-                key = _fold(walked[:, picked])
-                near = np.flatnonzero(seen[key >> np.uint64(46)])
-                low, high = np.searchsorted(keys, key[near]), np.searchsorted(keys, key[near], side="right")
-                for i in np.flatnonzero(high > low).tolist():
-                    found.append(part[near[i]] * len(order) + order[low[i] : high[i]])
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-    def _verify(self, symbols: np.ndarray, c: dict, candidates: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Exact edit distance from each candidate's place on, over all ends, in a band around the diagonal."""
-        out = []
-        for begin in range(0, len(candidates), 4096):
-            place, entry = np.divmod(candidates[begin : begin + 4096], len(c["entries"]))
-            piece = np.array([c["entries"][e][0] for e in entry])
-            skip = np.array([c["entries"][e][1] for e in entry])
-            size = np.array([len(self.items[i]) for i in piece]) - skip
-            most = np.array([self.s.edits(len(self.items[i])) for i in piece])
-            band = int(most.max())
-            item = np.zeros((len(place), int(size.max())), np.int32)
-            for row, (i, k) in enumerate(zip(piece.tolist(), skip.tolist(), strict=True)):
-                item[row, : len(self.items[i]) - k] = self.items[i][k:]
-            # Texts do not run on: behind a closing symbol nothing matches.
-            span = place[:, None] + np.arange(int(size.max()) + band)
-            text = symbols[np.minimum(span, len(symbols) - 1)]
-            over = (span >= len(symbols)) | (np.cumsum(text == self.close, axis=1) > 0)
-            text = np.where(over | (text == 0), -1, text)
+    def _verify(
+        self, symbols: np.ndarray, place: np.ndarray, own: np.ndarray, at: np.ndarray, size: int
+    ) -> list[tuple[int, int, int, int]]:
+        """The leaks whose run of ``size`` words from ``at`` on stands at ``place``, by the edits before and behind it."""
+        most = self.most[own]
+        before, back = self._extend(symbols, place - 1, own, at - 1, at, most, -1)
+        live = np.flatnonzero(before <= most)
+        place, own, at, most, before, back = (x[live] for x in (place, own, at, most, before, back))
+        behind, ahead = self._extend(symbols, place + size, own, at + size, self.sizes[own] - at - size, most - before, 1)
+        edits, first, length = before + behind, place - back, back + size + ahead
+        leaks = np.flatnonzero(edits <= most)
+        return list(zip(*(x[leaks].tolist() for x in (own, first, length, edits)), strict=True))
+
+    def _extend(
+        self, symbols: np.ndarray, place: np.ndarray, own: np.ndarray, at: np.ndarray, size: np.ndarray,
+        most: np.ndarray, way: int,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The least edits between ``size`` words of the item from ``at`` on and the text from ``place`` on, over all
+        ends, and the words of the text taken, in a band around the diagonal; both are read in the direction of ``way``.
+
+        Where more than ``most`` edits are needed, some number above it.
+        """
+        best, taken = np.full(len(place), FAR), np.zeros(len(place), np.int64)
+        flat, offset = self.flat, self.offsets[own] + at
+        cells = (size + 1) * (2 * most + 1)
+        order = np.argsort(cells, kind="stable")
+        for block in _blocks(cells[order]):
+            live = order[block]
+            band, longest = int(most[live].max()), int(size[live].max())
+            columns = np.arange(2 * band + 1, dtype=np.int32) - np.int32(band)
+            row = np.where(columns < 0, np.int32(FAR), columns)[None, :].repeat(len(live), 0)
+            # Texts do not run on: from a closing symbol on there is nothing.
+            span = place[live, None] + way * np.arange(longest + band + 1)
+            over = (span < 0) | (span >= len(symbols))
+            text = symbols[np.clip(span, 0, len(symbols) - 1)]
+            over |= np.cumsum(over | (text == self.close), axis=1) > 0
             room = (~over).sum(axis=1)
-            far = 1 << 20
-            width = 2 * band + 1
-            row = np.where(np.arange(width) < band, far, np.arange(width) - band)[None, :].repeat(len(place), 0)
-            best, length = np.full(len(place), far), np.zeros(len(place), np.int64)
-            for i in range(int(size.max()) + 1):
+            text = np.where(over | (text == 0), -1, text)
+            for i in range(longest + 1):
+                column = columns + np.int32(i)  # words of the text taken
                 if i:
-                    column = np.arange(width) - band + i  # words of the text taken
-                    with_word = np.clip(column - 1, 0, text.shape[1] - 1)
-                    match = (text[:, with_word] == item[:, i - 1 : i]) & (column > 0)
-                    new = np.where(column > 0, row + ~match, far)
+                    word = flat[np.clip(offset[live] + way * (i - 1), 0, len(flat) - 1)]
+                    match = (text[:, np.clip(column - 1, 0, text.shape[1] - 1)] == word[:, None]) & (column > 0)
+                    new = np.where(column > 0, row + ~match, np.int32(FAR))
                     new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
-                    new[:, column < 0] = far
-                    for k in range(1, width):
-                        new[:, k] = np.minimum(new[:, k], new[:, k - 1] + 1)
-                    row = new
-                ended = size == i
-                if ended.any():
-                    taken = np.arange(width) - band + i
-                    value = np.where((taken >= 0) & (taken[None, :] <= room[:, None]), row, far)
-                    best = np.where(ended, value.min(axis=1), best)
-                    length = np.where(ended, taken[value.argmin(axis=1)], length)
-            best = best + skip
-            for k in np.flatnonzero(best <= most).tolist():
-                out.append((int(piece[k]), int(place[k]), int(length[k]), int(best[k])))
-        return out
+                    new[:, column < 0] = FAR
+                    row = np.minimum.accumulate(new - columns, axis=1) + columns
+                    row[:, column < 0] = FAR
+                row = np.where(column[None, :] > room[:, None], np.int32(FAR), row)
+                ended = np.flatnonzero(size[live] == i)
+                if len(ended):
+                    least = row[ended].argmin(axis=1)
+                    best[live[ended]], taken[live[ended]] = row[ended, least], column[least]
+                going = (size[live] > i) & (row.min(axis=1) <= most[live])
+                if going.sum() < 0.7 * len(live):
+                    live, row, text, room = live[going], row[going], text[going], room[going]
+                    if not len(live):
+                        break
+        return best, taken
+
+
+FAR = 1 << 20
+
+
+def _blocks(weights: np.ndarray, most: int = 1 << 21) -> Iterator[slice]:
+    """Slices of rows of about ``most`` together; a single row may weigh more."""
+    ends = np.cumsum(weights)
+    begin = 0
+    while begin < len(ends):
+        end = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most, side="right"))
+        end = max(begin + 1, end)
+        yield slice(begin, end)
+        begin = end
 
 
 def _fold(samples: np.ndarray) -> np.ndarray:

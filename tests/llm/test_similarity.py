@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from rollcall.llm import chosen_path, decontaminate, line_dedup
@@ -243,3 +244,30 @@ def test_leaks(spark):
     assert wanted > 50 and found >= 0.95 * wanted
     assert 34 in {x.item_id for r in rows if r.doc_id == 202 for x in r.leaks}
     assert decontaminate.mark_leaks(frame, spark.createDataFrame([], "item_id long, text string")).where("size(leaks) > 0").count() == 0
+
+
+KINDS = {"mixed": "sid", "substituted": "s", "inserted": "i", "deleted": "d"}
+
+
+def edited(rnd, own, edits, kind):
+    own = list(own)
+    for at in sorted(rnd.sample(range(len(own)), edits), reverse=True):
+        step = rnd.choice(KINDS[kind])
+        own[at : at + 1] = {"s": ["changed"], "i": [own[at], "added"], "d": []}[step]
+    return own
+
+
+@pytest.mark.parametrize("size", [6, 7, 13, 20, 40, 59, 100, 200, 256])
+def test_leaks_at_the_allowed_edits_are_all_found(size):
+    rnd, s = random.Random(size), decontaminate.Settings()
+    items = [(i, words(rnd, size, 900)) for i in range(10)]
+    index = decontaminate.Index([(i, " ".join(own)) for i, own in items], s)
+    for kind in KINDS:
+        for item, own in items:
+            text = [*words(rnd, 30, 900), *edited(rnd, own, s.edits(size), kind), *words(rnd, 30, 900)]
+            hashed, _ = decontaminate.word_hashes([" ".join(text)])
+            found = index.search(np.append(index.symbols(hashed), np.int32(index.close)))
+            got = [x for x in found if index.owners[x[0]] == [item]]
+            assert got, (size, kind, item)
+            _, first, n, edits = min(got, key=lambda x: x[3])
+            assert edits == distance(own, text) == distance(own, text[first : first + n])
