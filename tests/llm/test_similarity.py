@@ -241,7 +241,7 @@ def test_leaks(spark):
                 x = got[item]
                 assert least <= x.edits <= s.edits(len(own))
                 assert distance(own, text[x.first_word : x.first_word + x.n_words]) <= x.edits
-    assert wanted > 50 and found >= 0.95 * wanted
+    assert wanted > 50 and found >= 0.97 * wanted
     assert 34 in {x.item_id for r in rows if r.doc_id == 202 for x in r.leaks}
     assert decontaminate.mark_leaks(frame, spark.createDataFrame([], "item_id long, text string")).where("size(leaks) > 0").count() == 0
 
@@ -271,3 +271,19 @@ def test_leaks_at_the_allowed_edits_are_all_found(size):
             assert got, (size, kind, item)
             _, first, n, edits = min(got, key=lambda x: x[3])
             assert edits == distance(own, text) == distance(own, text[first : first + n])
+
+
+def test_leaks_at_the_allowed_edits_count_apart(spark):
+    rnd, s = random.Random(8), decontaminate.Settings()
+    items = [(i, words(rnd, size, 900)) for i, size in enumerate([20, 45, 90, 200] * 5)]
+    planted = [(item, len(own), kind, edited(rnd, own, s.edits(len(own)), kind)) for item, own in items for kind in KINDS]
+    docs = [(i, " ".join(words(rnd, 40, 900) + own + words(rnd, 40, 900))) for i, (*_, own) in enumerate(planted)]
+    marked = decontaminate.mark_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(own)) for i, own in items], "item_id long, text string"),
+    )
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in marked.collect()}
+    lost = defaultdict(int)
+    for i, (item, size, kind, _) in enumerate(planted):
+        lost[size, kind] += item not in got[i]
+    assert len(lost) == 16 and not any(lost.values()), lost
