@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from rollcall.llm import langid, toxicity
 from rollcall.llm.chosen_path import similarity_classes
 from rollcall.llm.common import is_held_out, table
+from rollcall.llm.curriculum import mix
 from rollcall.llm.decontaminate import mark_leaks
+from rollcall.llm.hard_negatives import mine, scaled
 from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.line_dedup import dedup_lines
 from rollcall.llm.maxscore import dense_terms, top_k
@@ -113,3 +115,97 @@ def op10(spark, sf_dir):
     return scan_blocks(read_blocks(spark, path)).select(
         F.regexp_extract("file", r"part-(\d+)", 1).cast("long").alias("file_no"), "doc_no", "start", "n_tokens", "closed"
     )
+
+
+# Weights over training time of the first, second and third source and so on; they come to 5, 2 and 1.
+SCHEDULES = (((0, 7), (1, 3)), ((0, 2), (1, 2)), ((0, 0), (1, 2)))
+
+MIX_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+           left(md5(coalesce(doc_id::VARCHAR, '')), 13) AS k
+    FROM documents
+), totals AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number
+    FROM docs GROUP BY source
+), sources AS (
+    SELECT *, CASE number % 3 WHEN 0 THEN 7.0 WHEN 1 THEN 2.0 ELSE 0.0 END::DOUBLE AS w0,
+           CASE number % 3 WHEN 0 THEN -4.0 WHEN 1 THEN 0.0 ELSE 2.0 END::DOUBLE AS slope,
+           CASE number % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
+    FROM totals
+), levels AS (
+    -- If this source and those before it are full: what is left, per weight of the others.
+    SELECT 2.0::DOUBLE * source_size / weight AS ratio,
+           (1.5::DOUBLE * sum(source_size) OVER () - sum(2.0::DOUBLE * source_size) OVER full_ones)
+           / nullif(sum(weight) OVER () - sum(weight) OVER full_ones, 0) AS level,
+           lead(2.0::DOUBLE * source_size / weight) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, number) AS next_ratio
+    FROM sources
+    WINDOW full_ones AS (ORDER BY 2.0::DOUBLE * source_size / weight, number)
+), level AS (
+    SELECT min(level) AS level FROM (
+        SELECT level, ratio FROM levels WHERE level >= ratio AND level < next_ratio
+        UNION ALL
+        SELECT 1.5::DOUBLE * sum(source_size) / sum(weight), 0 FROM sources
+        HAVING 1.5::DOUBLE * sum(source_size) / sum(weight) < min(2.0::DOUBLE * source_size / weight)
+    )
+), targets AS (
+    SELECT *, least(2.0::DOUBLE * source_size, (SELECT level FROM level) * weight) AS target FROM sources
+), begun AS (
+    SELECT d.*, t.source_size, t.target, t.w0, t.slope, t.weight, floor(t.target + 1e-6)::BIGINT AS wanted,
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY k, d.doc_id::VARCHAR, d.size
+                             ROWS UNBOUNDED PRECEDING)::BIGINT - d.size AS begin
+    FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), read AS (
+    SELECT *, greatest(0, least(size, wanted - begin))::BIGINT AS once,
+           greatest(0, least(size, wanted - begin - source_size))::BIGINT AS again,
+           begin::DOUBLE / wanted * weight AS area
+    FROM begun
+)
+SELECT doc_id, size, source_size, target, once + again AS taken,
+       CASE WHEN once > 0 THEN round(
+           CASE WHEN area > 0 THEN 2 * area / (w0 + sqrt(greatest(w0 * w0 + 2 * slope * area, 0))) ELSE 0.0 END, 6
+       ) END AS first_position
+FROM read
+"""
+
+
+@query("op12_curriculum_mix", MIX_SQL)
+def op12(spark, sf_dir):
+    """What a mix of all sources takes of every document, and when."""
+    mixed = mix(table(spark, sf_dir, "documents"), SCHEDULES, share=1.5, most=2.0, keep=("doc_id",))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.round("first_position", 6).alias("first_position"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), u AS (
+    SELECT DISTINCT ON (vec_id) * FROM v ORDER BY vec_id, label, e
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+           coalesce(list_sum([z[1] * z[2] FOR z IN list_zip(a.e, b.e)]), 0)::BIGINT AS score
+    FROM u a JOIN u b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT * FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+    SELECT anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS "rank"
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, "rank", negative_id, positive_score, negative_score FROM n WHERE "rank" <= 5
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13(spark, sf_dir):
+    """Hard negatives for every hundredth vector; every seventh one has another label first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), scaled("embedding").alias("vector"))
+    return mine(vectors, F.col("vec_id") % 100 == 0)
