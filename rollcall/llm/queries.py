@@ -15,6 +15,7 @@ from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.line_dedup import dedup_lines
 from rollcall.llm.maxscore import dense_terms, top_k
 from rollcall.llm.packing import pack_documents
+from rollcall.llm.periodic import collapse_runs
 from rollcall.llm.registry import ORACLES, QUERIES, query
 from rollcall.llm.token_files import read_blocks, scan_blocks, write_token_files
 from rollcall.llm.warc import derive, responses
@@ -209,3 +210,35 @@ def op13(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), scaled("embedding").alias("vector"))
     return mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def with_runs(docs):
+    """(doc_id, text): every tenth document, by its id's hash, repeats a stretch of its words to its end."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(w):
+        a = g % F.size(w)
+        p = 1 + F.floor((F.size(w) - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")
+
+    # Bound to a name by the lambda, so that a text is split once.
+    changed = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(F.lit("")))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Periodic runs of words in every document, the greatest one, and hashes of all runs and of the text without them."""
+    found = collapse_runs(with_runs(table(spark, sf_dir, "documents")))
+    greatest = F.reduce(
+        "runs", F.get("runs", F.lit(0)), lambda best, x: F.when(x["length"] > best["length"], x).otherwise(best)
+    )
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    named = found.withColumn("best", greatest)
+    return named.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

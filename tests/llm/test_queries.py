@@ -16,4 +16,4 @@ def test_same_rows_as_sql(spark, sf_dir, name):
 def test_all_are_registered():
     names = set(entry.queries())
     assert set(llm.QUERIES) < names and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES) == list(range(1, 14))
