@@ -158,13 +158,13 @@ def mix(
 
     turns = F.filter(F.transform(F.sequence(F.lit(0), F.lit(math.ceil(most) - 1)), turn), lambda x: x["words"] > 0)
     taken = F.aggregate("turns", F.lit(0).cast("long"), lambda n, x: n + x["words"])
+    # Documents that are not taken are sorted too, so that they do not meet in one range.
     return (
-        begun.withColumn("turns", turns)
+        begun.withColumn("turns", turns).orderBy(F.get("turns", F.lit(0))["position"], "key", "tie")
         .select(
             *(F.col("row")[c].alias(c) for c in kept), "size", "source_size", "target", taken.alias("taken"),
             F.when(F.size("turns") > 0, F.col("turns")[0]["position"]).alias("first_position"), "turns",
         )
-        .orderBy("first_position")
     )
 
 
