@@ -38,7 +38,7 @@ def segments(schedule: Schedule) -> list[tuple[float, float, float, float]]:
 
 def due(stretches: Column, area: Column) -> Column:
     """The time at which the integral of the weights reaches ``area``."""
-    at = F.element_at(F.filter(stretches, lambda x: x["area"] <= area), -1)
+    at = F.try_element_at(F.filter(stretches, lambda x: x["area"] <= area), F.lit(-1))
     found = F.transform(F.array(at), lambda x: x["begin"] + F.coalesce(_step(x, area - x["area"]), F.lit(0.0)))
     return found[0]
 
@@ -150,7 +150,7 @@ def mix(
 
     def turn(k: Column) -> Column:
         first = F.col("start") + k * F.col("source_size")
-        area = first / wanted * F.col("weight")
+        area = first / F.nullif(wanted, F.lit(0)) * F.col("weight")
         words = F.greatest(F.lit(0), F.least("size", wanted - first))
         return F.struct(
             k.cast("int").alias("turn"), due(stretches[F.col("schedule")], area).alias("position"), words.cast("long").alias("words")

@@ -208,7 +208,7 @@ SELECT anchor_id, positive_id, "rank", negative_id, positive_score, negative_sco
 def op13(spark, sf_dir):
     """Hard negatives for every hundredth vector; every seventh one has another label first."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), scaled("embedding").alias("vector"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), scaled(F.col("embedding")).alias("vector"))
     return mine(vectors, F.col("vec_id") % 100 == 0)
 
 
