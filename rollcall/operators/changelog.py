@@ -10,11 +10,13 @@ arrival number that emits it; :func:`expand` writes the repeats out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollcall.operators.join import KEYS, Side
-from rollcall.operators.skew import any_null
+from rollcall.operators.skew import any_null, split_left_join
+from rollcall.session import keep
 
 ARRIVALS_PER_CHUNK = 1_000_000
 
@@ -29,9 +31,9 @@ def arrival_changelog(
     """Emitted rows with ``first_arrival``, ``last_arrival`` and ``emissions``.
 
     The order columns of both sides count one common arrival sequence and are
-    unique across both. Arrivals are numbered within stretches of that sequence
-    (at most ``arrivals_per_chunk`` rows of a group) and the numbers of earlier
-    stretches are added from their totals, so no task sorts a whole group.
+    unique across both. Arrivals are numbered within stretches of a group (of
+    about ``arrivals_per_chunk`` rows) and the numbers of earlier stretches are
+    added from their totals, so no task sorts a whole group.
     """
     on = [*keys, window]
     lcols = [c for c in left.df.columns if c not in on]
@@ -50,9 +52,7 @@ def arrival_changelog(
     )
     chunk = [*on, "_chunk"]
     is_left = F.col("_l").isNotNull()
-    rows = lside.unionByName(rside).where(~any_null(on)).withColumn(
-        "_chunk", F.floor(F.col("_o") / F.lit(arrivals_per_chunk))
-    )
+    rows = stretches(lside.unionByName(rside).where(~any_null(on)), on, "_o", arrivals_per_chunk)
     in_chunk = Window.partitionBy(*chunk).orderBy("_o")
     rows = rows.withColumn("_i", F.row_number().over(in_chunk))
 
@@ -122,3 +122,128 @@ def expand(changelog: DataFrame) -> DataFrame:
     return changelog.withColumn(
         "arrival", F.explode(F.sequence("first_arrival", "last_arrival"))
     ).drop("first_arrival", "last_arrival", "emissions")
+
+
+def stretches(rows: DataFrame, on: Sequence[str], order: str, arrivals_per_chunk: int) -> DataFrame:
+    """``rows`` with ``_chunk``: stretches of a group's arrivals of about that many rows, in their order.
+
+    The rows are dealt by ranges of group and order, so that a large group lies
+    in as many ranges as its rows ask for, whatever its order numbers are.
+    """
+    parts = max(1, -(-rows.count() // arrivals_per_chunk))
+    ranged = rows.repartitionByRange(parts, *on, order).withColumn("_chunk", F.spark_partition_id())
+    return keep(ranged)
+
+
+def running(rows: DataFrame, on: Sequence[str], order: str, **sums: Column) -> DataFrame:
+    """``rows`` with running sums over their group, this row included; two levels, by ``_chunk``."""
+    chunk = [*on, "_chunk"]
+    inside = Window.partitionBy(*chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*on).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*chunk).agg(*(F.sum(c).alias(f"_t_{n}") for n, c in sums.items()))
+    earlier = totals.select(*chunk, *(F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_t_{n}") for n in sums))
+    summed = rows.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()}).join(earlier, chunk)
+    return summed.withColumns({n: F.col(n) + F.col(f"_t_{n}") for n in sums}).drop(*(f"_t_{n}" for n in sums))
+
+
+def arrival_changelog_twice(
+    left: Side,
+    right: Side,
+    last: Side,
+    keys: Sequence[str] = KEYS,
+    window: str = "window",
+    arrivals_per_chunk: int = ARRIVALS_PER_CHUNK,
+) -> DataFrame:
+    """The changelog of a join whose left input is itself the changelog of ``left`` and ``right``.
+
+    Every row that the first join emits, repeats included, is an arrival of the
+    second one, in the order of the arrival that made it come out and of its
+    place among the rows of that emission; the rows of ``last`` arrive between
+    them. Returns the distinct rows of the second join: keys, window, the
+    payloads of all sides, ``first_arrival`` and ``last_arrival``, counted in
+    the second join, and ``emissions`` (over all repeats of a row). There are
+    at most as many as arrivals, though the first join alone may emit their
+    square: how often a row comes is a difference of running sums.
+
+    The order columns count one arrival sequence, unique across the sides. Left
+    rows without a key join nothing and come out once, others not at all.
+    """
+    on = [*keys, window]
+    sides = (left, right, last)
+    tagged = [
+        s.df.select(*on, F.lit(i).alias("_side"), F.col(s.order).cast("bigint").alias("_o")) for i, s in enumerate(sides)
+    ]
+    rows = stretches(reduce(DataFrame.unionByName, tagged).where(~any_null(on)), on, "_o", arrivals_per_chunk)
+    side = F.col("_side")
+    one = lambda i: (side == i).cast("bigint")
+    rows = running(rows, on, "_o", _lefts=one(0), _rights=one(1))
+    # What the first join emits at this arrival.
+    size = F.when(F.col("_rights") == 0, F.col("_lefts")).when(F.col("_lefts") > 0, F.col("_rights")).otherwise(0)
+    rows = rows.withColumn("_size", F.when(side < 2, size).otherwise(0).cast("bigint"))
+    rows = running(rows, on, "_o", _number=F.col("_size") + one(2))
+    # Arrivals of the second join before those of this one, and their sum over the first join's arrivals.
+    base = F.col("_number") - F.col("_size")
+    rows = keep(running(rows, on, "_o", _bases=F.when(side < 2, base).otherwise(0)))
+
+    first_last = F.min(F.when(side == 2, F.col("_o"))).alias("_last_o")
+    firsts = rows.groupBy(*on).agg(
+        first_last, F.min(F.when(side == 1, F.col("_o"))).alias("_right_o"), F.min(F.when(side == 0, F.col("_o"))).alias("_left_o"),
+        F.max("_number").alias("_all"), F.min(F.when(side == 2, F.col("_number"))).alias("_paid"),
+        F.min(F.when(F.col("_size") > 0, base + 1)).alias("_head"),
+    )
+    marked = rows.join(firsts, on)
+    arrivals = F.col("_lefts") + F.col("_rights")
+    open_ = (side < 2) & (F.col("_last_o").isNull() | (F.col("_o") < F.col("_last_o")))
+    blank = open_ & (F.col("_rights") == 0)
+    own = (side == 0) & (F.col("_o") == F.col("_left_o"))
+    at = lambda test, name: [
+        F.max(F.when(test, arrivals)).alias(f"_n_{name}"), F.max(F.when(test, F.col("_bases"))).alias(f"_s_{name}")
+    ]
+    ends = marked.groupBy(*on).agg(
+        *at(blank, "blank"), *at(open_, "open"), F.max(F.when(own, arrivals)).alias("_n_own"),
+        F.max(F.when(own, F.col("_bases"))).alias("_s_own"), F.max(F.when(own, base)).alias("_b_own"),
+        F.max(F.when(own, F.col("_rights"))).alias("_r_own"),
+    )
+    marked = marked.join(ends, on)
+    until = F.coalesce(F.col("_paid"), F.col("_all") + 1)
+    left_first = F.col("_lefts") > 0
+    # A right row comes out with the first left row, from whichever of them arrives later.
+    late = (side == 1) & ~left_first
+    begin = {
+        "_n": F.when(late, F.col("_n_own")).otherwise(arrivals) - 1,
+        "_s": F.when(late, F.col("_s_own") - F.col("_b_own")).otherwise(F.col("_bases") - base),
+        "_b": F.when(late, F.col("_b_own")).otherwise(base),
+        "_place": F.when(side == 0, F.col("_lefts")).otherwise(F.col("_rights")),
+    }
+    single = (side == 0) & (F.col("_rights") == 0)
+    count = F.when(single, F.col("_n_blank")).otherwise(F.col("_n_open")) - F.col("_n")
+    total = F.when(single, F.col("_s_blank")).otherwise(F.col("_s_open")) - F.col("_s")
+    unpaid = (
+        marked.withColumns(begin).where((single | (side == 1)) & F.col("_left_o").isNotNull() & (count > 0))
+        .select(
+            *on, F.when(side == 0, F.col("_o")).otherwise(F.col("_left_o")).alias("_o0"),
+            F.when(side == 1, F.col("_o")).alias("_o1"), F.lit(None).cast("bigint").alias("_o2"),
+            (F.col("_b") + F.col("_place")).alias("first_arrival"),
+            # A single row is last repeated when another first-join row takes its place, but stays a row of the second.
+            (until - 1).alias("last_arrival"), (count * (until - F.col("_place")) - total).alias("emissions"),
+        )
+    )
+    shown = F.greatest(F.col("_number"), F.col("_head"))
+    paid = marked.where((side == 2) & F.col("_head").isNotNull()).select(
+        *on, F.col("_left_o").alias("_o0"), F.when(F.col("_r_own") > 0, F.col("_right_o")).alias("_o1"), F.col("_o").alias("_o2"),
+        shown.alias("first_arrival"), F.col("_all").alias("last_arrival"), (F.col("_all") - shown + 1).alias("emissions"),
+    )
+    once = F.lit(1).cast("bigint")
+    alone = left.df.where(any_null(on)).select(
+        *on, F.col(left.order).cast("bigint").alias("_o0"), F.lit(None).cast("bigint").alias("_o1"), F.lit(None).cast("bigint").alias("_o2"),
+        once.alias("first_arrival"), once.alias("last_arrival"), once.alias("emissions"),
+    )
+    out = unpaid.unionByName(paid).unionByName(alone)
+    names = []
+    for i, s in enumerate(sides):
+        payload = [c for c in s.df.columns if c not in on]
+        body = s.df.select(F.col(s.order).cast("bigint").alias(f"_o{i}"), F.struct(*payload).alias(f"_row{i}"))
+        # One first row may stand in all rows of a large group.
+        out = split_left_join(out, body, [f"_o{i}"], "first_arrival")
+        names += [F.col(f"_row{i}")[c].alias(c) for c in payload]
+    return out.select(*on, *names, "first_arrival", "last_arrival", "emissions")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rollcall.operators.changelog import arrival_changelog
+from rollcall.operators.changelog import arrival_changelog, arrival_changelog_twice
 from rollcall.operators.join import windowed_left_join
 from rollcall.operators.sessions import session_counts, sliding_counts
-from rollcall.operators.wide import join_facts, member_side, regtype_side
+from rollcall.operators.wide import join_facts, member_side, paymoney_side, regtype_side
 from rollcall.plans import roles
 from rollcall.plans.base_sql import FACTS, FIRST_LEFT, LEFT_OUTER, with_
 from rollcall.plans.registry import query
@@ -151,6 +151,54 @@ def join_arrival_changelog_stretches(spark, sf_dir):
     return _shown(log, columns)
 
 
+# The second join's arrivals: what the first one emits at each of its arrivals, and the payments between.
+CHANGELOG_TWICE = """
+first_left AS (
+  SELECT uid, dn, win, min(member_seq) AS head FROM member GROUP BY ALL),
+fired AS (
+  SELECT uid, dn, win, member_seq AS tick FROM member UNION ALL SELECT uid, dn, win, regtype_seq FROM regtype),
+emitted1 AS (
+  SELECT f.uid, f.dn, f.win, f.tick, m.member_seq, NULL::BIGINT AS regtype_seq
+  FROM fired f JOIN member m ON f.uid = m.uid AND f.dn = m.dn AND f.win = m.win AND m.member_seq <= f.tick
+  WHERE NOT EXISTS (SELECT 1 FROM regtype r WHERE r.uid = f.uid AND r.dn = f.dn AND r.win = f.win AND r.regtype_seq <= f.tick)
+  UNION ALL
+  SELECT f.uid, f.dn, f.win, f.tick, h.head, r.regtype_seq
+  FROM fired f JOIN first_left h ON f.uid = h.uid AND f.dn = h.dn AND f.win = h.win AND h.head <= f.tick
+  JOIN regtype r ON r.uid = f.uid AND r.dn = f.dn AND r.win = f.win AND r.regtype_seq <= f.tick),
+elements AS (
+  SELECT *, row_number() OVER (PARTITION BY uid, dn, win ORDER BY tick, member_seq, regtype_seq) AS n
+  FROM (SELECT *, NULL::BIGINT AS paymoney_seq FROM emitted1
+        UNION ALL SELECT uid, dn, win, paymoney_seq, NULL, NULL, paymoney_seq FROM pay)),
+second_head AS (
+  SELECT uid, dn, win, min(n) AS head FROM elements WHERE paymoney_seq IS NULL GROUP BY ALL),
+emitted2 AS (
+  SELECT f.uid, f.dn, f.win, f.n AS a, e.member_seq, e.regtype_seq, NULL::BIGINT AS paymoney_seq
+  FROM elements f JOIN elements e ON f.uid = e.uid AND f.dn = e.dn AND f.win = e.win AND e.n <= f.n
+  WHERE e.paymoney_seq IS NULL AND NOT EXISTS (
+    FROM elements p WHERE p.uid = f.uid AND p.dn = f.dn AND p.win = f.win AND p.n <= f.n AND p.paymoney_seq IS NOT NULL)
+  UNION ALL
+  SELECT f.uid, f.dn, f.win, f.n, h.member_seq, h.regtype_seq, p.paymoney_seq
+  FROM elements f JOIN second_head s ON f.uid = s.uid AND f.dn = s.dn AND f.win = s.win AND s.head <= f.n
+  JOIN elements h ON h.uid = s.uid AND h.dn = s.dn AND h.win = s.win AND h.n = s.head
+  JOIN elements p ON p.uid = f.uid AND p.dn = f.dn AND p.win = f.win AND p.n <= f.n AND p.paymoney_seq IS NOT NULL)
+"""
+
+
+@query(
+    "join_arrival_changelog_paymoney",
+    with_(FACTS, CHANGELOG_TWICE)
+    + f"""SELECT uid, dn, {_START}, member_seq, regtype_seq, paymoney_seq, min(a) AS first_arrival,
+  max(a) AS last_arrival, count(*) AS emissions
+FROM emitted2 GROUP BY uid, dn, win, member_seq, regtype_seq, paymoney_seq""",
+)
+def join_arrival_changelog_paymoney(spark, sf_dir):
+    """Both joins fire at every arrival; what the first one emits are arrivals of the second."""
+    members, regtypes, payments = facts(spark, sf_dir)
+    log = arrival_changelog_twice(member_side(members), regtype_side(regtypes), paymoney_side(payments))
+    columns = "uid, dn, member_seq, regtype_seq, paymoney_seq, first_arrival, last_arrival, emissions"
+    return _shown(log, columns)
+
+
 _SITE = "'web' || substr('ABC', CAST(user_id % 3 AS INTEGER) + 1, 1)"
 
 

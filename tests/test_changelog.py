@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators.changelog import arrival_changelog, expand
+from rollcall.operators.changelog import arrival_changelog, arrival_changelog_twice, expand, running, stretches
 from rollcall.operators.join import Side
 from rollcall.streaming.changelog import stream_changelog
 from rollcall.session import scratch_dir, stream_session
@@ -105,3 +105,62 @@ def test_stream_first_emissions(spark):
     )
     got = Counter(tuple(r) for r in out.collect())
     assert got == Counter((*k, n) for k, n in want.items())
+
+
+def replay_twice(arrivals):
+    """Both joins fire at every arrival; each row the first emits is an arrival of the second."""
+    out, panes = [], {}
+    for seq, which, uid, dn, sec in sorted(arrivals):
+        if uid is None:
+            if which == "left":
+                out.append((uid, seq, None, None, 1))
+            continue
+        lefts, rights, elements, paid = panes.setdefault((uid, dn, sec // 3600), ([], [], [], []))
+        new = []
+        if which == "last":
+            new = [(None, None, seq)]
+        else:
+            (lefts if which == "left" else rights).append(seq)
+            if rights:
+                new = [(lefts[0], r, None) for r in rights if lefts]
+            else:
+                new = [(left, None, None) for left in lefts]
+        for row in new:
+            (paid if which == "last" else elements).append(row)
+            number = len(paid) + len(elements)
+            if not paid:
+                out += [(uid, *e, number) for e in elements]
+            elif elements:
+                out += [(uid, *elements[0][:2], p[2], number) for p in paid]
+    return Counter(out)
+
+
+@pytest.mark.parametrize("chunk", [3, 1_000_000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_replay_twice(spark, seed, chunk):
+    rng = random.Random(seed)
+    rows = [
+        (seq, rng.choice(["left", "right", "last"]), rng.choice([1, 1, 2, 3, 4, 5, None]), "webA", rng.randrange(7200))
+        for seq in rng.sample(range(10**12), 70)
+    ]
+    log = arrival_changelog_twice(*[side(spark, rows, w) for w in ("left", "right", "last")], arrivals_per_chunk=chunk)
+    want = {}
+    for (uid, *row, number), n in replay_twice(rows).items():
+        first, last, count = want.get((uid, *row), (number, number, 0))
+        want[(uid, *row)] = (min(first, number), max(last, number), count + n)
+    got = {
+        (r.uid, r.left_seq, r.right_seq, r.last_seq): (r.first_arrival, r.last_arrival, r.emissions) for r in log.collect()
+    }
+    assert got == want
+
+
+def test_stretches_by_count(spark):
+    """A group lies in as many stretches as its rows ask for, however far apart its order numbers are."""
+    rows = spark.createDataFrame([(1, (i << 40) + i) for i in range(4000)] + [(2, 5)], "k int, o bigint").repartition(5)
+    cut = stretches(rows, ["k"], "o", 500)
+    assert 6 <= cut.where("k = 1").select("_chunk").distinct().count() <= 9
+    sums = running(cut, ["k"], "o", n=F.lit(1), s=F.col("o") % 7).collect()
+    total = 0
+    for number, r in enumerate(sorted((r for r in sums if r.k == 1), key=lambda r: r.o), 1):
+        total += r.o % 7
+        assert (r.n, r.s) == (number, total)
