@@ -41,6 +41,7 @@ from rollcall.streaming.jobs import (
     ALL_AVAILABLE, joined_stream, once_per_batch, start_split, start_wide, wide_table,
 )
 from rollcall.streaming.refresh import DimSnapshots
+from rollcall.streaming.retractions import folded, stream_changes
 
 FACT_SPECS = (MEMBER, REGTYPE, PAYMONEY)
 # Stage borders lie within a window, so that state is carried over a restart.
@@ -200,6 +201,38 @@ def stream_arrival_changelog(spark, sf_dir):
     )
 
 
+def _changes_of(stage: Stage, schema: StructType) -> DataFrame:
+    """The stream's changes, added up by the rows they are of."""
+    start = F.timestamp_seconds(F.col("window_end_ms") / 1000 - 24 * 60 * 60)
+    rows = stage.result(schema).where("uid >= 0").select(
+        "uid", "dn", F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "change", "arrival",
+        F.get_json_object("left_row", "$.seq").cast("bigint").alias("member_seq"),
+        F.get_json_object("right_row", "$.seq").cast("bigint").alias("regtype_seq"),
+    )
+    return folded(rows, "uid", "dn", "window_start", "member_seq", "regtype_seq")
+
+
+@query(
+    "stream_changelog_retractions",
+    with_(FACTS, CHANGELOG)
+    + f"""SELECT e.uid, e.dn, {_START}, member_seq, regtype_seq, min(a) AS first_arrival,
+  min(CASE WHEN regtype_seq IS NULL THEN right_a END) AS retracted_at,
+  regtype_seq IS NOT NULL OR min(right_a) IS NULL AS present
+FROM emitted e JOIN firsts USING (uid, dn, win) GROUP BY e.uid, e.dn, win, member_seq, regtype_seq""",
+)
+def stream_changelog_retractions(spark, sf_dir):
+    """Rows of the first-left join as they come and go, over three restarts."""
+    stage = Stage(spark, sf_dir, "retractions")
+    rows = None
+    for low, high in STAGES:
+        for spec in (MEMBER, REGTYPE):
+            stage.put(spec, _between(low, high))
+        if rows is None:
+            rows = stream_changes(stage.facts(MEMBER), stage.facts(REGTYPE))
+        stage.run(rows)
+    return _changes_of(stage, rows.schema)
+
+
 def _late_sql(delay: str) -> str:
     """Every tenth event comes after the others; it counts if its window is still open."""
     return f"""
@@ -246,6 +279,31 @@ def stream_join_allowed_lateness(spark, sf_dir):
     return _late(spark, sf_dir, "allowed-lateness", LATENESS, days=7)
 
 
+@query(
+    "stream_late_refire",
+    with_(FACTS, _late_sql("5 DAY"))
+    + f""",
+lf AS (SELECT *, row_number() OVER (PARTITION BY uid, dn, win ORDER BY member_seq % 10 = 9, member_seq) AS rn FROM m)
+SELECT uid, dn, {_START}, member_seq, regtype_seq
+FROM lf LEFT JOIN (SELECT uid, dn, win, regtype_seq FROM r) r USING (uid, dn, win)
+WHERE lf.rn = 1 OR regtype_seq IS NULL""",
+)
+def stream_late_refire(spark, sf_dir):
+    """Windows come out when they close; rows of the next five days change them again."""
+    stage = Stage(spark, sf_dir, "late-refire")
+    specs = (MEMBER, REGTYPE)
+    for spec in specs:
+        stage.put(spec, F.col("event_id") % 10 != 9)
+    rows = stream_changes(*[stage.facts(s, LATENESS) for s in specs], lateness_ms=5 * 24 * 60 * 60 * 1000)
+    stage.run(rows)
+    for spec in specs:
+        stage.put(spec, F.col("event_id") % 10 == 9)
+    stage.run(rows)
+    stage.close_windows(*specs, days=7)
+    stage.run(rows)
+    return _changes_of(stage, rows.schema).where("present").select("uid", "dn", "window_start", "member_seq", "regtype_seq")
+
+
 @query(
     "stream_dim_refresh",
     with_(FACTS, DIMS)
