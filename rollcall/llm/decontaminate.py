@@ -1,9 +1,12 @@
 """Benchmark passages in documents, found through the edit distance of word sequences.
 
-An item that may differ in k words is cut into k + 1 runs of words: k edits
-leave one of them whole, wherever and of whatever kind they are. The runs are
-looked for at every word of the texts; from each hit on, the rest of the item
-is compared to both sides by the exact edit distance. No leak is lost.
+The CGK random walk copies a sequence of words symbol by symbol, standing
+still or going on by the toss of a hash of step and symbol; near sequences
+give walks that agree in most steps. Some steps of the walk are sampled as an
+LSH key, repeatedly, until the modelled recall reaches the target. Items are
+looked for by pieces: of an item with few edits one piece has one at most, so
+that windows of a piece's size find it. From each hit on, the whole item is
+compared to both sides by the exact edit distance.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,30 +30,101 @@ class Settings:
     """An item of n words leaks if a passage is within ``floor(share * n)`` word edits of it."""
 
     share: float = 0.15
-    longest: int = 256  # words; longer items are looked for by pieces, any of which is a leak
+    samples: int = 5  # steps of the walk in a key
+    keys_per_walk: int = 2
+    recall: float = 0.9995  # modelled, of a piece with one edit
+    most_walks: int = 96
     item_bytes: int = 16 << 20  # text of items that one scan holds; more items take more scans
+    seed: int = 7
 
     def edits(self, n: int) -> int:
         return math.floor(self.share * n + 1e-9)
 
+    def pieces(self, n: int) -> list[tuple[int, int, int]]:
+        """(first word, words, edits) of an item's pieces, one of which has no more edits than that."""
+        most = self.edits(n)
+        count = most // 2 + 1
+        edges = [n * j // count for j in range(count + 1)]
+        return [(x, y - x, min(most, 1)) for x, y in zip(edges, edges[1:], strict=False)]
+
+
+class Walks:
+    """Walks and keys of the pieces of one size: as many as the modelled recall asks for."""
+
+    def __init__(self, size: int, edits: int, s: Settings):
+        self.edits, self.steps = edits, size + 2
+        rng = np.random.default_rng([s.seed, size, edits])
+        samples = min(s.samples if edits else 2 * s.samples, self.steps)
+        self.walks: list[tuple[np.uint64, list[np.ndarray]]] = []
+        model = self._model(size, edits, rng)
+        missed = np.ones(len(model[0]), bool)
+        while len(self.walks) < s.most_walks and (not self.walks or missed.mean() > 1 - s.recall):
+            salt = rng.integers(1 << 63, dtype=np.int64).astype(np.uint64)
+            picked = [np.sort(rng.choice(self.steps, samples, replace=False)) for _ in range(s.keys_per_walk)]
+            self.walks.append((salt, picked))
+            if not edits:
+                break
+            tosses = coins(salt, self.steps, max(int(z.max()) for z in model[2]) + 1)
+            for own, text in zip(*model[1:], strict=True):
+                x, y = (walk(z.ravel(), np.arange(len(z)) * z.shape[1], tosses) for z in (own, text))
+                for key in picked:
+                    missed &= (x[:, key] != y[:, key]).any(axis=1)
+
+    def _model(self, size: int, edits: int, rng: np.random.Generator):
+        """Pieces and edited texts as they are compared, with and without the first word, for 2,000 edits of every kind."""
+        count = 2000 if edits and size > 1 else 1
+        width = size + self.steps + 4
+        own, text = np.zeros((count, width), np.int64), np.zeros((count, width), np.int64)
+        for i in range(count):
+            words = list(range(1, size + 1))
+            at, kind = int(rng.integers(size)), i % 3
+            new = words[:at] + [[size + 1], [size + 1, words[at]], []][kind] + words[at + 1 :]
+            own[i, :size] = words
+            own[i, size:] = size + 2
+            text[i, : len(new)] = new
+            text[i, len(new) :] = size + 3 + np.arange(width - len(new))
+        used = size + 3 + width  # every pair has words, and tosses, of its own
+        second = np.where((text == 2).any(axis=1), (text == 2).argmax(axis=1), 0)
+        shifted = np.stack([np.concatenate([row[k:], np.full(k, size + 3)]) for row, k in zip(text, second, strict=True)])
+        base = np.arange(count)[:, None] * used
+        shorter = np.concatenate([own[:, 1:], own[:, -1:]], axis=1)
+        return own, (own + base, shorter + base), (text + base, shifted + base)
+
+
+def coins(salt: np.uint64, steps: int, symbols: int) -> np.ndarray:
+    """Whether the walk goes on, for each step and symbol."""
+    with np.errstate(over="ignore"):
+        seeds = mix(salt + np.arange(1, steps + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return (mix(seeds[:, None] ^ mix(np.arange(symbols, dtype=np.uint64) + salt)[None, :]) >> np.uint64(63)).astype(np.int8)
+
+
+def walk(flat: np.ndarray, at: np.ndarray, tosses: np.ndarray) -> np.ndarray:
+    """The symbols that walks from the places ``at`` copy."""
+    out, at = np.zeros((len(at), len(tosses)), np.int32), at.astype(np.int64)
+    for j, toss in enumerate(tosses):
+        out[:, j] = flat[at]
+        at = at + toss[out[:, j]]
+    return out
+
+
+@lru_cache(256)
+def walks_of(size: int, edits: int, s: Settings) -> Walks:
+    return Walks(size, edits, s)
+
 
 class Index:
     """The items of one scan, prepared for searching."""
 
-    def __init__(self, items: list[tuple[int, str]], s: Settings):
-        self.s = s
+    def __init__(self, items: list[tuple[int, str]], s: Settings, plans: dict[tuple[int, int], Walks] | None = None):
+        self.s, self.plans = s, plans or {}
         hashed, counts = word_hashes([text for _, text in items])
-        pieces: dict[bytes, list[int]] = {}
-        at = 0
-        for (item, _), n in zip(items, counts.tolist(), strict=True):
-            parts = max(1, math.ceil(n / s.longest))
-            edges = np.linspace(at, at + n, parts + 1).astype(int).tolist()
-            for x, y in zip(edges, edges[1:], strict=False):
-                if y > x:
-                    pieces.setdefault(hashed[x:y].tobytes(), []).append(item)
-            at += n
-        self.owners = list(pieces.values())
-        words = [np.frombuffer(x, np.uint64) for x in pieces]
+        whole: dict[bytes, list[int]] = {}
+        ends = np.cumsum(counts)
+        for (item, _), n, end in zip(items, counts.tolist(), ends.tolist(), strict=True):
+            if n:
+                whole.setdefault(hashed[end - n : end].tobytes(), []).append(item)
+        self.owners = list(whole.values())
+        words = [np.frombuffer(x, np.uint64) for x in whole]
         vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
         self.layers = self._layers(vocabulary)
         # Symbol 0: no item has the word. The last symbol closes a text.
@@ -59,23 +134,32 @@ class Index:
         self.sizes = np.array([len(x) for x in self.items], np.int64)
         self.offsets = np.cumsum(self.sizes) - self.sizes
         self.most = np.array([s.edits(len(x)) for x in self.items], np.int64)
-        self.runs = self._runs()
-
-    def _runs(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(words of a run, sorted keys, their items, where the runs begin in them, which first bits occur at all)."""
-        by_size: dict[int, list[tuple[int, int]]] = {}
-        for i, (n, most) in enumerate(zip(self.sizes.tolist(), self.most.tolist(), strict=True)):
-            edges = [n * j // (most + 1) for j in range(most + 2)]
-            for x, y in zip(edges, edges[1:], strict=False):
-                by_size.setdefault(y - x, []).append((i, x))
+        self.classes = self._classes()
+
+    def _classes(self) -> list[dict]:
+        """For the pieces of each size: where they may begin, and tables of their keys."""
+        by_size: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        for i, n in enumerate(self.sizes.tolist()):
+            for first, size, edits in self.s.pieces(n):
+                # An edit may be at the piece's first word.
+                for skip in range(min(edits, size - 1) + 1):
+                    by_size.setdefault((size, edits), []).append((i, first + skip, size - skip))
         out = []
-        for size, own in sorted(by_size.items()):
-            keys = _fold(np.array([self.items[i][x : x + size] for i, x in own]))
-            order = np.argsort(keys, kind="stable")
-            item, begin = np.array(own, np.int64)[order].T
-            seen = np.zeros(1 << 18, bool)
-            seen[keys >> np.uint64(46)] = True
-            out.append((size, keys[order], item, begin, seen))
+        for (size, edits), entries in sorted(by_size.items()):
+            plan = self.plans.get((size, edits)) or walks_of(size, edits, self.s)
+            item, at, rest = np.array(entries, np.int64).T
+            flat = np.full((len(entries), size + plan.steps + 2), self.close, np.int64)
+            for row, (i, x, n) in enumerate(entries):
+                flat[row, :n] = self.items[i][x : x + n]
+            starts = np.zeros(self.close + 1, bool)
+            starts[flat[:, 0]] = True
+            keys = []
+            for salt, picked in plan.walks:
+                tosses = coins(salt, plan.steps, self.close + 1)
+                tosses[:, self.close] = 0  # the walk stays at the end
+                walked = walk(flat.ravel(), np.arange(len(entries)) * flat.shape[1], tosses)
+                keys.append((tosses, [(key, *_table(walked[:, key])) for key in picked]))
+            out.append({"size": size, "edits": edits, "item": item, "at": at, "starts": starts, "keys": keys})
         return out
 
     @staticmethod
@@ -105,33 +189,46 @@ class Index:
         known = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])
         close = np.flatnonzero(symbols == self.close)
         out: list[tuple[int, int, int, int]] = []
-        key, done = np.zeros(len(symbols), np.uint64), 0
-        for size, keys, item, begin, seen in self.runs:
-            for j in range(done, size):
-                key = mix(key[: len(symbols) - j] + symbols[j:].astype(np.uint64) + np.uint64(1))
-            done = size
-            near = np.flatnonzero(seen[key >> np.uint64(46)])
-            low, high = np.searchsorted(keys, key[near]), np.searchsorted(keys, key[near], side="right")
-            near, low, n = near[high > low], low[high > low], (high - low)[high > low]
-            # Hits are gone through in blocks; a hit may be of many items.
-            for rows in _blocks(n):
-                times = n[rows]
-                hit = np.repeat(low[rows] - np.cumsum(times) + times, times) + np.arange(times.sum())
-                place, own, at = np.repeat(near[rows], times), item[hit], begin[hit]
-                text = np.searchsorted(close, place)
-                first = np.where(text > 0, close[text - 1] + 1, 0)
-                # A passage lies between these, and has all words of the item but the edited ones.
-                first = np.maximum(first, place - at - self.most[own])
-                until = np.minimum(close[text], place - at + self.sizes[own] + self.most[own])
-                keep = known[until] - known[first] >= self.sizes[own] - self.most[own]
-                if keep.any():
-                    out += self._verify(symbols, place[keep], own[keep], at[keep], size)
+        padded = np.concatenate([symbols, np.full(2, self.close, symbols.dtype)])
+        for c in self.classes:
+            start = np.flatnonzero(c["starts"][symbols])
+            # All words of the piece but the edited one, or two if the first was left out.
+            until = np.minimum(start + c["size"] + c["edits"], close[np.searchsorted(close, start)])
+            start = start[known[until] - known[start] >= c["size"] - 2 * c["edits"]]
+            for begin in range(0, len(start), 1 << 15):
+                hits = self._hits(padded, c, start[begin : begin + (1 << 15)])
+                for rows in _blocks(np.ones(len(hits), np.int64), 1 << 16):
+                    place, entry = np.divmod(hits[rows], len(c["item"]))
+                    own, at = c["item"][entry], c["at"][entry]
+                    text = np.searchsorted(close, place)
+                    first = np.where(text > 0, close[text - 1] + 1, 0)
+                    # A passage lies between these, and has all words of the item but the edited ones.
+                    first = np.maximum(first, place - at - self.most[own])
+                    last = np.minimum(close[text], place - at + self.sizes[own] + self.most[own])
+                    keep = (known[last] - known[first] >= self.sizes[own] - self.most[own]) & (symbols[place] == self.flat[self.offsets[own] + at])
+                    if keep.any():
+                        out += self._verify(symbols, place[keep], own[keep], at[keep], 1)
         return out
 
+    @staticmethod
+    def _hits(padded: np.ndarray, c: dict, start: np.ndarray) -> np.ndarray:
+        """Places and entries of equal keys, as place times the number of entries plus entry."""
+        found = [np.zeros(0, np.int64)]
+        for tosses, keys in c["keys"]:
+            walked = walk(padded, start, tosses)
+            for picked, table, order, seen in keys:
+                key = _fold(walked[:, picked])
+                near = np.flatnonzero(seen[key >> np.uint64(46)])
+                low, high = np.searchsorted(table, key[near]), np.searchsorted(table, key[near], side="right")
+                n = high - low
+                hit = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                found.append(np.repeat(start[near], n) * len(order) + order[hit])
+        return np.unique(np.concatenate(found))
+
     def _verify(
         self, symbols: np.ndarray, place: np.ndarray, own: np.ndarray, at: np.ndarray, size: int
     ) -> list[tuple[int, int, int, int]]:
-        """The leaks whose run of ``size`` words from ``at`` on stands at ``place``, by the edits before and behind it."""
+        """The leaks whose ``size`` words from ``at`` on stand at ``place``, by the edits before and behind it."""
         most = self.most[own]
         before, back = self._extend(symbols, place - 1, own, at - 1, at, most, -1)
         live = np.flatnonzero(before <= most)
@@ -203,6 +300,15 @@ def _blocks(weights: np.ndarray, most: int = 1 << 21) -> Iterator[slice]:
         begin = end
 
 
+def _table(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, their rows, and which first bits occur at all."""
+    keys = _fold(samples)
+    order = np.argsort(keys, kind="stable")
+    seen = np.zeros(1 << 18, bool)
+    seen[keys >> np.uint64(46)] = True
+    return keys[order], order, seen
+
+
 def _fold(samples: np.ndarray) -> np.ndarray:
     key = np.zeros(len(samples), np.uint64)
     for column in samples.T:
@@ -233,13 +339,15 @@ def mark_leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> D
 
 
 def _scan(docs: DataFrame, held: list[tuple[int, str]], s: Settings) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(held)  # item_bytes at most
+    counts = word_hashes([text for _, text in held])[1] if held else []
+    plans = {x: walks_of(*x, s) for x in {(size, edits) for n in set(counts) for _, size, edits in s.pieces(int(n)) if size}}
+    shared = docs.sparkSession.sparkContext.broadcast((held, plans))  # item_bytes and some numbers for each size at most
     names = [c for c in docs.columns if c != "leaks"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
     fields = ("item_id", "first_word", "n_words", "edits")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value, s)
+        index = Index(shared.value[0], s, shared.value[1])
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             leaks = batch.column("leaks").to_pylist()

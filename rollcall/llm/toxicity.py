@@ -15,10 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import is_held_out
+from rollcall.llm.words import shingles, word_hashes
+from rollcall.session import staged
 
 WORD = re.compile(r"\w+")
 
@@ -29,10 +31,11 @@ class Settings:
 
     sample_rows: int = 24000
     most_tokens: int = 50000
-    stem: int = 4  # characters of a word's beginning
+    stems: tuple[int, ...] = (4, 5, 6, 7)  # characters of a word's beginnings
     prior: float = 20.0  # weight of the pooled frequencies, in documents
-    least_z: float = 3.5
-    least_z_stem: float = 4.5
+    # Root of twice the log-likelihood ratio a token needs: six toxic families and no other, say.
+    least_z: float = 5.0
+    least_z_stem: float = 6.0
     least_kinds: int = 4
     drift: float = 0.15  # what a word without evidence takes off a segment
     most_odds: float = 8.0
@@ -49,37 +52,51 @@ class Model:
     slope: float
 
 
-def tokens(text: str, stem: int) -> list[str]:
-    """Words, and beginnings of words marked by a star, once per word."""
-    out = []
-    for word in WORD.findall(text.lower()):
-        out.append(word)
-        if len(word) > stem:
-            out.append(word[:stem] + "*")
-    return out
+def tokens(text: str, stems: tuple[int, ...]) -> set[str]:
+    """The words of a text, and beginnings of longer ones marked by a star."""
+    words = set(WORD.findall(text.lower()))
+    return words | {word[:n] + "*" for word in words for n in stems if len(word) > n}
 
 
-def hits(text: str, odds: dict[str, float], stem: int) -> tuple[list[tuple[int, float]], int]:
-    """The words with evidence, as (place, log-odds), and the number of words."""
-    words = WORD.findall(text.lower())
-    get = odds.get
-    out = []
-    for i, word in enumerate(words):
-        value = get(word)
-        if value is None and len(word) > stem:
-            value = get(word[:stem] + "*")
-        if value is not None:
-            out.append((i, value))
-    return out, len(words)
+class Table:
+    """Log-odds of tokens; a word without own ones has those of its longest beginning that has."""
+
+    def __init__(self, odds: dict[str, float], stems: tuple[int, ...]):
+        self.odds, self.stems = odds, sorted(stems, reverse=True)
+        self.first = min(stems)
+        self.heads = {x[: self.first] for x in odds}  # most words are told by these
+
+    def hits(self, text: str) -> tuple[list[tuple[int, float]], int]:
+        """The words with evidence, as (place, log-odds), and the number of words.
+
+        The k-th time a word or beginning is met it counts one k-th: words that
+        a text has used once are likely to come again.
+        """
+        words = WORD.findall(text.lower())
+        heads, get, first, met, out = self.heads, self.odds.get, self.first, {}, []
+        for i, word in enumerate(words):
+            if word[:first] not in heads:
+                continue
+            value = get(word)
+            for n in self.stems:
+                if value is None and len(word) > n:
+                    value = get(token := word[:n] + "*")
+                    if value is not None:
+                        word = token
+            if value is not None:
+                met[word] = k = met.get(word, 0) + 1
+                out.append((i, value / k))
+        return out, len(words)
 
 
 def segments(found: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score), in order.
 
     Words between two entries of ``found`` score ``-drift`` each. One pass with
-    a list of candidates that are joined as soon as a later one lifts them.
+    a list of candidates that are joined as soon as a later one lifts them; each
+    knows the last one before it that begins lower, so that the time is linear.
     """
-    kept: list[list[float]] = []  # first, last, cumulative score before and after
+    kept: list[tuple[int, int, float, float, int]] = []  # first, last, cumulative score before and after, link
     total, at = 0.0, -1
     for place, score in found:
         total -= drift * (place - at - 1)
@@ -87,17 +104,15 @@ def segments(found: list[tuple[int, float]], drift: float) -> list[tuple[int, in
         before, total = total, total + score
         if score <= 0:
             continue
-        new = [place, place, before, total]
-        while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or kept[j][3] >= new[3]:
-                break
-            new = [kept[j][0], place, kept[j][2], total]
+        first, j = place, len(kept) - 1
+        while j >= 0 and kept[j][2] >= before:
+            j = kept[j][4]
+        while j >= 0 and kept[j][3] < total:
+            first, _, before, _, link = kept[j]
             del kept[j:]
-        kept.append(new)
-    return [(int(a), int(b), d - c) for a, b, c, d in kept]
+            j = link
+        kept.append((first, place, before, total, j))
+    return [(a, b, d - c) for a, b, c, d, _ in kept]
 
 
 def evidence(parts: list[tuple[int, int, float]], n_words: int, rate: float, size: float, significant: float):
@@ -134,6 +149,20 @@ def _labelled(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[DataFram
     return text.join(F.broadcast(picked), "doc_id").drop("doc_id").where(F.col("text").isNotNull()), counts
 
 
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near copies as one family, so that their words are not evidence again and again.
+
+    A family is the smallest hash of three words in a row: copies with most of
+    them in common share it.
+    """
+    for batch in batches:
+        runs = shingles(*word_hashes(batch.column("text").to_pylist()), 3)
+        family = [int(x[0].astype(np.int64)) if len(x) else 0 for x in runs]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("text"), batch.column("toxic"), pa.array(family, pa.int64())], names=["text", "toxic", "family"]
+        )
+
+
 def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     """Learns from labelled documents that are not held out.
 
@@ -141,38 +170,50 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     and the calibration. Without both kinds of labels every text scores 0.
     """
     sample, counts = _labelled(docs, labels, s)
+    names, kinds = ["token", "toxic", "family"], [pa.string(), pa.int32(), pa.int64()]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, marks = [], []
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own = set(tokens(text, s.stem))
-                out += own
-                marks += [toxic] * len(own)
-                if len(out) > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(marks, pa.int32())], names=["token", "toxic"])
-                    out, marks = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(marks, pa.int32())], names=["token", "toxic"])
-
-    learn = sample.where("part > 0")
-    sizes = learn.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("a"), F.count("*").alias("n")).first()
-    a, b = sizes["a"], sizes["n"] - sizes["a"]
+            rows = zip(
+                batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), batch.column("family").to_pylist(), strict=True
+            )
+            out = ([], [], [])
+            for text, toxic, family in rows:
+                own = tokens(text, s.stems)
+                for column, values in zip(out, (own, [toxic] * len(own), [family] * len(own)), strict=True):
+                    column += values
+                if len(out[0]) > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+                    out = ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+
+    learn = staged(sample.where("part > 0").select("text", "toxic").mapInArrow(_families, "text string, toxic int, family long"), "learn")
+    sizes = dict(learn.select("toxic", "family").distinct().groupBy("toxic").count().collect())
+    a, b = sizes.get(1, 0), sizes.get(0, 0)
     if not a or not b:
         return Model({}, 1.0, 1.0, -30.0, 0.0)
-    # Documents with the token among toxic and other ones, both raised by the prior's share.
+    # Families with the token among toxic and other ones, both raised by the prior's share.
     alpha = F.lit(s.prior) * (F.col("y") + F.col("x")) / F.lit(float(a + b))
     top, low = F.col("y") + alpha, F.col("x") + alpha
+
+    def surprise(column: str, families: int) -> Column:
+        expected = (F.col("y") + F.col("x")) * F.lit(families / (a + b))
+        return F.when(F.col(column) > 0, F.col(column) * F.log(F.col(column) / expected)).otherwise(0.0)
+
     odds = F.log(top / (a + s.prior - top + 1)) - F.log(low / (b + s.prior - low + 1))
     counted = (
-        learn.select("text", "toxic")
-        .mapInArrow(split, "token string, toxic int")
+        learn
+        .mapInArrow(split, "token string, toxic int, family long")
+        .distinct()
         .groupBy("token")
         .agg(F.sum("toxic").cast("double").alias("y"), F.sum(1 - F.col("toxic")).cast("double").alias("x"))
     )
     # A beginning says more than its words only if several of them are in toxic documents.
+    lengths = F.array(*(F.lit(n) for n in s.stems))
     begun = (
-        counted.where((F.col("y") > 0) & (F.length("token") > s.stem) & ~F.col("token").endswith("*"))
-        .groupBy(F.concat(F.substring("token", 1, s.stem), F.lit("*")).alias("token"))
+        counted.where((F.col("y") > 0) & ~F.col("token").endswith("*"))
+        .select("token", F.explode(F.filter(lengths, lambda n: n < F.length("token"))).alias("n"))
+        .groupBy(F.expr("concat(substring(token, 1, n), '*')").alias("token"))
         .agg(F.count("*").alias("kinds"))
     )
     needed = F.when(F.col("token").endswith("*"), s.least_z_stem).otherwise(s.least_z)
@@ -180,9 +221,9 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
         counted.join(begun, "token", "left")
         .where(~F.col("token").endswith("*") | (F.col("kinds") >= s.least_kinds))
         .withColumn("odds", odds)
-        .withColumn("z", F.col("odds") / F.sqrt(1 / top + 1 / low))
-        .where(F.abs("z") >= needed)
-        .orderBy(F.abs("z").desc(), "token")
+        .withColumn("z", F.sqrt(F.greatest(2 * (surprise("y", a) + surprise("x", b)), F.lit(0.0))))
+        .where(F.col("z") >= needed)
+        .orderBy(F.col("z").desc(), "token")
         .limit(s.most_tokens)
         .select("token", "odds")
         .collect()
@@ -190,32 +231,35 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     found = {r["token"]: float(np.clip(r["odds"], -s.most_odds, s.most_odds)) for r in rows}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Table(found, s.stems)
         for batch in batches:
             out = []
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own, n = hits(text, found, s.stem)
+                own, n = lookup.hits(text)
                 scores = sorted((x[2] for x in segments(own, s.drift)), reverse=True)
-                out.append((toxic, n, scores, sum(math.exp(x) for _, x in own), len(own)))
+                out.append((toxic, n, scores, [x for _, x in own]))
             if out:
-                kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.int64()]
+                kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["toxic", "n", "scores", "mass", "hits"]
+                    [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["toxic", "n", "scores", "hits"]
                 )
 
     rest = (
         sample.where("part = 0").select("text", "toxic")
-        .mapInArrow(measure, "toxic int, n long, scores array<double>, mass double, hits long")
+        .mapInArrow(measure, "toxic int, n long, scores array<double>, hits array<double>")
         .collect()  # numbers of a third of the bounded sample
     )
     clean = [r for r in rest if not r["toxic"]]
     words = 1 + sum(r["n"] for r in clean)
-    # lambda: E exp(lambda s) = 1 over clean words, one imagined hit of each kind included.
+    # lambda: the mean of exp(lambda s) over the words of clean text is 1, one imagined hit of the
+    # highest score included.
     seen = [x for r in clean for x in r["scores"]]
-    shares = [(1 / words, max(found.values(), default=1.0)), *((1 / words, x) for x in seen)]
+    scores, times = np.unique(np.array([max(found.values(), default=1.0), *(x for r in clean for x in r["hits"])]), return_counts=True)
+    shares, quiet = times / (words + len(scores)), 1 - times.sum() / (words + len(scores))
     low, high = 1e-3, 20.0
     for _ in range(60):
         mid = (low + high) / 2
-        mass = sum(p * math.exp(min(700.0, mid * x)) for p, x in shares) + (1 - sum(p for p, _ in shares)) * math.exp(-mid * s.drift)
+        mass = (shares * np.exp(np.minimum(700.0, mid * scores))).sum() + quiet * math.exp(-mid * s.drift)
         low, high = (mid, high) if mass < 1 else (low, mid)
     rate = low
     # K: mean number of segments above a level is K n exp(-lambda S); one more than seen at the median score.
@@ -255,10 +299,11 @@ def score(docs: DataFrame, model: Model, s: Settings = Settings()) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        lookup = Table(m.odds, s.stems)
         for batch in batches:
             out, scores = [], []
             for text in batch.column("text"):
-                own, n = hits(text.as_py() or "", m.odds, s.stem)
+                own, n = lookup.hits(text.as_py() or "")
                 kept, x = evidence(segments(own, s.drift), n, m.rate, m.size, s.significant)
                 out.append([{"first": a, "last": b, "score": c} for a, b, c in kept])
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, m.intercept + m.slope * math.log1p(x))))))
