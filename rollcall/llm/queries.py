@@ -14,7 +14,7 @@ from rollcall.llm.hard_negatives import mine, scaled
 from rollcall.llm.licenses import scan_licenses
 from rollcall.llm.line_dedup import dedup_lines
 from rollcall.llm.maxscore import dense_terms, top_k
-from rollcall.llm.packing import pack_documents
+from rollcall.llm.packing import added_tokens, pack_documents
 from rollcall.llm.periodic import collapse_runs
 from rollcall.llm.registry import ORACLES, QUERIES, query
 from rollcall.llm.token_files import read_blocks, scan_blocks, write_token_files
@@ -105,7 +105,8 @@ def op8(spark, sf_dir):
 @query("op9_best_fit_packing")
 def op9(spark, sf_dir):
     """Every document's pieces with their sequence and place."""
-    return pack_documents(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, added=added)
 
 
 @query("op10_token_counts")

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from rollcall.llm.bytebpe import ByteBpe
-from rollcall.llm.packing import OpenBins, best_fit, pack_documents
+from rollcall.llm.packing import OpenBins, added_tokens, best_fit, pack_documents, with_added
 from rollcall.llm.token_files import read_blocks, scan_blocks, write_token_files
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -33,6 +33,27 @@ def test_ids_are_the_librarys(library):
         assert [p.tolist() for p in parts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_one_id(library):
+    rnd, end = random.Random(2), "<|endoftext|>"
+    texts = ["".join(rnd.choice([end, end, " ", "a", " b'", "\n", "<|end"]) for _ in range(rnd.randint(0, 9))) for _ in range(400)]
+    texts += [end, f"{end} a", f"a{end}", f" {end} {end}", end * 3, ""]
+    added, encoder = added_tokens(public_tokenizers.path("byte_bpe_50k.json")), ByteBpe(RANKS, PATTERN)
+    assert added == {end: 50256}
+    ids, ends = with_added(encoder.encode, texts, added)
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [p.tolist() for p in np.split(ids, ends[:-1])] == want
+    assert with_added(encoder.encode, texts, added)[0].tolist() == sum(want, [])
+
+
+def test_few_open_bins_are_enough(spark):
+    rnd = random.Random(4)
+    data = [(i, 0, rnd.choice([rnd.randint(1, 2047), rnd.randint(1, 300)]), i * 7919 % 10007) for i in range(9000)]
+    frame = spark.createDataFrame(data, "doc_id long, piece int, length long, _deal long")
+    rows = best_fit(frame, group_rows=10**6).collect()
+    least = -(-sum(d[2] for d in data) // 2048)
+    assert len({r.sequence_id for r in rows}) <= 1.01 * least and len(rows) == len(data)
+
+
 def rows(n=60):
     rnd = random.Random(5)
     words = "pack these words into bins until full".split()
