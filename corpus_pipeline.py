@@ -8,20 +8,30 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import langid
 from rollcall.llm.chosen_path import keep_one
-from rollcall.llm.common import DOCUMENT_COLUMNS, table
+from rollcall.llm.common import DOCUMENT_COLUMNS, is_held_out, table
 from rollcall.llm.decontaminate import mark_leaks
 from rollcall.llm.line_dedup import dedup_lines
-from rollcall.llm.packing import pack_documents
+from rollcall.llm.packing import added_tokens, pack_documents
 from rollcall.session import prepare, staged
 
-# A document whose best language is less likely than this is rejected.
-LEAST_SCORE = 0.3
+# Of held-out documents whose language was found, so many scored lower than the bound's base.
+LOWEST_SHARE = 0.001
+SLACK = 0.9
+# A text that is half in one language and half in another is no stranger.
+MIXED = 0.45
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; those without a letter or of no clear language go."""
-    named = langid.predict(docs.select(*DOCUMENT_COLUMNS), langid.fit(docs))
-    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    """Documents in one of the learned languages; those without a letter or of no clear language go.
+
+    What is clear is told by documents that the model has not learned from: the
+    bound lies below nearly all scores of those whose language it found, and no
+    higher than that of a text in two languages.
+    """
+    named = staged(langid.predict(docs.select(*DOCUMENT_COLUMNS), langid.fit(docs)), "named")
+    found = named.where(is_held_out(F.col("doc_id")) & (F.col("lang") == F.col("lang_pred")))
+    base = found.agg(F.percentile_approx("score", F.lit(LOWEST_SHARE), F.lit(10000))).first()[0] or 0.0
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= min(SLACK * base, MIXED))
     return named.where(known).select(*DOCUMENT_COLUMNS)
 
 
@@ -45,7 +55,8 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 STAGES = [
