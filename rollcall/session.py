@@ -81,13 +81,13 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The frame written to a table in the shared folder and read back.
 
     For frames that are costly to make and read several times, by few columns.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored.staged_path = path
     return stored
