@@ -74,7 +74,7 @@ class Walks:
         """Pieces and edited texts as they are compared, with and without the first word, for 2,000 edits of every kind."""
         count = 2000 if edits and size > 1 else 1
         width = size + self.steps + 4
-        own, text = np.zeros((count, width), np.int64), np.zeros((count, width), np.int64)
+        own, text = np.zeros((count, width), np.int32), np.zeros((count, width), np.int32)
         for i in range(count):
             words = list(range(1, size + 1))
             at, kind = int(rng.integers(size)), i % 3
@@ -82,11 +82,11 @@ class Walks:
             own[i, :size] = words
             own[i, size:] = size + 2
             text[i, : len(new)] = new
-            text[i, len(new) :] = size + 3 + np.arange(width - len(new))
+            text[i, len(new) :] = size + 3 + np.arange(width - len(new), dtype=np.int32)
         used = size + 3 + width  # every pair has words, and tosses, of its own
         second = np.where((text == 2).any(axis=1), (text == 2).argmax(axis=1), 0)
-        shifted = np.stack([np.concatenate([row[k:], np.full(k, size + 3)]) for row, k in zip(text, second, strict=True)])
-        base = np.arange(count)[:, None] * used
+        shifted = np.stack([np.concatenate([row[k:], np.full(k, size + 3, np.int32)]) for row, k in zip(text, second, strict=True)])
+        base = np.arange(count, dtype=np.int32)[:, None] * np.int32(used)
         shorter = np.concatenate([own[:, 1:], own[:, -1:]], axis=1)
         return own, (own + base, shorter + base), (text + base, shifted + base)
 
@@ -100,11 +100,11 @@ def coins(salt: np.uint64, steps: int, symbols: int) -> np.ndarray:
 
 def walk(flat: np.ndarray, at: np.ndarray, tosses: np.ndarray) -> np.ndarray:
     """The symbols that walks from the places ``at`` copy."""
-    out, at = np.zeros((len(at), len(tosses)), np.int32), at.astype(np.int64)
-    for j, toss in enumerate(tosses):
-        out[:, j] = flat[at]
-        at = at + toss[out[:, j]]
-    return out
+    out, at = np.zeros((len(tosses), len(at)), np.int32), at.astype(np.int64)
+    for step, toss in zip(out, tosses, strict=True):
+        np.take(flat, at, out=step, mode="clip")
+        at += toss[step]
+    return out.T
 
 
 @lru_cache(256)
@@ -148,7 +148,7 @@ class Index:
         for (size, edits), entries in sorted(by_size.items()):
             plan = self.plans.get((size, edits)) or walks_of(size, edits, self.s)
             item, at, rest = np.array(entries, np.int64).T
-            flat = np.full((len(entries), size + plan.steps + 2), self.close, np.int64)
+            flat = np.full((len(entries), size + plan.steps + 2), self.close, np.int32)
             for row, (i, x, n) in enumerate(entries):
                 flat[row, :n] = self.items[i][x : x + n]
             starts = np.zeros(self.close + 1, bool)
@@ -158,7 +158,7 @@ class Index:
                 tosses = coins(salt, plan.steps, self.close + 1)
                 tosses[:, self.close] = 0  # the walk stays at the end
                 walked = walk(flat.ravel(), np.arange(len(entries)) * flat.shape[1], tosses)
-                keys.append((tosses, [(key, *_table(walked[:, key])) for key in picked]))
+                keys.append((tosses, [(key, *_table(walked.T[key].T)) for key in picked]))
             out.append({"size": size, "edits": edits, "item": item, "at": at, "starts": starts, "keys": keys})
         return out
 
@@ -189,7 +189,7 @@ class Index:
         known = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])
         close = np.flatnonzero(symbols == self.close)
         out: list[tuple[int, int, int, int]] = []
-        padded = np.concatenate([symbols, np.full(2, self.close, symbols.dtype)])
+        padded = np.concatenate([symbols, np.full(2, self.close, symbols.dtype)]).astype(np.int32)
         for c in self.classes:
             start = np.flatnonzero(c["starts"][symbols])
             # All words of the piece but the edited one, or two if the first was left out.
@@ -217,7 +217,7 @@ class Index:
         for tosses, keys in c["keys"]:
             walked = walk(padded, start, tosses)
             for picked, table, order, seen in keys:
-                key = _fold(walked[:, picked])
+                key = _fold(walked.T[picked].T)
                 near = np.flatnonzero(seen[key >> np.uint64(46)])
                 low, high = np.searchsorted(table, key[near]), np.searchsorted(table, key[near], side="right")
                 n = high - low
@@ -310,10 +310,10 @@ def _table(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _fold(samples: np.ndarray) -> np.ndarray:
-    key = np.zeros(len(samples), np.uint64)
+    key = np.full(len(samples), 1, np.uint64)
     for column in samples.T:
-        key = mix(key + column.astype(np.uint64) + np.uint64(1))
-    return key
+        key = key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64)
+    return mix(key)
 
 
 LEAKS = "array<struct<item_id: long, first_word: long, n_words: long, edits: long>>"
