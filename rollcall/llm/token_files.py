@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,22 +53,41 @@ def write_token_files(docs: DataFrame, path: str, ranks_path: str, pattern: str,
     )
 
 
+def open_file(uri: str) -> pa.NativeFile:
+    """A file of random access; Spark names local ones without escapes."""
+    if uri.startswith("file:"):
+        return LocalFileSystem().open_input_file("/" + uri.removeprefix("file:").lstrip("/"))
+    store, place = FileSystem.from_uri(uri)
+    return store.open_input_file(place)
+
+
 def read_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, width: int = 2) -> DataFrame:
     """The files below ``path`` as rows (file, block, data).
 
-    A file is read whole before it is cut, so files must fit a task; the writer
-    makes one of each input split. ``scan_blocks`` takes blocks from anywhere.
+    Spark lists the files with their lengths and deals out ranges of them; a task
+    reads no more than one block at a time, however long its file is. Ranges are
+    opened by Arrow's file systems: local or mounted folders, HDFS, S3, GCS. Empty
+    files have no rows. ``scan_blocks`` takes blocks from anywhere.
     """
     size = block_tokens * width
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    cut = files.select(
-        F.col("path").alias("file"), "content", F.explode(F.sequence(F.lit(0), F.floor((F.length("content") - 1) / size).cast("int"))).alias("block")
-    )
-    return cut.where(F.length("content") > 0).select(
-        "file", F.col("block").cast("long").alias("block"),
-        F.substring("content", F.col("block") * size + 1, F.lit(size)).alias("data"),
+    # Without the content column no file is opened here.
+    ranges = files.where("length > 0").select(
+        F.col("path").alias("file"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {size}"))).alias("block"),
     )
 
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, block in zip(batch.column("file").to_pylist(), batch.column("block").to_pylist(), strict=True):
+                with open_file(uri) as source:
+                    data = source.read_at(min(size, source.size() - block * size), block * size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uri]), pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["file", "block", "data"]
+                )
+
+    return ranges.repartition("file", "block").mapInArrow(fetch, "file string, block long, data binary")
+
 
 def scan_blocks(blocks: DataFrame, end_id: int = END_ID, width: int = 2, span: int = SPAN_BLOCKS) -> DataFrame:
     """Every document of the files: (file, doc_no, start, n_tokens, closed).

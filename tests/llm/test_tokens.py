@@ -115,6 +115,24 @@ def test_token_files(spark, tmp_path, library, block_tokens):
     ]
 
 
+def test_ranges_of_a_long_file(spark, tmp_path):
+    """A file above 2 GB, with holes, in a folder with odd characters; empty files have no documents."""
+    folder = tmp_path / "odd %20 name"
+    folder.mkdir()
+    (folder / "part-00001").touch()
+    places = [5, (1 << 30) + 7, (1 << 30) + (1 << 27)]
+    with open(folder / "part-00000", "wb") as f:
+        for place in places:
+            f.seek(2 * place)
+            f.write((9).to_bytes(2, "little"))
+        f.write(bytes(6))
+    got = scan_blocks(read_blocks(spark, str(folder), 1 << 24), end_id=9).collect()
+    assert sorted((r.doc_no, r.start, r.n_tokens, r.closed) for r in got) == [
+        (0, 0, 5, True), (1, 6, places[1] - 6, True), (2, places[1] + 1, places[2] - places[1] - 1, True),
+        (3, places[2] + 1, 3, False),
+    ]
+
+
 def test_open_documents_null_blocks_and_no_blocks(spark):
     pack = lambda *ids: np.array(ids, "<u2").tobytes()
     data = [
