@@ -22,6 +22,8 @@ END_ID = 50256
 BLOCK_TOKENS = 1 << 20
 # Blocks whose summaries are scanned by one task before their totals are.
 SPAN_BLOCKS = 1024
+# Blocks that one task reads from the store, one after another.
+TASK_BLOCKS = 64
 
 
 def write_token_files(docs: DataFrame, path: str, ranks_path: str, pattern: str, end_id: int = END_ID) -> None:
@@ -86,7 +88,9 @@ def read_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS
                     [pa.array([uri]), pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["file", "block", "data"]
                 )
 
-    return ranges.repartition("file", "block").mapInArrow(fetch, "file string, block long, data binary")
+    # A width of its own: these rows are too small for Spark to tell how much is behind them.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-ranges.count() // TASK_BLOCKS))
+    return ranges.repartition(tasks, "file", "block").mapInArrow(fetch, "file string, block long, data binary")
 
 
 def scan_blocks(blocks: DataFrame, end_id: int = END_ID, width: int = 2, span: int = SPAN_BLOCKS) -> DataFrame:
