@@ -30,6 +30,7 @@ from rollcall.plans.scans import BAD_ROWS, ENVELOPE
 from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _TABLE_SQL, _last, _last_set, _names
 from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
+from rollcall.sinks.columns import OpenTable
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable
 from rollcall.sinks.topics import file_writer
@@ -38,7 +39,7 @@ from rollcall.sources.typed import parse_record
 from rollcall.streaming.changelog import stream_changelog
 from rollcall.streaming.facts import DELAY, stream_first_left_join, stream_left_join, watermarked
 from rollcall.streaming.jobs import (
-    ALL_AVAILABLE, joined_stream, once_per_batch, start_split, start_wide, wide_table,
+    ALL_AVAILABLE, joined_stream, once_per_batch, start_columns, start_split, start_wide, wide_table,
 )
 from rollcall.streaming.refresh import DimSnapshots
 from rollcall.streaming.retractions import folded, stream_changes
@@ -574,3 +575,41 @@ def _wide_member(spark, sf_dir, multiplicity):
     split()
     widen()
     return plain_times(table.current(spark))
+
+
+@query(
+    "table_new_columns",
+    with_(FACTS)
+    + f"""SELECT CAST(user_id AS INTEGER) AS uid, dn,
+  arg_max(ms, event_id) AS register,
+  arg_max('m' || (event_id % 8), event_id) FILTER (WHERE ts < '{SECOND_BORDER}') AS memberlevel,
+  arg_max('c' || (event_id % 7), event_id)
+    FILTER (WHERE ts >= '{FIRST_BORDER}' AND event_id % 3 <> 0) AS channel,
+  arg_max(json_extract_string(props, '$.k'), event_id) FILTER (WHERE ts >= '{SECOND_BORDER}') AS k
+FROM ev WHERE event_type = 'signup' GROUP BY user_id, dn""",
+)
+def table_new_columns(spark, sf_dir):
+    """Members whose JSON gets one more field in the second batch and another in the third, where one is left out."""
+    stage = Stage(spark, sf_dir, "new-columns")
+    key = StructType().add("uid", "integer").add("dn", "string")
+    table = OpenTable(f"{stage.root}/table", key, buckets=4)
+    wire = dict(zip(MEMBER.fields, roles.fact_fields(MEMBER), strict=True))
+    fields = [wire[f] for f in ("uid", "dn", "register")]
+    level = F.concat(F.lit("m"), (F.col("event_id") % 8).cast("string")).alias("memberlevel")
+    channel = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("c"), (F.col("event_id") % 7).cast("string")))
+    third = F.get_json_object("props", "$.k").alias("k")
+    rounds = (
+        (_between(None, FIRST_BORDER), (level,)),
+        (_between(FIRST_BORDER, SECOND_BORDER), (level, channel.alias("channel"))),
+        (_between(SECOND_BORDER, None), (channel.alias("channel"), third)),
+    )
+    for days, more in rounds:
+        rows = roles.events_of(spark, sf_dir, MEMBER).where(days).select(
+            F.lit(MEMBER.topic).alias("topic"),
+            record_json(*fields, *more).alias("value"),
+            F.col("event_id").alias("seq"),
+        )
+        rows.write.mode("append").parquet(f"{stage.root}/log")
+        log = file_envelope(stage.stream, f"{stage.root}/log")
+        start_columns(log, MEMBER.topic, table, f"{stage.root}/columns", ALL_AVAILABLE).awaitTermination()
+    return table.current(spark)

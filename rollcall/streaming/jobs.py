@@ -18,6 +18,7 @@ from rollcall.operators.wide import (
 )
 from rollcall.schemas import FULL_COLUMNS, WIDE_COLUMNS
 from rollcall.session import STREAM_CONF
+from rollcall.sinks.columns import OpenTable, json_cells
 from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
 from rollcall.sinks.topics import TRIGGER_SECONDS
@@ -151,3 +152,23 @@ def start_wide(
         table.apply(row(found, carry=JOINED_ORDER), batch_id, query_id)
 
     return once_per_batch(joined, checkpoint, handle, trigger)
+
+
+def start_columns(
+    envelope: DataFrame,
+    topic: str,
+    table: OpenTable,
+    checkpoint: str,
+    trigger: dict = EVERY_MINUTE,
+) -> StreamingQuery:
+    """Merges the JSON objects of a topic into a table that gets a column for each new field.
+
+    Texts that are no JSON object, and objects without a usable first key column, are left out.
+    """
+    cells = F.col("cells")
+    objects = keep_json_objects(envelope.where(F.col("topic") == topic)).select(json_cells("value").alias("cells"), "seq")
+    rows = objects.select(
+        *[F.trim(F.try_element_at(cells, F.lit(f.name))).try_cast(f.dataType).alias(f.name) for f in table.key],
+        "seq", "cells",
+    ).where(F.col(table.key.fieldNames()[0]).isNotNull())
+    return once_per_batch(rows, checkpoint, table.apply, trigger)
