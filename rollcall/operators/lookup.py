@@ -85,6 +85,21 @@ def measure(frames: Sequence[DataFrame]) -> list[tuple[int, int]]:
     return [found.get(i, (0, 0)) for i in range(len(frames))]
 
 
+def with_size(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The frames with their rows and bytes noted, so that ``enrich`` need not count them again."""
+    for frame, size in zip(frames.values(), measure(list(frames.values())) if frames else ()):
+        frame.measured = size
+    return frames
+
+
+def sizes(dims: Sequence[DataFrame], tables: Sequence[DataFrame]) -> list[tuple[int, int]]:
+    """Rows and bytes of each looked-up table; what is noted of a dimension bounds its table."""
+    noted = [vars(d).get("measured") for d in dims]
+    unknown = [t for t, size in zip(tables, noted) if size is None]
+    counted = iter(measure(unknown) if unknown else ())
+    return [size or next(counted) for size in noted]
+
+
 def narrow(dim: DataFrame, spec: DimSpec, unique: bool) -> DataFrame:
     """The looked-up columns of a dimension under the fact's key name, one row per key."""
     if not unique:
@@ -109,13 +124,14 @@ def enrich(
     """Left joins on ``(fact_key, dn)``: by default ad, site, vip, one after the other.
 
     One row out per row in, misses are null. A dimension within the bounds is
-    broadcast. A larger one is shuffled by key together with the facts, whose
+    broadcast; a snapshot was counted when it was taken, others are counted here. A larger one is shuffled by key together with the facts, whose
     hot ids and missing ids are spread out by the arrival order ``order``; the
     facts are then stored first, to be counted by id. Streaming facts use
     Spark's plain join instead, their micro-batches being bounded by the source.
     """
     tables = [narrow(dims[s.name], s, unique) for s in specs]
-    small = [rows <= max_rows and size <= max_bytes for rows, size in measure(tables)]
+    found_sizes = sizes([dims[s.name] for s in specs], tables)
+    small = [rows <= max_rows and size <= max_bytes for rows, size in found_sizes]
     if not all(small) and not facts.isStreaming:
         facts = staged(facts, "facts")
     found = facts

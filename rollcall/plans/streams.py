@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from rollcall.operators.join import Side
-from rollcall.operators.lookup import VIP_LOOKUP, lookup
+from rollcall.operators.lookup import SITE_LOOKUP, VIP_LOOKUP, lookup
 from rollcall.operators.merge import MergeRules
 from rollcall.operators.sessions import session_counts, sliding_counts
 from rollcall.operators.wide import member_side, regtype_side
@@ -31,7 +31,7 @@ from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _TABLE_SQL, _last, _last_s
 from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
 from rollcall.sinks.columns import OpenTable
-from rollcall.sinks.dims import DimTables
+from rollcall.sinks.dims import DimTables, lookup_form
 from rollcall.sinks.table import KeyedTable
 from rollcall.sinks.topics import file_writer
 from rollcall.sources.envelope import file_envelope
@@ -41,7 +41,7 @@ from rollcall.streaming.facts import DELAY, stream_first_left_join, stream_left_
 from rollcall.streaming.jobs import (
     ALL_AVAILABLE, joined_stream, once_per_batch, start_columns, start_split, start_wide, wide_table,
 )
-from rollcall.streaming.refresh import DimSnapshots
+from rollcall.streaming.refresh import DimSnapshots, TableSnapshots
 from rollcall.streaming.retractions import folded, stream_changes
 
 FACT_SPECS = (MEMBER, REGTYPE, PAYMONEY)
@@ -613,3 +613,67 @@ def table_new_columns(spark, sf_dir):
         log = file_envelope(stage.stream, f"{stage.root}/log")
         start_columns(log, MEMBER.topic, table, f"{stage.root}/columns", ALL_AVAILABLE).awaitTermination()
     return table.current(spark)
+
+
+def _renamed_sites(dims: DataFrame) -> DataFrame:
+    """Every seventh site once more, later and under another name."""
+    sites = dims.where((F.col("topic") == "basewebsite") & (F.get_json_object("value", "$.siteid").cast("int") % 7 == 0))
+    value = F.regexp_replace("value", r'("sitename":"[^"]*)"', r'$1/1"')
+    return sites.withColumn("value", value).withColumn("seq", F.col("seq") + 1_000_000_000_000)
+
+
+def _owned_sites(dims: DataFrame) -> DataFrame:
+    """Every fifth site once more, later still, with another creator."""
+    sites = dims.where((F.col("topic") == "basewebsite") & (F.get_json_object("value", "$.siteid").cast("int") % 5 == 0))
+    value = F.regexp_replace("value", r'"creator":"admin"', '"creator":"admin/2"')
+    return sites.withColumn("value", value).withColumn("seq", F.col("seq") + 2_000_000_000_000)
+
+
+@query(
+    "dim_changes_since",
+    with_(DIMS)
+    + """SELECT siteid, CASE WHEN siteid % 5 = 0 THEN sitename ELSE sitename || '/1' END AS sitename, siteurl, "delete",
+  createtime, CASE WHEN siteid % 5 = 0 THEN 'admin/2' ELSE creator END AS creator, dn
+FROM site WHERE siteid % 7 = 0 OR siteid % 5 = 0""",
+)
+def dim_changes_since(spark, sf_dir):
+    """Sites touched after the first batch, one of the later batches being merged into a base meanwhile."""
+    dims = roles.dim_envelope(spark, sf_dir)
+    tables = DimTables(scratch_dir(spark, "changes"))
+    site = tables.table("basewebsite")
+    tables.apply(dims, 0)
+    since = site.mark(spark)
+    tables.apply(_renamed_sites(dims), 1)
+    site.compact(spark)
+    tables.apply(_owned_sites(dims), 2)
+    return site.changes(spark, since)
+
+
+@query(
+    "stream_dim_incremental",
+    with_(FACTS, DIMS)
+    + f"""SELECT p.uid, p.dn, p.siteid, p.paymoney_seq AS seq,
+  s.sitename || CASE WHEN e.ts >= TIMESTAMP '{FIRST_BORDER}' AND s.siteid % 7 = 0
+    AND (e.ts < TIMESTAMP '{SECOND_BORDER}' OR s.siteid % 5 <> 0) THEN '/1' ELSE '' END AS sitename,
+  CASE WHEN e.ts >= TIMESTAMP '{SECOND_BORDER}' AND s.siteid % 5 = 0 THEN 'admin/2' ELSE s.creator END AS site_creator
+FROM pay p JOIN ev e ON e.event_id = p.paymoney_seq
+LEFT JOIN site s ON p.siteid = s.siteid AND p.dn = s.dn""",
+)
+def stream_dim_incremental(spark, sf_dir):
+    """Payments of each round see the site table as it is then, through a snapshot that takes in the changes."""
+    stage = Stage(spark, sf_dir, "dim-incremental")
+    dims = roles.dim_envelope(spark, sf_dir)
+    tables = DimTables(f"{stage.root}/dims")
+    snapshots = TableSnapshots(stage.stream, tables.tables(), lookup_form, seconds=0)
+
+    def handle(frame: DataFrame, batch_id: int, query_id: str) -> None:
+        found = lookup(frame, snapshots.get()["basewebsite"], SITE_LOOKUP, unique=True)
+        found.write.mode("overwrite").parquet(f"{stage.root}/out/batch={batch_id}")
+
+    for version, (rows, bounds) in enumerate(zip((dims, _renamed_sites(dims), _owned_sites(dims)), STAGES, strict=True)):
+        tables.apply(rows, version)
+        stage.put(PAYMONEY, _between(*bounds))
+        payments = stage.typed(PAYMONEY).select("uid", "dn", "siteid", "seq")
+        once_per_batch(payments, f"{stage.root}/checkpoint", handle, ALL_AVAILABLE).awaitTermination()
+    out = spark.read.parquet(f"{stage.root}/out")
+    return out.select("uid", "dn", "siteid", "seq", "sitename", "site_creator")

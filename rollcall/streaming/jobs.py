@@ -23,7 +23,7 @@ from rollcall.sinks.dims import DimTables
 from rollcall.sinks.table import KeyedTable, arrival_schema
 from rollcall.sinks.topics import TRIGGER_SECONDS
 from rollcall.streaming.facts import stream_first_left_join, stream_left_join
-from rollcall.streaming.refresh import DimSnapshots
+from rollcall.streaming.refresh import DimSnapshots, TableSnapshots
 
 EVERY_MINUTE = {"processingTime": f"{TRIGGER_SECONDS} seconds"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -135,7 +135,7 @@ def joined_stream(
 
 def start_wide(
     joined: DataFrame,
-    snapshots: DimSnapshots,
+    snapshots: DimSnapshots | TableSnapshots,
     table: KeyedTable,
     checkpoint: str,
     trigger: dict = EVERY_MINUTE,
