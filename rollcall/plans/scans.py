@@ -10,11 +10,11 @@ from rollcall.operators.route import (
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, with_
 from rollcall.plans.registry import query
-from rollcall.schemas import BASE_SITE, MEMBER, MEMBER_COLUMNS, PAYMONEY, REGTYPE
+from rollcall.schemas import BASE_AD, BASE_SITE, MEMBER, MEMBER_COLUMNS, PAYMONEY, REGTYPE
 from rollcall.session import scratch_dir
-from rollcall.sinks.dims import put_by_rowkey
+from rollcall.sinks.dims import by_rowkey, put_by_rowkey
 from rollcall.sources.envelope import decode
-from rollcall.sources.tables import scan_rowkeys, scan_where
+from rollcall.sources.tables import scan_many_rowkeys, scan_rowkeys, scan_where
 from rollcall.sources.typed import parse_record
 
 
@@ -222,3 +222,21 @@ def _stored_sites(spark, sf_dir):
 def scan_dim_by_rowkey(spark, sf_dir):
     table = _stored_sites(spark, sf_dir)
     return scan_rowkeys(table, ["3_webA", "8_webB"], ["sitename", "siteurl", "creator"])
+
+
+@query(
+    "scan_many_rowkeys",
+    """WITH o AS (
+  SELECT CAST(o_orderkey AS INTEGER) AS adid, o_orderpriority AS adname,
+         'web' || substr('ABC', CAST(o_custkey % 3 AS INTEGER) + 1, 1) AS dn, o_orderdate FROM orders)
+SELECT adid || '_' || dn AS rowkey, adname FROM o ORDER BY o_orderdate DESC, adid LIMIT 1000""",
+)
+def scan_many_rowkeys_query(spark, sf_dir):
+    """The rows of the 1,000 newest orders out of a table of all orders by row key."""
+    orders = roles.table(spark, sf_dir, "orders").selectExpr(
+        "int(o_orderkey) AS adid", "o_orderpriority AS adname",
+        "concat('web', substring('ABC', int(o_custkey % 3) + 1, 1)) AS dn", "o_orderdate",
+    )
+    stored = put_by_rowkey(orders.drop("o_orderdate"), BASE_AD, scratch_dir(spark, "many-rowkeys"))
+    newest = orders.orderBy(F.desc("o_orderdate"), "adid").limit(1000)
+    return scan_many_rowkeys(stored, by_rowkey(newest, BASE_AD), ["adname"])
