@@ -17,17 +17,17 @@ from rollcall.operators.join import Side
 from rollcall.operators.lookup import SITE_LOOKUP, VIP_LOOKUP, lookup
 from rollcall.operators.merge import MergeRules
 from rollcall.operators.sessions import session_counts, sliding_counts
-from rollcall.operators.wide import member_side, regtype_side
+from rollcall.operators.wide import member_side, regtype_side, total_row, wide_row
 from rollcall.functions import money, record_json, to_millis
 from rollcall.plans import roles
 from rollcall.plans.base_sql import DIMS, FACTS, FIRST_LEFT, LEFT_OUTER, WIDE_SELECT, looked_up, with_
 from rollcall.plans.joins import (
     _PAIR, _START, _TRIPLE, CHANGELOG, SESSION_SQL, SLIDING_SQL, _shown, _site_events, _text,
 )
-from rollcall.plans.lookups import plain_times
+from rollcall.plans.lookups import ENRICHED, plain_times
 from rollcall.plans.registry import query
 from rollcall.plans.scans import BAD_ROWS, ENVELOPE
-from rollcall.plans.upserts import _KEPT, _ORDER_SQL, _TABLE_SQL, _last, _last_set, _names
+from rollcall.plans.upserts import _FULL_NAMES, _KEPT, _ORDER_SQL, _TABLE_SQL, _last, _last_set, _names
 from rollcall.schemas import MEMBER, PAYMONEY, REGTYPE, SECOND_LAYER_PREFIX
 from rollcall.session import scratch_dir, stream_session
 from rollcall.sinks.columns import OpenTable
@@ -39,7 +39,7 @@ from rollcall.sources.typed import parse_record
 from rollcall.streaming.changelog import stream_changelog
 from rollcall.streaming.facts import DELAY, stream_first_left_join, stream_left_join, watermarked
 from rollcall.streaming.jobs import (
-    ALL_AVAILABLE, joined_stream, once_per_batch, start_columns, start_split, start_wide, wide_table,
+    ALL_AVAILABLE, joined_stream, once_per_batch, start_columns, start_split, start_wide, total_table, wide_table,
 )
 from rollcall.streaming.refresh import DimSnapshots, TableSnapshots
 from rollcall.streaming.retractions import folded, stream_changes
@@ -535,11 +535,29 @@ def stream_wide_member_first_left(spark, sf_dir):
     return _wide_member(spark, sf_dir, "first_left")
 
 
-def _wide_member(spark, sf_dir, multiplicity):
+_TIMES = ("vip_start_time", "vip_end_time", "last_modify_time")
+
+
+@query(
+    "stream_member_accumulate",
+    ENRICHED
+    + f""",
+r AS (SELECT * REPLACE ({', '.join(f"{c} || '.0' AS {c}" for c in _TIMES)}) RENAME (createtime AS regtype_createtime),
+        row_number() OVER (PARTITION BY uid, dn ORDER BY {_ORDER_SQL}) AS ord FROM e)
+SELECT uid, dn, {', '.join(f'any_value({c}) FILTER (WHERE ord = 1) AS {c}' for c in _FULL_NAMES)},
+  CAST(sum(coalesce(CAST(paymoney AS DECIMAL(18,2)), 0)) AS DECIMAL(38,2)) AS paymoney
+FROM r GROUP BY uid, dn""",
+)
+def stream_member_accumulate(spark, sf_dir):
+    """The standing job that adds payments up, with a restart, and once more after its checkpoint was lost."""
+    return _wide_member(spark, sf_dir, "first_left", total_table, total_row, replay=True)
+
+
+def _wide_member(spark, sf_dir, multiplicity, make=wide_table, row=wide_row, replay=False):
     stage = Stage(spark, sf_dir, "wide-member")
     log = f"{stage.root}/log"
     tables = DimTables(f"{stage.root}/dims")
-    table = wide_table(f"{stage.root}/wide", buckets=4)
+    table = make(f"{stage.root}/wide", buckets=4)
     roles.envelope(spark, sf_dir).write.parquet(log)
     second = f"{stage.root}/second"
 
@@ -555,7 +573,7 @@ def _wide_member(spark, sf_dir, multiplicity):
         for q in queries:
             q.awaitTermination()
 
-    def widen() -> None:
+    def widen(checkpoint: str = "widen") -> None:
         layer = stage.stream.readStream.schema("value string, seq bigint, topic string").parquet(second)
         facts = [
             watermarked(parse_record(layer, s, SECOND_LAYER_PREFIX + s.topic), s, roles.WINDOW)
@@ -564,7 +582,7 @@ def _wide_member(spark, sf_dir, multiplicity):
         snapshots = DimSnapshots(lambda: tables.lookups(stage.stream))
         joined = joined_stream(*facts, multiplicity=multiplicity)
         start_wide(
-            joined, snapshots, table, f"{stage.root}/widen", ALL_AVAILABLE
+            joined, snapshots, table, f"{stage.root}/{checkpoint}", ALL_AVAILABLE, row
         ).awaitTermination()
 
     split()
@@ -574,6 +592,8 @@ def _wide_member(spark, sf_dir, multiplicity):
         file_envelope(spark, f"{stage.root}/{spec.topic}", stream=False).write.mode("append").parquet(log)
     split()
     widen()
+    if replay:
+        widen("replayed")
     return plain_times(table.current(spark))
 
 
