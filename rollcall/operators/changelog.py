@@ -19,6 +19,8 @@ from rollcall.operators.skew import any_null, split_left_join
 from rollcall.session import keep
 
 ARRIVALS_PER_CHUNK = 1_000_000
+ROWS_PER_RANGE = 200_000
+PLACES = 1 << 33  # of rows of a partition in Spark's increasing ids
 
 
 def arrival_changelog(
@@ -125,14 +127,18 @@ def expand(changelog: DataFrame) -> DataFrame:
 
 
 def stretches(rows: DataFrame, on: Sequence[str], order: str, arrivals_per_chunk: int) -> DataFrame:
-    """``rows`` with ``_chunk``: stretches of a group's arrivals of about that many rows, in their order.
+    """``rows`` with ``_chunk``: stretches of a group's arrivals of at most that many rows, in their order.
 
     The rows are dealt by ranges of group and order, so that a large group lies
-    in as many ranges as its rows ask for, whatever its order numbers are.
+    in as many ranges as its rows ask for, whatever its order numbers are. Short
+    stretches share a range; a task takes about ``ROWS_PER_RANGE`` rows.
     """
-    parts = max(1, -(-rows.count() // arrivals_per_chunk))
-    ranged = rows.repartitionByRange(parts, *on, order).withColumn("_chunk", F.spark_partition_id())
-    return keep(ranged)
+    parts = max(1, -(-rows.count() // max(arrivals_per_chunk, ROWS_PER_RANGE)))
+    ranged = rows.repartitionByRange(parts, *on, order).sortWithinPartitions(*on, order)
+    # The range's number is above the row's place in it.
+    place = F.monotonically_increasing_id()
+    in_range = F.floor(place.bitwiseAND(F.lit(PLACES - 1)) / arrivals_per_chunk)
+    return keep(ranged.withColumn("_chunk", place.bitwiseAND(F.lit(-PLACES)) + in_range))
 
 
 def running(rows: DataFrame, on: Sequence[str], order: str, **sums: Column) -> DataFrame:
