@@ -15,12 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rollcall.operators.join import KEYS
+from rollcall.streaming.changelog import SHARES, arrivals_of, by_share, rows_out
 
-# Open windows of a member: arrivals so far, whether the window came out, its first left row, left
+# Open windows of a share of the members: arrivals so far, whether the window came out, its first left row, left
 # rows shown without a right one, right rows that wait.
 _PANE = (
-    "end: bigint, arrivals: bigint, fired: boolean, has_right: boolean, head: string, singles: array<string>, waiting: array<string>"
+    "uid: int, dn: string, end: bigint, arrivals: bigint, fired: boolean, has_right: boolean, head: string, singles: array<string>, waiting: array<string>"
 )
 _STATE = f"panes array<struct<{_PANE}>>"
 _CHANGES = (
@@ -31,8 +31,10 @@ _COLUMNS = [c.split()[0] for c in _CHANGES.split(", ")]
 
 @dataclass
 class _Pane:
-    """The rows of one window and the changes its arrivals make."""
+    """The rows of one window of a member and the changes its arrivals make."""
 
+    uid: int | None
+    dn: str | None
     end: int
     arrivals: int = 0
     fired: bool = False
@@ -75,36 +77,37 @@ class _Pane:
 
 
 def _advance(key, frames: Iterable[pd.DataFrame], state: GroupState, lateness_ms: int | None):
-    """All open windows of one member, one micro-batch. The watermark lags behind by the lateness.
+    """All open windows of a share of the members, one micro-batch. The watermark lags behind by the lateness.
 
-    Windows share a call because a call costs more than many rows do.
+    Members and windows share a call because a call costs more than many rows do.
     """
     watermark, out = int(state.getCurrentWatermarkMs()), []
-    panes = {p[0]: _Pane(*p) for p in state.get[0]} if state.exists else {}
+    panes = {tuple(p[:3]): _Pane(*p) for p in state.get[0]} if state.exists else {}
 
     def give(pane: _Pane, changes: list) -> None:
-        out.extend((int(key[0]), key[1], pane.end, change, pane.arrivals, x, y) for change, x, y in changes)
+        out.extend((pane.uid, pane.dn, pane.end, change, pane.arrivals, x, y) for change, x, y in changes)
 
     if not state.hasTimedOut:
-        arrivals = [a for f in frames for a in zip(f["_o"], f["_end"], f["_is_left"], f["_row"], strict=True)]
-        for _, end, is_left, row in sorted(arrivals):
-            pane = panes.setdefault(int(end), _Pane(int(end), fired=lateness_ms is None))
-            give(pane, pane.arrive(bool(is_left), row))
+        for _, end, is_left, row, uid, dn in arrivals_of(frames):
+            at = (uid, dn, end)
+            if at not in panes:
+                panes[at] = _Pane(*at, fired=lateness_ms is None)
+            give(panes[at], panes[at].arrive(is_left, row))
     for pane in panes.values():
         if not pane.fired and watermark >= pane.end - lateness_ms:
             give(pane, pane.fire())
-    panes = {end: pane for end, pane in panes.items() if end > watermark}
-    if panes:
-        state.update(([astuple(pane) for pane in panes.values()],))
-        state.setTimeoutTimestamp(min(p.end if p.fired else p.end - lateness_ms for p in panes.values()))
+    left = [pane for pane in panes.values() if pane.end > watermark]
+    if left:
+        state.update(([astuple(pane) for pane in left],))
+        state.setTimeoutTimestamp(min(p.end if p.fired else p.end - lateness_ms for p in left))
     elif state.exists:
         state.remove()
     if out:
-        yield pd.DataFrame(out, columns=_COLUMNS)
+        yield rows_out(out, _COLUMNS)
 
 
 def stream_changes(
-    left: DataFrame, right: DataFrame, order: str = "seq", lateness_ms: int | None = None
+    left: DataFrame, right: DataFrame, order: str = "seq", lateness_ms: int | None = None, shares: int = SHARES
 ) -> DataFrame:
     """Changes (``change`` 1 or -1) of the first-left join of two watermarked streams with ``window``.
 
@@ -114,22 +117,12 @@ def stream_changes(
     it again; the streams' watermark delay must include the lateness. ``arrival``
     counts the arrivals of a window. Rows of one micro-batch are taken by
     ``order``. A window's state goes when the watermark passes its end; it holds
-    the single left rows and the right rows that wait for a left one.
+    the single left rows and the right rows that wait for a left one. The number
+    of ``shares`` that members are dealt to is fixed for the life of a checkpoint.
     """
 
-    def tagged(df: DataFrame, is_left: bool) -> DataFrame:
-        body = [c for c in df.columns if c not in (*KEYS, "window")]
-        return df.select(
-            *KEYS, "window", F.col(order).alias("_o"), F.lit(is_left).alias("_is_left"), F.to_json(F.struct(*body)).alias("_row")
-        )
-
-    rows = tagged(left, True).unionByName(tagged(right, False))
-    return (
-        rows.withColumn("_end", F.unix_millis("window.end"))
-        .groupBy(*KEYS)
-        .applyInPandasWithState(
-            partial(_advance, lateness_ms=lateness_ms), _CHANGES, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
+    return by_share(left, right, order, shares).applyInPandasWithState(
+        partial(_advance, lateness_ms=lateness_ms), _CHANGES, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

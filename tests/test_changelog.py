@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rollcall.operators.changelog import arrival_changelog, arrival_changelog_twice, expand, running, stretches
 from rollcall.operators.join import Side
 from rollcall.streaming.changelog import stream_changelog
+from rollcall.streaming.retractions import folded, stream_changes
 from rollcall.session import scratch_dir, stream_session
 
 
@@ -164,3 +165,44 @@ def test_stretches_by_count(spark):
     for number, r in enumerate(sorted((r for r in sums if r.k == 1), key=lambda r: r.o), 1):
         total += r.o % 7
         assert (r.n, r.s) == (number, total)
+
+
+def test_short_stretches_share_tasks(spark):
+    """The number of tasks goes by rows, not by stretches."""
+    rows = spark.createDataFrame([(i % 3, i) for i in range(4000)], "k int, o bigint").repartition(5)
+    cut = stretches(rows, ["k"], "o", 10)
+    assert cut.rdd.getNumPartitions() == 1
+    sizes = cut.groupBy("k", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 10 and sizes.count() <= 403
+    sums = running(cut, ["k"], "o", n=F.lit(1))
+    assert sums.where("n <> floor(o / 3) + 1").count() == 0
+
+
+@pytest.mark.parametrize("make", [stream_changelog, stream_changes])
+def test_members_share_states(spark, make):
+    """A call and a state for many members, with the rows that each member would have alone; no uid is one of them."""
+    root = scratch_dir(spark, "shares-test")
+    uids = [None, *range(60)]
+    for which, step in (("left", 0), ("right", 1)):
+        data = [(u, "a", 10 + step, 10 * i + step) for i, u in enumerate(uids) if which == "left" or i % 2]
+        df = spark.createDataFrame(data, "uid int, dn string, sec bigint, seq bigint")
+        df.select("uid", "dn", F.timestamp_seconds("sec").alias("ts"), "seq").write.parquet(f"{root}/{which}")
+    sibling = stream_session(spark, 2)
+    inputs = []
+    for which in ("left", "right"):
+        df = sibling.readStream.schema("uid int, dn string, ts timestamp, seq bigint").parquet(f"{root}/{which}")
+        inputs.append(df.withWatermark("ts", "3 hours").withColumn("window", F.window("ts", "1 hour")).drop("ts"))
+    query = (
+        make(*inputs, shares=8).writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert 1 < max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 8
+    seq = [F.get_json_object(f"{side}_row", "$.seq").cast("int").alias(side) for side in ("left", "right")]
+    got = spark.read.parquet(f"{root}/out").select("*", *seq)
+    if make is stream_changes:
+        got = folded(got, "uid", "left", "right").where("present")
+    else:
+        got = got.where("right is not null or left % 20 = 0")
+    want = [(u, 10 * i, 10 * i + 1 if i % 2 else None) for i, u in enumerate(uids)]
+    assert Counter((r.uid, r.left, r.right) for r in got.collect()) == Counter(want)
