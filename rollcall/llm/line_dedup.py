@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,8 @@ class Settings:
     # pairs of ten thousand.
     most_unlike: int = 7
     small: int = 32  # lines of a band that are compared with each other
-    heads: int = 4  # lines that all others are compared with, in bands that no value splits any more
+    heads: int = 4  # lines of a larger band that all others are compared with first
+    block: int = 512  # lines of a larger band that meet as many others under one key
     bits: int = 1 << 25  # of the bitmap that tells lines that may be needed
     seed: int = 11
 
@@ -48,7 +48,6 @@ class Settings:
 
 VALUE_BITS = 21  # of a signature value; three come from one hash
 SKETCH_BITS = 5  # of it in the sketch
-GROUP_BITS = 4  # of a band's hash, for the group of its values
 
 
 def _document(docs: DataFrame) -> Column:
@@ -115,13 +114,12 @@ def _value(i: int, bits: int = VALUE_BITS) -> Column:
 
 
 def bands_of(s: Settings) -> Column:
-    """A hash for each band of a line; its last bits tell the group of its values."""
+    """A hash for each band of a line."""
     bands = []
-    mask = (1 << GROUP_BITS) - 1
     for g in range(s.groups):
         for left_out in range(s.width):
             held = [_value(g * s.width + i) for i in range(s.width) if i != left_out]
-            bands.append(F.xxhash64(F.lit(len(bands)), *held).bitwiseAND(F.lit(~mask)).bitwiseOR(F.lit(g)))
+            bands.append(F.xxhash64(F.lit(len(bands)), *held))
     return F.array(*bands)
 
 
@@ -190,65 +188,71 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(bands.where("x < y").select("band", "n"), "band")
 
 
-def _further(rows: DataFrame) -> DataFrame:
-    """The intersections of bands one longer than those of ``rows``: two that agree but for their ends, joined."""
-
-    def join(p: Column, q: Column) -> Column:
-        n = F.size(p["path"])
-        fits = F.slice(p["path"], F.lit(2), n - 1) == F.slice(q["path"], F.lit(1), n - 1)
-        return fits & (F.element_at(p["groups"], -1) < F.element_at(q["groups"], -1))
-
-    def longer(p: Column, q: Column) -> Column:
-        return F.struct(
-            *(F.concat(p[c], F.slice(q[c], F.lit(-1), F.lit(1))).alias(c) for c in ("groups", "path"))
-        )
-
-    lines = rows.groupBy("id").agg(
-        F.first("sketch").alias("sketch"), F.first("root").alias("root"), F.collect_set(F.struct("groups", "path")).alias("all")
-    )
-    every = F.flatten(
-        F.transform("all", lambda p: F.transform(F.filter("all", lambda q: join(p, q)), lambda q: longer(p, q)))
-    )
-    return lines.select("id", "sketch", "root", F.explode(every).alias("one")).select(
-        F.xxhash64("one.path").alias("band"), "id", "sketch", "root", "one.*"
-    )
-
-
 def open_pairs(rows: DataFrame, s: Settings) -> DataFrame:
     """(a, b) of different components that share a band and have not met through its head.
 
-    ``rows`` has band, group, id, sketch and root. Lines of a small band meet
-    each other. Lines of large ones meet where they share two of them, of
-    different groups, if these lines are few, and else where they share one of
-    every group. What is still large then agrees in nearly all values and meets
-    a few of its lines. So each line has a bounded number of partners.
+    ``rows`` has band, id, sketch and root. Lines of a small band all meet each
+    other; those of large ones meet a few of them here, the others in ``rest_pairs``.
     """
-    found = []
-    rows = rows.select("band", "id", "sketch", "root", F.array("group").alias("groups"), F.array("band").alias("path"))
-    for depth in range(s.groups):
-        rows = staged(_mixed(rows), "mixed")
-        few = rows.where(F.col("n") <= s.small)
-        other = few.select("band", *(F.col(c).alias(f"other_{c}") for c in ("id", "sketch", "root")))
-        met = few.join(other, "band").where((F.col("id") < F.col("other_id")) & (F.col("root") != F.col("other_root")))
-        found.append(met.where(alike(F.col("sketch"), F.col("other_sketch"), s)).select(F.col("id").alias("a"), F.col("other_id").alias("b")))
-        rows = rows.where(F.col("n") > s.small).drop("n")
-        if depth < s.groups - 1:
-            rows = _further(rows)
+    rows = staged(_mixed(rows), "mixed")
+    few = rows.where(F.col("n") <= s.small)
+    other = few.select("band", *(F.col(c).alias(f"other_{c}") for c in ("id", "sketch", "root")))
+    met = few.join(other, "band").where((F.col("id") < F.col("other_id")) & (F.col("root") != F.col("other_root")))
+    found = met.where(alike(F.col("sketch"), F.col("other_sketch"), s)).select(F.col("id").alias("a"), F.col("other_id").alias("b"))
+    rows = rows.where(F.col("n") > s.small)
     heads = rows.groupBy("band").agg(*(
         F.min_by(F.struct("id", "sketch", "root"), F.xxhash64(F.lit(i), "id")).alias(f"head{i}") for i in range(s.heads)
     ))
     heads = heads.select("band", F.explode(F.array_distinct(F.array(*(f"head{i}" for i in range(s.heads))))).alias("head"))
     met = rows.join(heads, "band").where((F.col("root") != F.col("head.root")) & alike(F.col("sketch"), F.col("head.sketch"), s))
-    found.append(met.select(*_ordered(F.col("id"), F.col("head.id"))))
-    return reduce(DataFrame.unionByName, found).distinct()
+    return found.unionByName(met.select(*_ordered(F.col("id"), F.col("head.id")))).distinct()
+
+
+def rest_pairs(rows: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) of different components that share a large band: all of them, whatever its size.
+
+    Lines of a band's largest component meet those of its other components, these
+    also each other. Both sides are cut into blocks, so that a key of the join has
+    a bounded number of lines. Few bands have several components by now.
+    """
+    rows = staged(_mixed(rows).where(F.col("n") > s.small), "rest")
+    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"))
+    tops = sizes.groupBy("band").agg(
+        F.max_by("root", F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("others")
+    )
+    rows = rows.join(tops, "band")
+
+    def blocks(size: Column) -> Column:
+        return F.ceil(size / s.block).cast("int")
+
+    def own(size: Column) -> Column:
+        return F.pmod(F.xxhash64("id"), blocks(size)).cast("int")
+
+    def every(size: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+
+    left = rows.where(F.col("root") != F.col("top")).select(
+        "band", "id", "sketch", "root", own(F.col("others")).alias("x"), every(F.col("n")).alias("y")
+    )
+    right = rows.select(
+        "band", F.col("id").alias("other_id"), F.col("sketch").alias("other_sketch"), F.col("root").alias("other_root"),
+        (F.col("root") == F.col("top")).alias("in_top"), own(F.col("n")).alias("y"), every(F.col("others")).alias("x"),
+    )
+    met = left.join(right, ["band", "x", "y"]).where(
+        (F.col("root") != F.col("other_root")) & (F.col("in_top") | (F.col("id") < F.col("other_id")))
+        & alike(F.col("sketch"), F.col("other_sketch"), s)
+    )
+    return met.select(*_ordered(F.col("id"), F.col("other_id"))).distinct()
 
 
 def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(node, root) for every line that has similar other lines.
 
     ``lines`` has id and line; equal lines have equal ids. All lines of a band
-    are compared with one of it, its head; after union-find, bands whose lines
-    are not all in one component are gone through by ``open_pairs``.
+    are compared with one of it, its head. After union-find, the lines of bands
+    that are not all in one component are compared by ``open_pairs``; what is in
+    different components after another union-find, by ``rest_pairs``. So any two
+    lines that share a band are compared or in one component already.
     """
     signed = staged(signatures(lines, s), "signed")
     # Bands and ids alone: few lines share a band with others, and only these need their sketches.
@@ -260,12 +264,10 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     own = staged(shared.join(sketches.hint("merge"), "id"), "shared")
     of_heads = sketches.join(own.select(F.col("head").alias("id")).distinct().hint("merge"), "id")
     of_heads = of_heads.select(F.col("id").alias("head"), F.col("sketch").alias("head_sketch"))
-    group = F.col("band").bitwiseAND(F.lit((1 << GROUP_BITS) - 1)).cast("int")
     # A head may be that of many lines' bands; its rows meet one row here, split where they are many.
-    members = split_left_join(own.withColumn("group", group), of_heads, ["head"], "id", counted=own)
+    members = split_left_join(own, of_heads, ["head"], "id", counted=own)
     first = members.where((F.col("id") != F.col("head")) & alike(F.col("sketch"), F.col("head_sketch"), s))
     pairs = staged(first.select(*_ordered(F.col("id"), F.col("head"))).distinct(), "pairs")
-    members = own.withColumn("group", group)
 
     def compared(candidates: DataFrame) -> DataFrame:
         wanted = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -275,11 +277,16 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     edges = compared(pairs)
     roots = components(edges)
-    at = members.join(roots, members["id"] == roots["node"], "left").select(
-        "band", "group", "id", "sketch", F.coalesce("root", "id").alias("root")
-    )
-    again = compared(staged(open_pairs(at, s), "pairs"))
-    return roots if again.isEmpty() else components(edges.unionByName(again))
+    for further in (open_pairs, rest_pairs):
+        placed = own.join(roots, own["id"] == roots["node"], "left").select(
+            "band", "id", "sketch", F.coalesce("root", "id").alias("root")
+        )
+        candidates = staged(further(placed, s), "pairs")
+        again = None if candidates.isEmpty() else compared(candidates)
+        if again is not None and not again.isEmpty():
+            edges = edges.unionByName(again)
+            roots = components(edges)
+    return roots
 
 
 def removed_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:

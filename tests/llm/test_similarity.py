@@ -157,6 +157,29 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("block", [16, 512])
+def test_lines_of_large_bands_all_meet(spark, block):
+    """Families of two lines whose bands are those of their common beginning, and larger than any bound."""
+    rnd = random.Random(8)
+    start = " ".join(words(rnd, 30, 3000))
+    families = []
+    for _ in range(60):
+        line = start + " " + " ".join(words(rnd, 12, 3000))
+        families.append((line, line[:-1] + "#"))
+    s = line_dedup.Settings(groups=1, small=4, heads=1, block=block)
+    lines = [(2 * i + k, line) for i, pair in enumerate(families) for k, line in enumerate(pair)]
+    got = line_dedup.line_classes(spark.createDataFrame(lines, "id long, line string"), s).collect()
+    sets = {i: {line[j : j + 8] for j in range(len(line) - 7)} for i, line in lines}
+    union = Union()
+    for i in sets:
+        for j in range(i):
+            if near(sets[i], sets[j]):
+                union.join(i, j)
+    assert len({union.find(i) for i in sets}) > 50
+    root = {r.node: r.root for r in got}
+    assert [root.get(i, i) for i in sets] == [union.find(i) for i in sets]
+
+
 def joined(spark, pairs):
     """Whether the lines of each pair are in one component."""
     lines = [(2 * i + k, line) for i, pair in enumerate(pairs) for k, line in enumerate(pair)]
