@@ -12,7 +12,7 @@ from rollcall.llm.common import DOCUMENT_COLUMNS, is_held_out, table
 from rollcall.llm.decontaminate import mark_leaks
 from rollcall.llm.line_dedup import dedup_lines
 from rollcall.llm.packing import added_tokens, pack_documents
-from rollcall.session import prepare, staged
+from rollcall.session import passing, prepare, remove, staged
 
 # Of held-out documents whose language was found, so many scored lower than the bound's base.
 LOWEST_SHARE = 0.001
@@ -72,11 +72,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again.
+
+    What a stage stored on its way is removed once its own rows are written.
+    """
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = staged(docs, "stage")
-    return docs
+    *first, (_, last) = STAGES
+    for _, stage in first:
+        with passing() as kept:
+            rows = kept(staged(stage(spark, docs, sf_dir), "stage"))
+        if hasattr(docs, "staged_path"):
+            remove(docs)
+        docs = rows
+    return last(spark, docs, sf_dir)

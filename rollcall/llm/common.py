@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.session import staged
+from rollcall.session import remove, staged
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -49,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u > v")
             .distinct()
         )
-        now = staged(small, "edges")
+        last, now = now, staged(small, "edges")
+        remove(last)
         before, seen = seen, _fingerprint(now)
         if before == seen:
             tops = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

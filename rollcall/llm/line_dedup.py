@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import components
 from rollcall.operators.skew import split_left_join
-from rollcall.session import staged
+from rollcall.session import passing, remove, staged
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,7 @@ class Settings:
     small: int = 32  # lines of a band that are compared with each other
     heads: int = 4  # lines of a larger band that all others are compared with first
     block: int = 512  # lines of a larger band that meet as many others under one key
+    odd_words: int = 8  # of 64 places each, of the bitmap that rules pairs out before their lines are read
     bits: int = 1 << 25  # of the bitmap that tells lines that may be needed
     seed: int = 11
 
@@ -140,22 +141,50 @@ def alike(x: Column, y: Column, s: Settings) -> Column:
     return F.bit_count(differ.bitwiseAND(F.lit(firsts))) <= s.most_unlike
 
 
+def _grams(line: str, s: Settings) -> Column:
+    """The set of a line's n-grams, each as a 64-bit hash."""
+    # Bound to a name by the lambda, so that the line is encoded once.
+    of = lambda units: F.array_distinct(
+        F.transform(_places(units, s), lambda at: F.xxhash64(_gram(units, at, s)))
+    )
+    return F.transform(F.array(_code_units(F.col(line))), of)[0]
+
+
+def oddities(texts: DataFrame, s: Settings) -> DataFrame:
+    """(id, size, odd0, odd1 ...): the number of a line's n-grams, and a bitmap of the places that an odd number of them hits.
+
+    An n-gram of both lines hits the same place twice. So two bitmaps differ in
+    no more places than there are n-grams of one line only.
+    """
+    place = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    word = F.pmod(F.shiftrightunsigned("h", 6), F.lit(s.odd_words))
+    words = [F.bit_xor(F.when(word == i, place).otherwise(F.lit(0).cast("long"))).alias(f"odd{i}") for i in range(s.odd_words)]
+    grams = texts.select("id", F.explode(_grams("line", s)).alias("h"))
+    return grams.groupBy("id").agg(F.count("*").alias("size"), *words)
+
+
+def not_ruled_out(pairs: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) whose bitmaps do not show that they are less similar than wanted; no similar pair is lost."""
+    a, b = (odd.select(F.col("id").alias(side), F.struct(*odd.columns[1:]).alias(f"of_{side}")) for side in "ab")
+    n, m = F.col("of_a.size"), F.col("of_b.size")
+    differ = F.lit(0)
+    for i in range(s.odd_words):
+        differ = differ + F.bit_count(F.col(f"of_a.odd{i}").bitwiseXOR(F.col(f"of_b.odd{i}")))
+    t = s.threshold
+    # At similarity t, (1 - t) / (1 + t) of both lines' n-grams are in one of them only.
+    left = (F.least(n, m) >= t * F.greatest(n, m) - 1e-9) & (differ <= (1 - t) / (1 + t) * (n + m) + 1e-6)
+    return pairs.join(a, "a").join(b, "b").where(left).select("a", "b")
+
+
 def similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """The pairs (a, b) of ids whose lines have n-gram sets of at least the wanted similarity.
 
-    The sets are those of all n-grams, each as a 64-bit hash.
+    Lines are read for those pairs only that ``not_ruled_out`` leaves.
     """
+    pairs = not_ruled_out(pairs, staged(oddities(texts, s), "odd"), s)
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("right"))
-
-    def grams(line: str) -> Column:
-        # Bound to a name by the lambda, so that the line is encoded once.
-        of = lambda units: F.array_distinct(
-            F.transform(_places(units, s), lambda at: F.xxhash64(_gram(units, at, s)))
-        )
-        return F.transform(F.array(_code_units(F.col(line))), of)[0]
-
-    sets = F.array(F.struct(grams("left").alias("l"), grams("right").alias("r")))
+    sets = F.array(F.struct(_grams("left", s).alias("l"), _grams("right", s).alias("r")))
     t = s.threshold
 
     def near(x: Column) -> Column:
@@ -268,12 +297,14 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     members = split_left_join(own, of_heads, ["head"], "id", counted=own)
     first = members.where((F.col("id") != F.col("head")) & alike(F.col("sketch"), F.col("head_sketch"), s))
     pairs = staged(first.select(*_ordered(F.col("id"), F.col("head"))).distinct(), "pairs")
+    remove(signed)
 
     def compared(candidates: DataFrame) -> DataFrame:
         wanted = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         # An inner join: a semi join would be moved below the bitmap's, and shuffle all lines.
         texts = possible(lines.select("id", "line"), wanted, s).join(wanted, "id").dropDuplicates(["id"])
-        return staged(similar(candidates, staged(texts, "texts"), s), "edges")
+        with passing() as kept:
+            return kept(staged(similar(candidates, staged(texts, "texts"), s), "edges"))
 
     edges = compared(pairs)
     roots = components(edges)
@@ -281,7 +312,8 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
         placed = own.join(roots, own["id"] == roots["node"], "left").select(
             "band", "id", "sketch", F.coalesce("root", "id").alias("root")
         )
-        candidates = staged(further(placed, s), "pairs")
+        with passing() as kept:
+            candidates = kept(staged(further(placed, s), "pairs"))
         again = None if candidates.isEmpty() else compared(candidates)
         if again is not None and not again.isEmpty():
             edges = edges.unionByName(again)
@@ -299,16 +331,17 @@ def removed_lines(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     only. Rows with equal doc_id and text are one document, and keep or lose
     the same lines. Line ids are 64-bit hashes.
     """
-    places = staged(line_rows(docs).withColumn("id", F.xxhash64("line")), "lines", "zstd")
-    roots = line_classes(places.select("id", "line"), s)
-    repeated = places.groupBy("id").count().where("count > 1").select("id")
-    classes = repeated.join(roots, repeated["id"] == roots["node"], "full_outer").select(
-        F.coalesce("id", "node").alias("id"), F.coalesce("root", "id", "node").alias("root")
-    )
-    marked = staged(places.join(classes, "id").select("root", "document", "doc_id", "line_no"), "marked")
+    with passing() as kept:
+        places = staged(line_rows(docs).withColumn("id", F.xxhash64("line")), "lines", "zstd")
+        roots = line_classes(places.select("id", "line"), s)
+        repeated = places.groupBy("id").count().where("count > 1").select("id")
+        classes = repeated.join(roots, repeated["id"] == roots["node"], "full_outer").select(
+            F.coalesce("id", "node").alias("id"), F.coalesce("root", "id", "node").alias("root")
+        )
+        marked = kept(staged(places.join(classes, "id").select("root", "document", "doc_id", "line_no"), "marked"))
     place = F.struct("doc_id", "line_no", "document")
-    kept = marked.groupBy("root").agg(F.min(place).alias("kept"))
-    met = split_left_join(marked.withColumn("place", place), kept, ["root"], "place", counted=marked)
+    first = marked.groupBy("root").agg(F.min(place).alias("kept"))
+    met = split_left_join(marked.withColumn("place", place), first, ["root"], "place", counted=marked)
     return (
         met.where(~F.col("place").eqNullSafe(F.col("kept"))).select("document", "line_no").distinct()
         .groupBy("document").agg(F.sort_array(F.collect_list("line_no")).alias("removed"))

@@ -3,12 +3,14 @@
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from rollcall.llm import chosen_path, decontaminate, line_dedup
 from rollcall.llm.common import components
+from rollcall.session import passing, scratch_dir, staged
 
 
 class Union(dict):
@@ -310,3 +312,45 @@ def test_leaks_at_the_allowed_edits_count_apart(spark):
     for i, (item, size, kind, _) in enumerate(planted):
         lost[size, kind] += item not in got[i]
     assert len(lost) == 16 and not any(lost.values()), lost
+
+
+def test_bitmaps_rule_out_pairs_but_no_similar_one(spark):
+    s, rnd = line_dedup.Settings(), random.Random(5)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.choice([6, 30, 200, 800]))) for _ in range(40)]
+    texts = [*base, *(t[: k] + "x" + t[k + 1 :] for t in base for k in (2, len(t) // 2)), "ab" * 300, "ab" * 40]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    left = line_dedup.not_ruled_out(spark.createDataFrame(pairs, "a long, b long"), line_dedup.oddities(lines, s), s)
+    left = {tuple(r) for r in left.collect()}
+
+    def grams(t):
+        return {t[i : i + s.gram] for i in range(max(1, len(t) - s.gram + 1))}
+
+    sets = [grams(t) for t in texts]
+    near = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= s.threshold * len(sets[a] | sets[b])}
+    assert near <= left and len(near) > 50
+    assert len(left) < 2 * len(near) < len(pairs) / 10
+    assert {tuple(r) for r in line_dedup.similar(spark.createDataFrame(pairs, "a long, b long"), lines, s).collect()} == near
+
+
+def test_line_dedup_leaves_no_stored_frames_but_one(spark):
+    docs = spark.createDataFrame([(i, f"a line that comes in all of them\nline {i} of its own") for i in range(5)], "doc_id long, text string")
+    folder = Path(scratch_dir(spark, "x")).parent
+    before = set(folder.glob("*"))
+    rows = line_dedup.dedup_lines(docs)
+    left = [p.name.split("-")[0] for p in set(folder.glob("*")) - before]
+    assert [n for n in left if n != "checkpoints"] == ["marked"]
+    assert sum(len(r.removed) for r in rows.collect()) == 4
+
+
+def test_frames_of_a_failed_block_stay_and_kept_ones_outlive_it(spark):
+    with passing() as outer:
+        with passing() as kept:
+            gone, stays = staged(spark.range(1), "gone"), kept(staged(spark.range(2), "stays"))
+        assert not Path(gone.staged_path).exists() and stays.count() == 2
+        outer(stays)
+    assert stays.count() == 2
+    with pytest.raises(ValueError), passing():
+        stays = staged(spark.range(3), "stays")
+        raise ValueError
+    assert stays.count() == 3
