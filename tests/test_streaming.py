@@ -5,11 +5,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.operators.join import Side
 from rollcall.operators.lookup import LOOKUPS
 from rollcall.operators.wide import JOINED_ORDER, total_row
 from rollcall.session import scratch_dir, stream_session
-from rollcall.streaming.facts import DELAY, LATE_DELAY, SHORT_WINDOW, stream_left_join
-from rollcall.streaming.jobs import total_table
+from rollcall.streaming.facts import (
+    DELAY, LATE_DELAY, SHORT_WINDOW, join_closed, stream_closed_rows, stream_first_left_join, stream_left_join,
+)
+from rollcall.streaming.jobs import ALL_AVAILABLE, once_per_batch, total_table
 
 SCHEMA = "uid int, dn string, ts timestamp, seq bigint"
 
@@ -116,3 +119,39 @@ def test_totals_add_up_and_first_row_stays(spark):
     got = {r.uid: (r.fullname, str(r.paymoney)) for r in table.current(spark).collect()}
     assert got == {1: ("a", "21.00"), 2: ("d", "0.00")}
     assert len(table.current(spark).columns) == 41
+
+
+def test_rows_of_closed_windows_join_as_the_stream_does(spark):
+    """Three sides in rounds: a hot member, missing keys, a late row, a restart before a window closes."""
+    root, sibling = scratch_dir(spark, "closed-test"), stream_session(spark, 2)
+    names = ("a_seq", "b_seq", "c_seq")
+    rounds = [
+        [
+            [(1, "webA", i, i) for i in range(20)] + [(None, "webA", 5, 50), (2, None, 6, 51), (3, "webA", 7, 52)],
+            [(1, "webA", 9, 61), (1, "webA", 8, 60), (4, "webA", 9, 62), (2, None, 9, 63)],
+            [(1, "webA", i, 70 + i) for i in range(5)],
+        ],
+        [[(3, "webA", 300, 53), (5, "webB", 650, 54)], [(3, "webA", 310, 64)], [(5, "webB", 660, 80)]],
+        [[(-1, "webA", 10_000, 90)], [(-2, "webA", 10_000, 91)], [(-3, "webA", 10_000, 92)]],
+        [[(1, "webA", 3, 93)], [(1, "webA", 3, 94)], [(5, "webB", 661, 95)]],
+        [[(-4, "webA", 20_000, 96)], [(-5, "webA", 20_000, 97)], [(-6, "webA", 20_000, 98)]],
+    ]
+    shown = ["uid", "dn", "window.start", *names]
+    got, operators = Counter(), set()
+
+    def handle(frame, batch_id, query_id):
+        got.update(tuple(r) for r in join_closed(frame, names).select(*shown).collect())
+
+    for fed in rounds:
+        for name, rows in zip(names, fed):
+            put(spark, f"{root}/{name}", rows)
+        sides = [Side(stream(sibling, f"{root}/{name}", name), name) for name in names]
+        closed = once_per_batch(stream_closed_rows(*sides), f"{root}/closed", handle, ALL_AVAILABLE)
+        closed.awaitTermination()
+        operators |= {len(p["stateOperators"]) for p in closed.recentProgress}
+        joined = stream_first_left_join(*sides).select(*shown).writeStream.format("parquet").option("path", f"{root}/out")
+        joined.option("checkpointLocation", f"{root}/joined").trigger(**ALL_AVAILABLE).start().awaitTermination()
+    assert got == Counter(tuple(r) for r in spark.read.parquet(f"{root}/out").collect())
+    hot = {r[3:] for r in got if r[0] == 1}
+    assert hot == {(0, 60, 70 + i) for i in range(5)} and sum(got.values()) == 10
+    assert operators == {1}
