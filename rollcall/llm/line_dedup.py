@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ class Settings:
     heads: int = 4  # lines of a larger band that all others are compared with first
     block: int = 512  # lines of a larger band that meet as many others under one key
     odd_words: int = 8  # of 64 places each, of the bitmap that rules pairs out before their lines are read
+    sharp_words: int = 32  # of the larger bitmap of lines that meet all lines of a large band; a multiple of the former
     bits: int = 1 << 25  # of the bitmap that tells lines that may be needed
     seed: int = 11
 
@@ -150,30 +152,50 @@ def _grams(line: str, s: Settings) -> Column:
     return F.transform(F.array(_code_units(F.col(line))), of)[0]
 
 
-def oddities(texts: DataFrame, s: Settings) -> DataFrame:
+def oddities(texts: DataFrame, s: Settings, words: int | None = None) -> DataFrame:
     """(id, size, odd0, odd1 ...): the number of a line's n-grams, and a bitmap of the places that an odd number of them hits.
 
     An n-gram of both lines hits the same place twice. So two bitmaps differ in
     no more places than there are n-grams of one line only.
     """
     place = F.expr("shiftleft(1L, cast(h & 63 as int))")
-    word = F.pmod(F.shiftrightunsigned("h", 6), F.lit(s.odd_words))
-    words = [F.bit_xor(F.when(word == i, place).otherwise(F.lit(0).cast("long"))).alias(f"odd{i}") for i in range(s.odd_words)]
+    words = words or s.odd_words
+    word = F.pmod(F.shiftrightunsigned("h", 6), F.lit(words))
+    odd = [F.bit_xor(F.when(word == i, place).otherwise(F.lit(0).cast("long"))).alias(f"odd{i}") for i in range(words)]
     grams = texts.select("id", F.explode(_grams("line", s)).alias("h"))
-    return grams.groupBy("id").agg(F.count("*").alias("size"), *words)
+    return grams.groupBy("id").agg(F.count("*").alias("size"), *odd)
 
 
-def not_ruled_out(pairs: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose bitmaps do not show that they are less similar than wanted; no similar pair is lost."""
-    a, b = (odd.select(F.col("id").alias(side), F.struct(*odd.columns[1:]).alias(f"of_{side}")) for side in "ab")
-    n, m = F.col("of_a.size"), F.col("of_b.size")
+def _of_sides(odd: DataFrame, ids: tuple[str, str], sides: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+    return tuple(odd.select(F.col("id").alias(i), F.struct(*odd.columns[1:]).alias(side)) for i, side in zip(ids, sides))
+
+
+def unlikeness(x: str, y: str, words: int) -> Column:
+    """The least share of two lines' n-grams that are in one of them only, by their bitmaps."""
     differ = F.lit(0)
-    for i in range(s.odd_words):
-        differ = differ + F.bit_count(F.col(f"of_a.odd{i}").bitwiseXOR(F.col(f"of_b.odd{i}")))
-    t = s.threshold
+    for i in range(words):
+        differ = differ + F.bit_count(F.col(f"{x}.odd{i}").bitwiseXOR(F.col(f"{y}.odd{i}")))
+    return differ / (F.col(f"{x}.size") + F.col(f"{y}.size"))
+
+
+def may_be_similar(x: str, y: str, s: Settings, words: int) -> Column:
+    """Whether the bitmaps do not show that two lines are less similar than wanted; true for all similar ones."""
+    n, m, t = F.col(f"{x}.size"), F.col(f"{y}.size"), s.threshold
     # At similarity t, (1 - t) / (1 + t) of both lines' n-grams are in one of them only.
-    left = (F.least(n, m) >= t * F.greatest(n, m) - 1e-9) & (differ <= (1 - t) / (1 + t) * (n + m) + 1e-6)
-    return pairs.join(a, "a").join(b, "b").where(left).select("a", "b")
+    return (F.least(n, m) >= t * F.greatest(n, m) - 1e-9) & (unlikeness(x, y, words) <= (1 - t) / (1 + t) + 1e-9)
+
+
+def folded(odd: DataFrame, words: int) -> DataFrame:
+    """The bitmaps of ``oddities`` with fewer words: what places of one number have in common is odd or even again."""
+    names = [c for c in odd.columns if c.startswith("odd")]
+    few = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in names[i::words]]).alias(f"odd{i}") for i in range(words)]
+    return odd.select("id", "size", *few)
+
+
+def not_ruled_out(pairs: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) whose bitmaps do not show that they are less similar than wanted; no similar pair is lost."""
+    a, b = _of_sides(odd, ("a", "b"), ("of_a", "of_b"))
+    return pairs.join(a, "a").join(b, "b").where(may_be_similar("of_a", "of_b", s, len(odd.columns) - 2)).select("a", "b")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -181,7 +203,11 @@ def similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
     Lines are read for those pairs only that ``not_ruled_out`` leaves.
     """
-    pairs = not_ruled_out(pairs, staged(oddities(texts, s), "odd"), s)
+    return exactly_similar(not_ruled_out(pairs, staged(oddities(texts, s), "odd"), s), texts, s)
+
+
+def exactly_similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """As ``similar``, for pairs that bitmaps have been asked about."""
     left = texts.select(F.col("id").alias("a"), F.col("line").alias("left"))
     right = texts.select(F.col("id").alias("b"), F.col("line").alias("right"))
     sets = F.array(F.struct(_grams("left", s).alias("l"), _grams("right", s).alias("r")))
@@ -237,18 +263,25 @@ def open_pairs(rows: DataFrame, s: Settings) -> DataFrame:
     return found.unionByName(met.select(*_ordered(F.col("id"), F.col("head.id")))).distinct()
 
 
-def rest_pairs(rows: DataFrame, s: Settings) -> DataFrame:
-    """(a, b) of different components that share a large band: all of them, whatever its size.
+def rest_rows(rows: DataFrame, s: Settings) -> DataFrame:
+    """``rows`` of the large bands that still have several components. Few bands have by now."""
+    return _mixed(rows).where(F.col("n") > s.small)
+
+
+def rest_pairs(rows: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
+    """(a, b, unlike) of different components that share a large band and may be similar by their bitmaps.
 
-    Lines of a band's largest component meet those of its other components, these
-    also each other. Both sides are cut into blocks, so that a key of the join has
-    a bounded number of lines. Few bands have several components by now.
+    ``rows`` are those of ``rest_rows``, ``odd`` has their ``oddities``. Lines of
+    a band's largest component meet those of its other components, these also
+    each other, whatever the band's size. Both sides are cut into blocks, so that
+    a key of the join has a bounded number of lines. Bitmaps are compared where
+    two lines meet: what they rule out is never made a row.
     """
-    rows = staged(_mixed(rows).where(F.col("n") > s.small), "rest")
     sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"))
     tops = sizes.groupBy("band").agg(
         F.max_by("root", F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("others")
     )
+    own_odd, other_odd = _of_sides(odd, ("id", "other_id"), ("of_a", "of_b"))
     rows = rows.join(tops, "band")
 
     def blocks(size: Column) -> Column:
@@ -260,18 +293,33 @@ def rest_pairs(rows: DataFrame, s: Settings) -> DataFrame:
     def every(size: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
 
-    left = rows.where(F.col("root") != F.col("top")).select(
-        "band", "id", "sketch", "root", own(F.col("others")).alias("x"), every(F.col("n")).alias("y")
+    left = rows.where(F.col("root") != F.col("top")).join(own_odd, "id").select(
+        "band", "id", "sketch", "root", "of_a", own(F.col("others")).alias("x"), every(F.col("n")).alias("y")
     )
     right = rows.select(
         "band", F.col("id").alias("other_id"), F.col("sketch").alias("other_sketch"), F.col("root").alias("other_root"),
-        (F.col("root") == F.col("top")).alias("in_top"), own(F.col("n")).alias("y"), every(F.col("others")).alias("x"),
-    )
+        (F.col("root") == F.col("top")).alias("in_top"), own(F.col("n")).alias("y"), "others",
+    ).join(other_odd, "other_id").withColumn("x", every(F.col("others")))
     met = left.join(right, ["band", "x", "y"]).where(
         (F.col("root") != F.col("other_root")) & (F.col("in_top") | (F.col("id") < F.col("other_id")))
-        & alike(F.col("sketch"), F.col("other_sketch"), s)
+        & alike(F.col("sketch"), F.col("other_sketch"), s) & may_be_similar("of_a", "of_b", s, s.odd_words)
     )
-    return met.select(*_ordered(F.col("id"), F.col("other_id"))).distinct()
+    unlike = unlikeness("of_a", "of_b", s.odd_words).alias("unlike")
+    return met.select(*_ordered(F.col("id"), F.col("other_id")), unlike).distinct()
+
+
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """For each line its pair (a, b) that the bitmaps find most alike."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"), "a", "b", "unlike")
+    best = F.min_by(F.struct("a", "b"), F.struct("unlike", "a", "b")).alias("best")
+    return ends.groupBy("id").agg(best).select("best.*").distinct()
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component."""
+    a, b = (roots.select(F.col("node").alias(i), F.col("root").alias(f"root_{i}")) for i in "ab")
+    placed = pairs.join(a, "a", "left").join(b, "b", "left")
+    return placed.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
 def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -299,25 +347,45 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     pairs = staged(first.select(*_ordered(F.col("id"), F.col("head"))).distinct(), "pairs")
     remove(signed)
 
-    def compared(candidates: DataFrame) -> DataFrame:
-        wanted = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def texts_of(wanted: DataFrame) -> DataFrame:
         # An inner join: a semi join would be moved below the bitmap's, and shuffle all lines.
         texts = possible(lines.select("id", "line"), wanted, s).join(wanted, "id").dropDuplicates(["id"])
+        return staged(texts, "texts")
+
+    def compared(candidates: DataFrame) -> DataFrame:
         with passing() as kept:
-            return kept(staged(similar(candidates, staged(texts, "texts"), s), "edges"))
+            texts = texts_of(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+            return kept(staged(similar(candidates, texts, s), "edges"))
 
-    edges = compared(pairs)
-    roots = components(edges)
-    for further in (open_pairs, rest_pairs):
-        placed = own.join(roots, own["id"] == roots["node"], "left").select(
+    def placed(roots: DataFrame) -> DataFrame:
+        return own.join(roots, own["id"] == roots["node"], "left").select(
             "band", "id", "sketch", F.coalesce("root", "id").alias("root")
         )
-        with passing() as kept:
-            candidates = kept(staged(further(placed, s), "pairs"))
-        again = None if candidates.isEmpty() else compared(candidates)
-        if again is not None and not again.isEmpty():
-            edges = edges.unionByName(again)
-            roots = components(edges)
+
+    def joined(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if found.isEmpty():
+            return edges, roots
+        both = edges.unionByName(found)
+        return both, components(both)
+
+    edges = compared(pairs)
+    roots = components(edges)
+    with passing() as kept:
+        candidates = kept(staged(open_pairs(placed(roots), s), "pairs"))
+    if not candidates.isEmpty():
+        edges, roots = joined(compared(candidates))
+    with passing() as kept:
+        rest = staged(rest_rows(placed(roots), s), "rest")
+        if rest.isEmpty():
+            return roots
+        texts = kept(texts_of(rest.select("id").distinct()))
+        odd = kept(staged(oddities(texts, s, s.sharp_words), "odd"))
+        left = kept(staged(rest_pairs(rest, folded(odd, s.odd_words), s), "left"))
+    # Most lines of one component need one of their pairs to be found in it.
+    for chosen in (likeliest, lambda pairs: not_ruled_out(apart(pairs, roots), odd, s)):
+        edges, roots = joined(staged(exactly_similar(chosen(left), texts, s), "edges"))
+    for stored in (texts, odd, left):
+        remove(stored)
     return roots
 
 

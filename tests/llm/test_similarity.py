@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import chosen_path, decontaminate, line_dedup
 from rollcall.llm.common import components
@@ -333,6 +334,43 @@ def test_bitmaps_rule_out_pairs_but_no_similar_one(spark):
     assert {tuple(r) for r in line_dedup.similar(spark.createDataFrame(pairs, "a long, b long"), lines, s).collect()} == near
 
 
+def test_pairs_of_a_large_band_that_bitmaps_rule_out_are_never_made(spark):
+    """Copies of one line with other words each, nearly all of them just less similar than wanted."""
+    s, rnd = line_dedup.Settings(), random.Random(4)
+    start = words(rnd, 90, 3000)
+    lines = []
+    for i in range(160):
+        changed = set(rnd.sample(range(90), rnd.choice([4, 9, 9, 9, 10])))
+        lines.append((i, " ".join(f"{w}{i}" if k in changed else w for k, w in enumerate(start))))
+    texts = spark.createDataFrame(lines, "id long, line string")
+    rows = line_dedup.signatures(texts, s).select(
+        F.lit(1).cast("long").alias("band"), "id", line_dedup.sketch_of(s).alias("sketch"), F.col("id").alias("root")
+    )
+    odd = line_dedup.oddities(texts, s, s.sharp_words)
+    few = line_dedup.folded(odd, s.odd_words)
+    assert few.orderBy("id").collect() == line_dedup.oddities(texts, s).orderBy("id").collect()
+    sketch = {r.id: r.sketch for r in rows.collect()}
+    left = line_dedup.rest_pairs(line_dedup.rest_rows(rows, s), few, s)
+    pairs = {(r.a, r.b) for r in left.collect()}
+    sharp = {(r.a, r.b) for r in line_dedup.not_ruled_out(left.select("a", "b"), odd, s).collect()}
+    sets = {i: {line[j : j + 8] for j in range(len(line) - 7)} for i, line in lines}
+    every = [(a, b) for a in sets for b in range(a + 1, len(sets))]
+    similar = {(a, b) for a, b in every if near(sets[a], sets[b])}
+
+    def agree(a, b):
+        return sum((sketch[a] ^ sketch[b]) >> 5 * i & 31 == 0 for i in range(s.values)) >= s.values - s.most_unlike
+
+    passed = {(a, b) for a, b in every if agree(a, b)}
+    assert similar & passed <= sharp <= pairs <= passed
+    assert len(similar) > 50 and len(passed) > 0.7 * len(every)
+    assert len(sharp) < 4 * len(similar & passed) and len(pairs) < len(passed) / 2
+    best = line_dedup.likeliest(left)
+    assert best.count() <= len(lines) and {(r.a, r.b) for r in best.collect()} <= pairs
+    roots = spark.createDataFrame([(a, min(a, 5)) for a in range(1, 9)], "node long, root long")
+    asked = spark.createDataFrame([(5, 6), (5, 7), (1, 2), (20, 21), (3, 20)], "a long, b long")
+    assert {tuple(r) for r in line_dedup.apart(asked, roots).collect()} == {(1, 2), (20, 21), (3, 20)}
+
+
 def test_line_dedup_leaves_no_stored_frames_but_one(spark):
     docs = spark.createDataFrame([(i, f"a line that comes in all of them\nline {i} of its own") for i in range(5)], "doc_id long, text string")
     folder = Path(scratch_dir(spark, "x")).parent
