@@ -39,8 +39,10 @@ class Settings:
     small: int = 32  # lines of a band that are compared with each other
     heads: int = 4  # lines of a larger band that all others are compared with first
     block: int = 512  # lines of a larger band that meet as many others under one key
-    odd_words: int = 8  # of 64 places each, of the bitmap that rules pairs out before their lines are read
-    sharp_words: int = 32  # of the larger bitmap of lines that meet all lines of a large band; a multiple of the former
+    first_block: int = 128  # lines of a larger band that meet before all others do
+    dealings: int = 2  # to such blocks
+    odd_words: int = 8  # of 64 places each, of the bitmap that is asked first where lines of a large band meet
+    sharp_words: int = 32  # of the larger bitmap, asked after the former; a multiple of it
     bits: int = 1 << 25  # of the bitmap that tells lines that may be needed
     seed: int = 11
 
@@ -51,6 +53,7 @@ class Settings:
 
 VALUE_BITS = 21  # of a signature value; three come from one hash
 SKETCH_BITS = 5  # of it in the sketch
+STEP = 4  # n-grams that one row of the signatures' aggregate takes in
 
 
 def _document(docs: DataFrame) -> Column:
@@ -79,9 +82,14 @@ def _gram(units: Column, at: Column, s: Settings) -> Column:
     return F.substring(units, at, F.lit(2 * s.gram))
 
 
+def _last_place(units: Column, s: Settings) -> Column:
+    """Where the last n-gram begins; a line of fewer code units has one n-gram, itself."""
+    return F.greatest(F.lit(1), F.octet_length(units) - 2 * s.gram + 1)
+
+
 def _places(units: Column, s: Settings) -> Column:
-    """Where n-grams begin in the code units; a line of fewer has one n-gram, itself."""
-    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.octet_length(units) - 2 * s.gram + 1), F.lit(2))
+    """Where n-grams begin in the code units."""
+    return F.sequence(F.lit(1), _last_place(units, s), F.lit(2))
 
 
 def signatures(lines: DataFrame, s: Settings) -> DataFrame:
@@ -90,17 +98,23 @@ def signatures(lines: DataFrame, s: Settings) -> DataFrame:
     Every line is signed from all its n-grams, whatever its length.
     """
     rng = random.Random(s.seed)
-    grams = (
+    units = F.col("units")
+    rows = (
         lines.select("id", _code_units(F.col("line")).alias("units"))
-        .select("id", "units", F.explode(_places(F.col("units"), s)).alias("at"))
-        .select("id", F.xxhash64(_gram(F.col("units"), F.col("at"), s)).alias("h"))
+        .select("id", "units", _last_place(units, s).alias("last"))
+        .select("id", "units", "last", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(2 * STEP))).alias("at"))
     )
+    # Behind the last n-gram a row takes that one again, which changes no minimum.
+    places = [F.least(F.col("at") + 2 * k, F.col("last")) for k in range(STEP)]
+    grams = rows.select("id", *(F.xxhash64(_gram(units, at, s)).alias(f"h{k}") for k, at in enumerate(places)))
     # Thirds of a hash of the n-gram's hash and a random number: every value orders the n-grams anew.
-    rehash = [F.xxhash64("h", F.lit(rng.getrandbits(63))).alias(f"r{i}") for i in range(-(-s.values // 3))]
+    numbers = [rng.getrandbits(63) for _ in range(-(-s.values // 3))]
+    rehash = [F.xxhash64(f"h{k}", F.lit(r)).alias(f"r{i}_{k}") for i, r in enumerate(numbers) for k in range(STEP)]
     minima = []
     for i in range(s.values):
-        value = F.shiftrightunsigned(F.shiftleft(f"r{i // 3}", VALUE_BITS * (i % 3)), 64 - VALUE_BITS)
-        minima.append(F.min(value.cast("int")).alias(f"m{i}"))
+        thirds = [F.shiftleft(f"r{i // 3}_{k}", VALUE_BITS * (i % 3)) for k in range(STEP)]
+        values = [F.shiftrightunsigned(x, 64 - VALUE_BITS).cast("int") for x in thirds]
+        minima.append(F.min(F.least(*values)).alias(f"m{i}"))
     signed = grams.select("id", *rehash).groupBy("id").agg(*minima)
     packed = []
     for first in range(0, s.values, 3):
@@ -170,15 +184,22 @@ def _of_sides(odd: DataFrame, ids: tuple[str, str], sides: tuple[str, str]) -> t
     return tuple(odd.select(F.col("id").alias(i), F.struct(*odd.columns[1:]).alias(side)) for i, side in zip(ids, sides))
 
 
-def unlikeness(x: str, y: str, words: int) -> Column:
-    """The least share of two lines' n-grams that are in one of them only, by their bitmaps."""
+def unlikeness(x: str, y: str, words: int | None = None) -> Column:
+    """The least share of two lines' n-grams that are in one of them only, by their bitmaps.
+
+    Those are ``words`` columns, or without a number an array: a join whose code
+    has dozens of columns is too large for the JVM to compile.
+    """
     differ = F.lit(0)
-    for i in range(words):
+    for i in range(words or 0):
         differ = differ + F.bit_count(F.col(f"{x}.odd{i}").bitwiseXOR(F.col(f"{y}.odd{i}")))
+    if words is None:
+        differing = F.zip_with(f"{x}.odd", f"{y}.odd", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+        differ = F.aggregate(differing, F.lit(0), lambda n, more: n + more)
     return differ / (F.col(f"{x}.size") + F.col(f"{y}.size"))
 
 
-def may_be_similar(x: str, y: str, s: Settings, words: int) -> Column:
+def may_be_similar(x: str, y: str, s: Settings, words: int | None = None) -> Column:
     """Whether the bitmaps do not show that two lines are less similar than wanted; true for all similar ones."""
     n, m, t = F.col(f"{x}.size"), F.col(f"{y}.size"), s.threshold
     # At similarity t, (1 - t) / (1 + t) of both lines' n-grams are in one of them only.
@@ -187,9 +208,12 @@ def may_be_similar(x: str, y: str, s: Settings, words: int) -> Column:
 
 def folded(odd: DataFrame, words: int) -> DataFrame:
     """The bitmaps of ``oddities`` with fewer words: what places of one number have in common is odd or even again."""
-    names = [c for c in odd.columns if c.startswith("odd")]
-    few = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in names[i::words]]).alias(f"odd{i}") for i in range(words)]
-    return odd.select("id", "size", *few)
+    return odd.select("id", "size", *_folds(odd, words))
+
+
+def _folds(odd: DataFrame, words: int) -> list[Column]:
+    names = odd.columns[2:]
+    return [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in names[i::words]]).alias(f"odd{i}") for i in range(words)]
 
 
 def not_ruled_out(pairs: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
@@ -198,12 +222,13 @@ def not_ruled_out(pairs: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(may_be_similar("of_a", "of_b", s, len(odd.columns) - 2)).select("a", "b")
 
 
-def similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+def similar(pairs: DataFrame, texts: DataFrame, s: Settings, odd: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) of ids whose lines have n-gram sets of at least the wanted similarity.
 
-    Lines are read for those pairs only that ``not_ruled_out`` leaves.
+    Lines are read for those pairs only that ``not_ruled_out`` leaves by ``odd``, the lines' ``oddities``.
     """
-    return exactly_similar(not_ruled_out(pairs, staged(oddities(texts, s), "odd"), s), texts, s)
+    odd = staged(oddities(texts, s), "odd") if odd is None else odd
+    return exactly_similar(not_ruled_out(pairs, odd, s), texts, s)
 
 
 def exactly_similar(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -268,24 +293,28 @@ def rest_rows(rows: DataFrame, s: Settings) -> DataFrame:
     return _mixed(rows).where(F.col("n") > s.small)
 
 
-def rest_pairs(rows: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
+def rest_pairs(rows: DataFrame, odd: DataFrame, s: Settings, dealings: int = 0) -> DataFrame:
     """(a, b, unlike) of different components that share a large band and may be similar by their bitmaps.
 
     ``rows`` are those of ``rest_rows``, ``odd`` has their ``oddities``. Lines of
     a band's largest component meet those of its other components, these also
     each other, whatever the band's size. Both sides are cut into blocks, so that
     a key of the join has a bounded number of lines. Bitmaps are compared where
-    two lines meet: what they rule out is never made a row.
+    two lines meet, folded ones first: what they rule out is never made a row.
+
+    With ``dealings``, lines are dealt to one block so many times and meet those
+    dealt to the same one: a bounded number of others, whatever the band's size.
     """
     sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"))
     tops = sizes.groupBy("band").agg(
         F.max_by("root", F.struct("size", "root")).alias("top"), (F.sum("size") - F.max("size")).alias("others")
     )
-    own_odd, other_odd = _of_sides(odd, ("id", "other_id"), ("of_a", "of_b"))
+    both = F.struct(F.struct("size", *_folds(odd, s.odd_words)).alias("few"), F.struct("size", F.array(*odd.columns[2:]).alias("odd")).alias("all"))
+    own_odd, other_odd = (odd.select(F.col("id").alias(i), both.alias(x)) for i, x in (("id", "of_a"), ("other_id", "of_b")))
     rows = rows.join(tops, "band")
 
     def blocks(size: Column) -> Column:
-        return F.ceil(size / s.block).cast("int")
+        return F.ceil(size / (s.first_block if dealings else s.block)).cast("int")
 
     def own(size: Column) -> Column:
         return F.pmod(F.xxhash64("id"), blocks(size)).cast("int")
@@ -293,18 +322,27 @@ def rest_pairs(rows: DataFrame, odd: DataFrame, s: Settings) -> DataFrame:
     def every(size: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
 
-    left = rows.where(F.col("root") != F.col("top")).join(own_odd, "id").select(
-        "band", "id", "sketch", "root", "of_a", own(F.col("others")).alias("x"), every(F.col("n")).alias("y")
-    )
+    def dealt(side: DataFrame, line: str) -> DataFrame:
+        blocks_of = [F.pmod(F.xxhash64(F.lit(i), line), blocks(F.col("n"))).cast("int") for i in range(dealings)]
+        return side.select("*", F.posexplode(F.array(*blocks_of)).alias("x", "y"))
+
+    left = rows.where(F.col("root") != F.col("top")).join(own_odd, "id").select("band", "id", "sketch", "root", "of_a", "n", "others")
     right = rows.select(
         "band", F.col("id").alias("other_id"), F.col("sketch").alias("other_sketch"), F.col("root").alias("other_root"),
-        (F.col("root") == F.col("top")).alias("in_top"), own(F.col("n")).alias("y"), "others",
-    ).join(other_odd, "other_id").withColumn("x", every(F.col("others")))
+        (F.col("root") == F.col("top")).alias("in_top"), own(F.col("n")).alias("y"), "n", "others",
+    ).join(other_odd, "other_id")
+    if dealings:
+        left, right = dealt(left, "id"), dealt(right.drop("y"), "other_id")
+    else:
+        left = left.withColumn("x", own(F.col("others"))).withColumn("y", every(F.col("n")))
+        right = right.withColumn("x", every(F.col("others")))
+    left, right = left.drop("n", "others"), right.drop("n", "others")
     met = left.join(right, ["band", "x", "y"]).where(
         (F.col("root") != F.col("other_root")) & (F.col("in_top") | (F.col("id") < F.col("other_id")))
-        & alike(F.col("sketch"), F.col("other_sketch"), s) & may_be_similar("of_a", "of_b", s, s.odd_words)
+        & alike(F.col("sketch"), F.col("other_sketch"), s)
+        & may_be_similar("of_a.few", "of_b.few", s, s.odd_words) & may_be_similar("of_a.all", "of_b.all", s)
     )
-    unlike = unlikeness("of_a", "of_b", s.odd_words).alias("unlike")
+    unlike = unlikeness("of_a.all", "of_b.all").alias("unlike")
     return met.select(*_ordered(F.col("id"), F.col("other_id")), unlike).distinct()
 
 
@@ -333,10 +371,11 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     """
     signed = staged(signatures(lines, s), "signed")
     # Bands and ids alone: few lines share a band with others, and only these need their sketches.
-    bands = signed.select(F.explode(bands_of(s)).alias("band"), "id").repartition("band")
-    head = F.min(F.struct(F.xxhash64(F.lit("order"), "id").alias("order"), "id")).alias("head")
-    heads = bands.groupBy("band").agg(F.count("*").alias("n"), head).where("n > 1").select("band", F.col("head.id").alias("head"))
-    shared = bands.join(heads.hint("merge"), "band")
+    # Without null ids, as the joins want them, on both ways, so that the bands are shuffled once for both.
+    bands = signed.where("id IS NOT NULL").select(F.explode(bands_of(s)).alias("band"), "id").repartition("band")
+    heads = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("head")).where("n > 1").select("band", "head")
+    # The few heads are hashed, so that the bands need not be sorted.
+    shared = bands.join(heads.hint("shuffle_hash"), "band")
     sketches = signed.select("id", sketch_of(s).alias("sketch"))
     own = staged(shared.join(sketches.hint("merge"), "id"), "shared")
     of_heads = sketches.join(own.select(F.col("head").alias("id")).distinct().hint("merge"), "id")
@@ -347,15 +386,22 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
     pairs = staged(first.select(*_ordered(F.col("id"), F.col("head"))).distinct(), "pairs")
     remove(signed)
 
-    def texts_of(wanted: DataFrame) -> DataFrame:
-        # An inner join: a semi join would be moved below the bitmap's, and shuffle all lines.
-        texts = possible(lines.select("id", "line"), wanted, s).join(wanted, "id").dropDuplicates(["id"])
-        return staged(texts, "texts")
+    # An inner join: a semi join would be moved below the bitmap's, and shuffle all lines.
+    wanted = own.select("id").distinct()
+    texts = staged(possible(lines.select("id", "line"), wanted, s).join(wanted, "id").dropDuplicates(["id"]), "texts")
+    bitmaps: list[DataFrame] = []
+
+    def odd_of(ids: DataFrame) -> DataFrame:
+        """The bitmaps of these lines and of all that were asked for before."""
+        fresh = texts.join(ids, "id")
+        for made in bitmaps:
+            fresh = fresh.join(made.select("id"), "id", "left_anti")
+        bitmaps.append(staged(oddities(fresh, s, s.sharp_words), "odd"))
+        return reduce(DataFrame.unionByName, bitmaps)
 
     def compared(candidates: DataFrame) -> DataFrame:
-        with passing() as kept:
-            texts = texts_of(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-            return kept(staged(similar(candidates, texts, s), "edges"))
+        odd = odd_of(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        return staged(similar(candidates, texts, s, odd), "edges")
 
     def placed(roots: DataFrame) -> DataFrame:
         return own.join(roots, own["id"] == roots["node"], "left").select(
@@ -374,17 +420,21 @@ def line_classes(lines: DataFrame, s: Settings = Settings()) -> DataFrame:
         candidates = kept(staged(open_pairs(placed(roots), s), "pairs"))
     if not candidates.isEmpty():
         edges, roots = joined(compared(candidates))
-    with passing() as kept:
-        rest = staged(rest_rows(placed(roots), s), "rest")
-        if rest.isEmpty():
-            return roots
-        texts = kept(texts_of(rest.select("id").distinct()))
-        odd = kept(staged(oddities(texts, s, s.sharp_words), "odd"))
-        left = kept(staged(rest_pairs(rest, folded(odd, s.odd_words), s), "left"))
-    # Most lines of one component need one of their pairs to be found in it.
-    for chosen in (likeliest, lambda pairs: not_ruled_out(apart(pairs, roots), odd, s)):
-        edges, roots = joined(staged(exactly_similar(chosen(left), texts, s), "edges"))
-    for stored in (texts, odd, left):
+    # In bands larger than a first block, lines meet those of their blocks first: that joins most of what
+    # is similar, so that few similar lines of different components are left when all others meet.
+    for dealings, least in ((s.dealings, s.first_block), (0, s.small)):
+        with passing() as kept:
+            rest = staged(rest_rows(placed(roots), s).where(F.col("n") > least), "rest")
+            if rest.isEmpty():
+                continue
+            odd = odd_of(rest.select("id").distinct())
+            kept(bitmaps[-1])
+            left = kept(staged(rest_pairs(rest, odd, s, dealings), "left"))
+        # Most lines of one component need one of their pairs to be found in it.
+        for chosen in (likeliest, lambda pairs: apart(pairs, roots)):
+            edges, roots = joined(staged(exactly_similar(chosen(left), texts, s), "edges"))
+        remove(left)
+    for stored in (texts, *bitmaps):
         remove(stored)
     return roots
 

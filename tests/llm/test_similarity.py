@@ -1,6 +1,7 @@
 """Line dedup, the n-gram join and benchmark leaks against plain versions."""
 
 import random
+import time
 import re
 from collections import defaultdict
 from pathlib import Path
@@ -392,3 +393,62 @@ def test_frames_of_a_failed_block_stay_and_kept_ones_outlive_it(spark):
         stays = staged(spark.range(3), "stays")
         raise ValueError
     assert stays.count() == 3
+
+
+def test_lines_of_a_large_band_are_asked_by_the_larger_bitmap_where_they_meet(spark):
+    """What only the larger bitmap rules out is no row of the join either."""
+    s, rnd = line_dedup.Settings(), random.Random(4)
+    start = words(rnd, 90, 3000)
+    lines = []
+    for i in range(160):
+        changed = set(rnd.sample(range(90), rnd.choice([4, 9, 9, 9, 10])))
+        lines.append((i, " ".join(f"{w}{i}" if k in changed else w for k, w in enumerate(start))))
+    texts = spark.createDataFrame(lines, "id long, line string")
+    rows = line_dedup.signatures(texts, s).select(
+        F.lit(1).cast("long").alias("band"), "id", line_dedup.sketch_of(s).alias("sketch"), F.col("id").alias("root")
+    )
+    odd = line_dedup.oddities(texts, s, s.sharp_words)
+    rest = line_dedup.rest_rows(rows, s)
+    few = line_dedup.rest_pairs(rest, line_dedup.folded(odd, s.odd_words), s).select("a", "b")
+    sharp = {tuple(r) for r in line_dedup.not_ruled_out(few, odd, s).collect()}
+    met = {(r.a, r.b) for r in line_dedup.rest_pairs(rest, odd, s).collect()}
+    assert met == sharp and 50 < len(met) < few.count() / 2
+
+
+def test_staged_frames_leave_no_shuffle_files(spark):
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        stored = manager.getAllFiles()
+        names = {stored.apply(i).getName() for i in range(stored.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = files()
+    rows = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    stored = staged(rows, "rows")
+    assert stored.count() == 10
+    made = {n.split("_")[1] for n in files() - before}
+    deadline = time.monotonic() + 20
+    while time.monotonic() < deadline and len({n.split("_")[1] for n in files() - before}) > 1:
+        time.sleep(0.2)
+    # That of the count alone may be left.
+    assert len({n.split("_")[1] for n in files() - before}) <= 1, made
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_lines_of_a_family_of_similar_ones_meet_a_bounded_number_of_others(spark):
+    """All lines are similar: a dealing makes rows by its blocks, and nothing is left for all others."""
+    s, rnd = line_dedup.Settings(first_block=16), random.Random(6)
+    start = words(rnd, 90, 3000)
+    lines = [(i, " ".join(f"{w}{i}" if k == i % 90 else w for k, w in enumerate(start))) for i in range(240)]
+    texts = spark.createDataFrame(lines, "id long, line string")
+    rows = line_dedup.signatures(texts, s).select(
+        F.lit(1).cast("long").alias("band"), "id", line_dedup.sketch_of(s).alias("sketch"), F.col("id").alias("root")
+    )
+    odd = line_dedup.oddities(texts, s, s.sharp_words)
+    rest = line_dedup.rest_rows(rows, s)
+    dealt = line_dedup.rest_pairs(rest, odd, s, s.dealings)
+    every = line_dedup.rest_pairs(rest, odd, s).count()
+    assert every > 25000 and 240 < dealt.count() < every / 4
+    assert dealt.where("a >= b").isEmpty()
+    joined_by = components(dealt.select("a", "b"))
+    assert joined_by.count() == 240 and joined_by.select("root").distinct().count() == 1
