@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators.lookup import AD_LOOKUP, DimSpec, enrich, fill_blank, latest_per_key, lookup, measure
+from rollcall.session import scratch_dir, staged, stream_session
 from rollcall.streaming.refresh import DimSnapshots
 
 
@@ -52,6 +53,32 @@ def test_large_dimension_is_not_broadcast(spark, ads):
     assert "broadcast" not in plan.lower()
 
 
+@pytest.mark.parametrize("bounds", [{"max_rows": 0}, {"max_bytes": 1, "rows_per_task": 7}])
+def test_large_dimension_of_small_files_is_shuffled(spark, ads, bounds):
+    """Spark would broadcast it for the size of its files, which repeated texts make small."""
+    _, df = facts(spark)
+    plan = lookup(df, staged(ads, "ads"), AD_LOOKUP, **bounds)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [ad_id" in plan
+    assert "BroadcastHashJoin [ad_id" not in plan.partition("SortMergeJoin [ad_id")[0]
+
+
+def test_large_dimension_of_a_stream_is_shuffled(spark, ads):
+    root = scratch_dir(spark, "stream-lookup")
+    rows, df = facts(spark)
+    df.write.parquet(f"{root}/facts")
+    sibling = stream_session(spark, 2)
+    dim = sibling.read.parquet(staged(ads, "ads").staged_path)
+    found = lookup(sibling.readStream.schema(df.schema).parquet(f"{root}/facts"), dim, AD_LOOKUP, max_rows=0)
+    query = (
+        found.writeStream.format("parquet").option("path", f"{root}/out")
+        .option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert spark.read.parquet(f"{root}/out").count() == len(rows)
+
+
 def test_last_row_of_a_key_wins(spark):
     dim = spark.createDataFrame(
         [(1, "old", "webA", 1), (1, "new", "webA", 5), (1, "older", "webA", 0)],
